@@ -1,29 +1,22 @@
-"""Six calendar-date spellings, each rewritten to ISO by one regular expression and then cast."""
+"""Six calendar-date spellings. Numeric ones are rewritten to ISO by one regular expression and then cast."""
 
 from pyspark.sql import functions as F
 
-from .text import collapse_ws, strip
+from .text import WS, collapse_ws, strip
 
-_DAY = r"3[01]|[12][0-9]|0[1-9]|[1-9]"
-_MONTH = r"1[0-2]|0[1-9]|[1-9]"
-_MONTHS = (
-    "january", "february", "march", "april", "may", "june",
-    "july", "august", "september", "october", "november", "december",
-)
-_MONTH_OF = {name: i for i, full in enumerate(_MONTHS, 1) for name in (full, full[:3])}
+_DAY = r"(?:3[01]|[12][0-9]|0[1-9]|[1-9])"
+_MONTH = r"(?:1[0-2]|0[1-9]|[1-9])"
+_YEAR = r"(?!0000)[0-9]{4}"
 
 
 def parse_date(c):
     """d.m.Y, d-m-Y, d/m/Y, Y-m-d, '5 July 2025' or '5 Jul 2025' (any case) to a date, else null."""
-    s = strip(c)
-    numeric = F.regexp_replace(s, rf"^({_DAY})([./-])({_MONTH})\2([0-9]{{4}})$", r"$4-$3-$1")
-    words = F.lower(collapse_ws(s))
-    month = F.try_element_at(
-        F.create_map(*[F.lit(x) for pair in _MONTH_OF.items() for x in pair]),
-        F.regexp_extract(words, r" ([a-z]+) ", 1),
+    iso = F.regexp_replace(c, rf"^[{WS}]*({_DAY})([./-])({_MONTH})\2({_YEAR})[{WS}]*$", "$4-$3-$1")
+    # No match extracts as empty text, which casts to null.
+    numeric = F.regexp_extract(iso, rf"^[{WS}]*({_YEAR}-{_MONTH}-{_DAY})[{WS}]*$", 1).try_cast("date")
+    words = collapse_ws(strip(c))
+    spelled = F.when(
+        c.rlike(rf"^[{WS}]*{_DAY}[{WS}]+[A-Za-z]{{3,9}}[{WS}]+{_YEAR}[{WS}]*$"),
+        F.coalesce(F.try_to_date(words, "d MMMM yyyy"), F.try_to_date(words, "d MMM yyyy")),
     )
-    spelled = F.concat_ws("-", F.right(words, F.lit(4)), month.cast("string"), F.substring_index(words, " ", 1))
-    iso = F.when(numeric.rlike(rf"^[0-9]{{4}}-({_MONTH})-({_DAY})$"), numeric).when(
-        words.rlike(rf"^({_DAY}) [a-z]+ [0-9]{{4}}$") & month.isNotNull(), spelled
-    )
-    return F.when(~iso.startswith("0000"), iso).try_cast("date")
+    return F.coalesce(numeric, spelled)

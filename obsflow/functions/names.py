@@ -40,9 +40,8 @@ _SERIAL = r"^\s*[0-9]+\s*[|.\-:\]]\s*"
 
 def clean_name(c):
     """Drop a leading serial number and edge punctuation; null-like text becomes empty."""
-    s = strip(c)
-    cleaned = F.btrim(F.regexp_replace(s, _SERIAL, ""), F.lit(" .,:;|[]"))
-    return F.when(s.isNull() | F.lower(s).isin("", "nan", "none", "null"), "").otherwise(cleaned)
+    text = strip(F.coalesce(c, F.lit("")))
+    return F.btrim(F.regexp_replace(text, rf"(?i)^(?:nan|none|null)$|{_SERIAL}", ""), F.lit(" .,:;|[]"))
 
 
 @F.pandas_udf(T.StringType())

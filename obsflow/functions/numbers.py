@@ -11,20 +11,26 @@ from .text import WS, is_ascii, strip
 _DIGITS = [chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd"]
 _DIGIT_VALUES = "".join(str(unicodedata.digit(d)) for d in _DIGITS)
 
-_PLAIN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
-_D = r"[0-9](_?[0-9])*"
-_FLOAT = rf"(?i)^[{WS}]*[+-]?((({_D})(\.({_D})?)?|\.({_D}))(e[+-]?({_D}))?|inf(inity)?|nan)[{WS}]*$"
+_RUN = r"[0-9](?:_?[0-9])*+"
+_PLAIN = rf"^[{WS}]*([+-]?(?:{_RUN}\.?(?:{_RUN})?|\.{_RUN}))[{WS}]*$"
+_D = r"\p{Nd}(?:_?\p{Nd})*+"
+_FLOAT = rf"(?i)^[{WS}]*(?!nan[{WS}]*$)[+-]?(?:(?:{_D}(?:\.(?:{_D})?)?|\.{_D})(?:e[+-]?{_D})?|inf(?:inity)?|nan)[{WS}]*$"
 
 
-def ascii_digits(c):
-    return F.when(is_ascii(c), c).otherwise(F.translate(c, "".join(_DIGITS), _DIGIT_VALUES))
+def _no_commas(c):
+    return F.replace(c, F.lit(","), F.lit(""))
+
+
+def _plain_number(c):
+    # No match extracts as empty text; a cast would reject that only by way of an exception.
+    digits = F.nullif(F.regexp_extract(_no_commas(c), _PLAIN, 1), F.lit(""))
+    return F.replace(digits, F.lit("_"), F.lit("")).try_cast("double")
 
 
 def parse_number(c):
     """Plain decimal text to double; anything with a letter, or not a number, is null."""
-    s = strip(F.replace(strip(c), F.lit(","), F.lit("")))
-    s = F.regexp_replace(ascii_digits(s), r"(?<=[0-9])_(?=[0-9])", "")
-    return F.when(s.rlike(_PLAIN), s.cast("double"))
+    digits = F.translate(c, "".join(_DIGITS), _DIGIT_VALUES)
+    return F.when(is_ascii(c), _plain_number(c)).otherwise(_plain_number(digits))
 
 
 def number_confidence(c):
@@ -40,14 +46,12 @@ def number_confidence(c):
 
 def is_numeric(c):
     """Looser test used on header rows: scientific notation and infinities count, a bare nan does not."""
-    s = F.replace(strip(c), F.lit(","), F.lit(""))
-    return F.coalesce((F.lower(s) != "nan") & ascii_digits(s).rlike(_FLOAT), F.lit(False))
+    return F.coalesce(_no_commas(c).rlike(_FLOAT), F.lit(False))
 
 
 def parse_year(c):
     """Whole part of a parsed non-zero number; anything else, or beyond an int, is null."""
-    number = parse_number(c)
-    return F.when(number != 0, number.try_cast("int"))
+    return F.nullif(parse_number(c), F.lit(0.0)).try_cast("int")
 
 
 def round2(c):
@@ -63,7 +67,7 @@ def is_finite(c):
 
 
 def _exponent(text):
-    return F.regexp_extract(text, r"e([+-][0-9]+)$", 1).cast("int")
+    return F.regexp_extract(text, r"e([+-][0-9]+)$", 1).try_cast("int")
 
 
 def format_g(c):

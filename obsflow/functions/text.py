@@ -17,8 +17,13 @@ def strip(c):
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def has_text(c):
+    """Any character that is not whitespace; null for null."""
+    return c.rlike(f"[^{WS}]")
+
+
 def is_blank(c):
-    return c.isNull() | (strip(c) == "")
+    return ~F.coalesce(has_text(c), F.lit(False))
 
 
 def collapse_ws(c):

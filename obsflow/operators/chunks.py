@@ -53,17 +53,21 @@ def _spans(ends):
     )
 
 
+def texts_of(paragraphs):
+    """Stripped, non-blank paragraphs of an array."""
+    return F.filter(F.transform(paragraphs, strip), lambda p: p != "")
+
+
 def chunk_texts(documents, paragraphs="paragraphs"):
     """Chunks of documents that carry their paragraphs as one array: no shuffle, work linear in the text.
 
     Adds chunk_index and chunk_text (one row per chunk) in place of the array.
     """
     rest = [c for c in documents.columns if c != paragraphs]
-    texts = F.filter(F.transform(paragraphs, strip), lambda p: p != "")
     counts = F.array_join(F.transform("_p", lambda p: word_count(p, MIN_WORDS).cast("string")), "")
     length = F.col("_s.hi") - F.col("_s.lo") + 1
     return (
-        documents.withColumn("_p", texts)
+        documents.withColumn("_p", texts_of(paragraphs))
         .where(F.size("_p") > 0)
         .withColumn("_cut", _ends(_marked(counts)))
         .withColumn("_ends", _closed(F.col("_cut"), F.size("_p"), F.lit(True)))

@@ -63,17 +63,36 @@ def spellings(gazetteer=GAZETTEER):
     return [(name, canonical) for canonical, aliases in gazetteer.items() for name in (canonical, *aliases)]
 
 
+def _values(spark, rows, columns):
+    """A fixed handful of rows as a literal relation."""
+    quote = lambda v: str(v) if isinstance(v, int) else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    listed = ", ".join("(" + ", ".join(quote(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {listed} AS t({columns})")
+
+
+_alias_rows = {}
+
+
+def alias_rows(spark, gazetteer=GAZETTEER):
+    """(alias_ord, alias_key, canonical) per matching key, ordered by first spelling, owned by the last one.
+
+    The gazetteer is a fixed dictionary supplied by the caller, never data, so its keys are worked out once.
+    """
+    rows = [(i, name, canonical) for i, (name, canonical) in enumerate(spellings(gazetteer))]
+    if tuple(rows) not in _alias_rows:
+        keyed = (
+            _values(spark, rows, "ord, spelling, canonical")
+            .withColumn("alias_key", normalise_ascii(F.col("spelling")))
+            .groupBy("alias_key")
+            .agg(F.min("ord").alias("alias_ord"), F.max_by("canonical", "ord").alias("canonical"))
+            .orderBy("alias_ord")
+        )
+        _alias_rows[tuple(rows)] = [(r.alias_ord, r.alias_key, r.canonical) for r in keyed.collect()]
+    return _alias_rows[tuple(rows)]
+
+
 def alias_table(spark, gazetteer=GAZETTEER):
-    """(alias_ord, alias_key, canonical): one row per matching key, ordered by first spelling, owned by the last one."""
-    quote = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    rows = ", ".join(f"({i}, {quote(n)}, {quote(c)})" for i, (n, c) in enumerate(spellings(gazetteer)))
-    named = spark.sql(f"SELECT * FROM VALUES {rows} AS t(ord, spelling, canonical)")
-    return (
-        named.withColumn("alias_key", normalise_ascii(F.col("spelling")))
-        .groupBy("alias_key")
-        .agg(F.min("ord").alias("alias_ord"), F.max_by("canonical", "ord").alias("canonical"))
-        .select("alias_ord", "alias_key", "canonical")
-    )
+    return _values(spark, alias_rows(spark, gazetteer), "alias_ord, alias_key, canonical")
 
 
 def normalise_names(df, name):
@@ -94,8 +113,7 @@ def best_alias(keys, spark, gazetteer=GAZETTEER):
 
     Ranks are taken inside each row over the fixed gazetteer, so no pairs are shuffled. Adds alias_ord and score.
     """
-    # The gazetteer is a fixed dictionary supplied by the caller, never data.
-    aliases = [r.alias_key for r in alias_table(spark, gazetteer).orderBy("alias_ord").collect()]
+    aliases = [key for _, key, _ in alias_rows(spark, gazetteer)]
     scored = keys.withColumn("_scores", alias_scorer(aliases)("name_key"))
     ranked = F.transform(
         "_scores",

@@ -3,36 +3,36 @@
 from pyspark.sql import functions as F
 
 from ..functions.numbers import is_numeric
-from ..functions.text import is_blank, strip
+from ..functions.text import WS, has_text, is_blank, strip
 from ..plans.skew import attach
 from ..plans.staging import stage
 
 SAMPLE_ROWS = 5
+_INTEGER = rf"^[{WS}]*0*([0-9]+)[{WS}]*$"
 _FRAGMENT = r"^[|\]})]*[0-9]+(\.[0-9]+)?[|\]})]*$"
 
 
-def row_kind(cells):
-    """blank, banner, index, header or data, tested in that order."""
-    present = F.filter(cells, lambda c: c.isNotNull())
-    distinct = F.array_distinct(F.transform(present, strip))
-    filled = F.filter(cells, lambda c: ~is_blank(c))
-    numbered = F.filter(
-        cells, lambda c, i: F.coalesce(strip(c).rlike("^[0-9]+$") & (strip(c).try_cast("bigint") == i + 1), F.lit(False))
-    )
-    numeric = F.filter(present, is_numeric)
+def classify_rows(raw_rows):
+    """Adds `kind`: blank, banner, index, header or data, tested in that order."""
+    numbered = lambda c, i: F.regexp_extract(c, _INTEGER, 1) == (i + 1).cast("string")
+    present, filled = F.size("_present"), F.col("_filled")
+    first_two = strip(F.get("_present", F.lit(0))) == strip(F.get("_present", F.lit(1)))
+    same = F.size(F.array_distinct(F.transform("_present", strip))) == 1
     return (
-        F.when(F.size(present) == 0, "blank")
-        .when((F.size(present) >= 2) & (F.size(distinct) == 1), "banner")
-        .when((F.size(filled) >= 2) & (F.size(numbered) >= 0.6 * F.size(filled)), "index")
-        .when(F.size(numeric) < 0.5 * F.size(present), "header")
-        .otherwise("data")
+        raw_rows.withColumn("_present", F.filter("cells", lambda c: c.isNotNull()))
+        .withColumn("_filled", F.size(F.filter("_present", has_text)))
+        .withColumn(
+            "kind",
+            F.when(present == 0, "blank")
+            .when((present >= 2) & first_two & same, "banner")
+            .when((filled >= 2) & (F.size(F.filter("cells", numbered)) >= 0.6 * filled), "index")
+            .when(F.size(F.filter("_present", is_numeric)) < 0.5 * present, "header")
+            .otherwise("data"),
+        )
+        .drop("_present", "_filled")
     )
 
 
-def classify_rows(raw_rows):
-    return raw_rows.withColumn("kind", row_kind(F.col("cells")))
-
-
 def data_starts(raw_rows):
     """(table_id, data_start, n_cols, n_rows): first data row, else the row count. Combined before the shuffle."""
     return (
@@ -104,7 +104,7 @@ def pad_rows(raw_rows):
     widths = raw_rows.groupBy("table_id").agg(F.max(F.size("cells")).alias("n_cols"), F.count("*").alias("n_rows"))
     missing = F.col("n_cols") - F.size("cells")
     padded = F.concat("cells", F.array_repeat(F.lit(None).cast("string"), missing))
-    return attach(raw_rows, widths, ["table_id"], ["row_idx"]).withColumn("cells", padded).drop("n_cols")
+    return attach(raw_rows, stage(widths), ["table_id"], ["row_idx"]).withColumn("cells", padded).drop("n_cols")
 
 
 def known_headers(raw_rows):

@@ -1,7 +1,7 @@
 """From raw grids plus a column mapping to long observations, for all tables at once.
 
-Rows are keyed by (table_id, block), a block being a bounded range of row numbers. One exchange on that pair serves the
-join with the per-table mapping, the forward fill and the sticky period, and no table, however long, is one task.
+Rows are keyed by table, and by a bounded block of row numbers where tables are long. One exchange on that key serves
+the join with the per-table mapping, the forward fill and the sticky period, and no table, however long, is one task.
 """
 
 from functools import partial
@@ -16,20 +16,62 @@ from ..plans.staging import stage
 from .gazetteer import GAZETTEER, resolve_districts
 
 BLOCK_ROWS = 1_000_000
-BLOCK = ["table_id", "block"]
 ENTITY_TYPE_METHOD = "groq_entity_type"  # fixed value stored for every entity that is not a district
 
 
-def _upto_here():
-    return W.partitionBy(*BLOCK).orderBy("row_idx").rowsBetween(W.unboundedPreceding, W.currentRow)
+class Grid:
+    """Raw rows and, for tables longer than one block, the list of their later blocks.
 
+    Rows are keyed by (table_id, block). The list has at most one row per `block_rows` raw rows; it is read with the
+    row number pushed down to the scan and staged. When it is empty, which is the usual case, no carrying is planned.
+    """
 
-def _filled(rows, carry):
-    """Entity text per row: its own, else the last one above it in the block, else the one carried into the block."""
-    local = F.last("own", ignorenulls=True).over(_upto_here())
-    return rows.join(carry.hint("shuffle_hash"), BLOCK, "left").withColumn(
-        "entity", F.coalesce(local, "carry_entity")
-    )
+    def __init__(self, raw_rows, block_rows=BLOCK_ROWS):
+        self.block_rows = block_rows
+        self.raw_rows = raw_rows
+        block = F.floor(F.col("row_idx") / block_rows).cast("long").alias("block")
+        later = raw_rows.where(F.col("row_idx") >= block_rows).select("table_id", block).distinct()
+        self.later = stage(later)
+        self.split = not self.later.isEmpty()
+        self.keys = ["table_id", "block"] if self.split else ["table_id"]
+        self.rows = raw_rows.where("row_idx >= 0").select("table_id", *([block] if self.split else []), "row_idx", "cells")
+        self.so_far = W.partitionBy(*self.keys).orderBy("row_idx").rowsBetween(W.unboundedPreceding, W.currentRow)
+
+    def with_tables(self, tables):
+        """Raw rows with the columns of their table (one row per table), co-partitioned for the windows to come."""
+        if self.split:
+            long_tables = self.later.select("table_id", F.lit(True).alias("long_table")).distinct()
+            tables = tables.join(long_tables, "table_id", "left")
+            first = tables.withColumn("block", F.lit(0).cast("long"))
+            tables = first.unionByName(tables.where("long_table").join(self.later, "table_id"))
+        return self.rows.join(tables.hint("shuffle_hash"), self.keys)
+
+    def carry(self, rows, carried):
+        """Rows with what enters their block from above; without later blocks nothing does."""
+        if not self.split:
+            return rows.withColumns({c: F.lit(None).cast("string") for c in ("carry_entity", "carry_period")})
+        return rows.join(carried.hint("shuffle_hash"), self.keys, "left")
+
+    def carried_entities(self, rows):
+        """(table_id, block, carry_entity, carry_period): the last entity above each block of the long tables."""
+        above = W.partitionBy("table_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+        last_own = F.max(F.when(F.col("own").isNotNull(), F.struct("row_idx", "own")))["own"]
+        return (
+            rows.where("long_table")
+            .groupBy("table_id", "block")
+            .agg(last_own.alias("last_own"))
+            .select(
+                "table_id",
+                "block",
+                F.last("last_own", ignorenulls=True).over(above).alias("carry_entity"),
+                F.lit(None).cast("string").alias("carry_period"),
+            )
+        )
+
+    def filled(self, rows, carried):
+        """Entity text per row: its own, else the last one above it in the block, else the one carried in."""
+        local = F.last("own", ignorenulls=True).over(self.so_far)
+        return self.carry(rows, carried).withColumn("entity", F.coalesce(local, "carry_entity"))
 
 
 def _usable(entity):
@@ -40,77 +82,45 @@ def _own(rows):
     return rows.withColumn("own", F.when(~is_blank(F.col("entity_raw")), F.col("entity_raw")))
 
 
-def _carried_entities(rows):
-    """(table_id, block, carry_entity): the last entity above each block. Input: rows of multi-block tables."""
-    above = W.partitionBy("table_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    last_own = F.max(F.when(F.col("own").isNotNull(), F.struct("row_idx", "own")))["own"]
-    return (
-        rows.groupBy(*BLOCK)
-        .agg(last_own.alias("last_own"))
-        .select(*BLOCK, F.last("last_own", ignorenulls=True).over(above).alias("carry_entity"))
-    )
-
-
-def later_blocks(raw_rows, block_rows=BLOCK_ROWS):
-    """Blocks past the first one: at most one row per `block_rows` raw rows, read with the row number pushed down."""
-    later = raw_rows.where(F.col("row_idx") >= block_rows)
-    return later.select("table_id", _block(block_rows)).distinct()
-
-
-def _block(block_rows):
-    return F.floor(F.col("row_idx") / block_rows).cast("long").alias("block")
-
-
-def with_table_columns(raw_rows, tables, block_rows=BLOCK_ROWS):
-    """Raw rows joined with one row per table, co-partitioned by (table_id, block). Adds `block` and `multi_block`."""
-    later = later_blocks(raw_rows, block_rows)
-    multi = later.groupBy("table_id").agg(F.lit(True).alias("_multi"))
-    tables = tables.join(multi, "table_id", "left").withColumn("multi_block", F.coalesce("_multi", F.lit(False)))
-    tables = tables.drop("_multi")
-    first = tables.withColumn("block", F.lit(0).cast("long"))
-    per_block = first.unionByName(tables.where("multi_block").join(later, "table_id"))
-    rows = raw_rows.where(F.col("row_idx") >= 0).select("table_id", _block(block_rows), "row_idx", "cells")
-    return rows.join(per_block.hint("shuffle_hash"), BLOCK)
-
-
-def forward_fill(rows):
-    """Fill blank entities from above within each table; drop rows with none, or with the text nan.
-
-    Input: (table_id, block, multi_block, row_idx, entity_raw, ...). Adds `entity`.
-    """
+def forward_fill(grid, rows):
+    """Fill blank entities (entity_raw) from above within each table; drop rows with none, or with the text nan."""
     rows = _own(rows)
-    carry = _carried_entities(rows.where("multi_block"))
-    filled = _filled(rows, carry)
-    return filled.where(_usable(F.col("entity"))).drop("own", "carry_entity")
+    carried = grid.carried_entities(rows) if grid.split else None
+    filled = grid.filled(rows, carried).where(_usable(F.col("entity")))
+    return filled.drop("own", "carry_entity", "carry_period")
 
 
-def fill_and_stick(rows, default_period=None, block_rows=BLOCK_ROWS):
-    """Forward fill plus the sticky period: from the first unparseable date text of a table on, that text is the
-    period of every row that has none of its own. Input as for forward_fill plus date_raw; adds entity, date and sticky.
-    """
-    rows = _own(rows)
-    big = rows.where("multi_block")
-    entities = _carried_entities(big)
+def _with_odd_dates(rows):
+    """Adds `date` and `odd`: the text of a non-blank date cell that is no date, on rows that are kept."""
+    odd = ~is_blank(F.col("date_raw")) & F.col("date").isNull() & _usable(F.col("entity"))
+    return rows.withColumn("date", parse_date(F.col("date_raw"))).withColumn("odd", F.when(odd, strip(F.col("date_raw"))))
 
-    def with_bad(df):
-        date = parse_date(F.col("date_raw"))
-        odd = ~is_blank(F.col("date_raw")) & F.col("date").isNull() & _usable(F.col("entity"))
-        return df.withColumn("date", date).withColumn("odd", F.when(odd, strip(F.col("date_raw"))))
 
+def _carried_all(grid, rows):
+    """Entities and the first odd date text from above, for each block of the long tables."""
+    entities = grid.carried_entities(rows)
     first_odd = (
-        with_bad(_filled(big, entities))
+        _with_odd_dates(grid.filled(rows.where("long_table"), entities))
         .where(F.col("odd").isNotNull())
         .groupBy("table_id")
         .agg(F.min(F.struct("row_idx", "odd")).alias("first_odd"))
     )
-    above = F.col("first_odd.row_idx") < F.col("block") * block_rows
-    carry = entities.join(first_odd, "table_id", "left").select(
-        *BLOCK, "carry_entity", F.when(above, F.col("first_odd.odd")).alias("carry_period")
+    above = F.col("first_odd.row_idx") < F.col("block") * grid.block_rows
+    return entities.join(first_odd, "table_id", "left").select(
+        "table_id", "block", "carry_entity", F.when(above, F.col("first_odd.odd")).alias("carry_period")
     )
+
+
+def fill_and_stick(grid, rows, default_period=None):
+    """Forward fill plus the sticky period: from the first unparseable date text of a table on, that text is the
+    period of every row that has none of its own. Reads entity_raw and date_raw; adds entity, date and sticky.
+    """
+    rows = _own(rows)
+    carried = _carried_all(grid, rows) if grid.split else None
     fixed = F.lit(default_period or None).cast("string")
-    local = F.first("odd", ignorenulls=True).over(_upto_here())
+    local = F.first("odd", ignorenulls=True).over(grid.so_far)
     return (
-        with_bad(_filled(rows, carry))
+        _with_odd_dates(grid.filled(rows, carried))
         .withColumn("sticky", F.coalesce(fixed, "carry_period", local))
         .where(_usable(F.col("entity")))
         .drop("own", "odd", "carry_entity", "carry_period")
@@ -164,20 +174,13 @@ def resolve_entities(rows, gazetteer=GAZETTEER):
     district = F.col("entity_type") == "district"
     out = resolve_districts(rows, "entity", ["table_id", "row_idx"], only=district, gazetteer=gazetteer)
     unresolved = F.concat(F.lit("UNRESOLVED:"), F.col("entity"))
-    entity_confidence = F.when(
-        district, F.least("entity_type_confidence", "resolution_confidence")
-    ).otherwise(F.col("entity_type_confidence"))
-    return (
-        out.withColumn(
-            "entity_name", F.when(district, F.coalesce("canonical", unresolved)).otherwise(strip(F.col("entity")))
-        )
-        .withColumn(
-            "entity_resolution_method",
-            F.when(district, F.col("resolution_method")).otherwise(ENTITY_TYPE_METHOD),
-        )
-        .withColumn("confidence", round2(F.least(entity_confidence, F.lit(1.0))))
-        .drop("canonical", "resolution_confidence", "resolution_method")
-    )
+    named = F.when(district, F.coalesce("canonical", unresolved)).otherwise(strip(F.col("entity")))
+    method = F.when(district, F.col("resolution_method")).otherwise(ENTITY_TYPE_METHOD)
+    # least skips nulls: only districts have a resolution confidence.
+    confidence = round2(F.least("entity_type_confidence", "resolution_confidence", F.lit(1.0)))
+    return out.withColumns(
+        {"entity_name": named, "entity_resolution_method": method, "confidence": confidence}
+    ).drop("canonical", "resolution_confidence", "resolution_method")
 
 
 def normalize_tables(
@@ -203,20 +206,29 @@ def normalize_tables(
         tables = tables.withColumn("data_start", F.lit(0).cast("long"))
     else:
         tables = tables.join(starts.select("table_id", "data_start"), "table_id")
+    grid = Grid(raw_rows, block_rows)
     rows = (
-        with_table_columns(raw_rows, tables, block_rows)
+        grid.with_tables(tables)
         .where(F.col("row_idx") >= F.col("data_start"))
-        .withColumn("entity_raw", _cell("entity_column"))
-        .withColumn("date_raw", _cell("date_column"))
+        .withColumns({"entity_raw": _cell("entity_column"), "date_raw": _cell("date_column")})
     )
     own_period = _cell("period_column")
-    filled = (
-        fill_and_stick(rows, default_period, block_rows)
-        .withColumn("period", F.coalesce(F.when(~is_blank(own_period), strip(own_period)), "sticky"))
-        .withColumn("year", F.coalesce(parse_year(_cell("year_column")), F.lit(default_year)))
-        .withColumn("date", F.coalesce("date", parse_date(F.lit(default_date).cast("string"))))
-        .drop("entity_raw", "date_raw", "sticky", "block", "multi_block", "data_start")
-        .drop("entity_column", "year_column", "date_column", "period_column")
+    period = F.coalesce(F.when(~is_blank(own_period), strip(own_period)), "sticky")
+    filled = fill_and_stick(grid, rows, default_period).select(
+        "table_id",
+        "row_idx",
+        "cells",
+        "entity",
+        "entity_type",
+        "entity_type_confidence",
+        "domain",
+        "value_columns",
+        "source_document",
+        "source_page",
+        "extraction_method",
+        F.coalesce(parse_year(_cell("year_column")), F.lit(default_year)).alias("year"),
+        F.coalesce("date", parse_date(F.lit(default_date).cast("string"))).alias("date"),
+        period.alias("period"),
     )
     resolved = resolve_entities(keep(filled), gazetteer)
     values = resolved.withColumn("v", F.explode("value_columns")).withColumn(

@@ -12,33 +12,43 @@ HOT_ROWS = 1_000_000
 def attach(fact, lookup, keys, spread, needed=None, hot_keys=HOT_KEYS, hot_rows=HOT_ROWS):
     """Left join of `lookup` to `fact` where a few keys may hold most fact rows.
 
-    `lookup` is unique on `keys` and carries `n_rows`, the number of fact rows per key, which the caller's
-    pre-aggregation yields anyway. A key is hot when it holds over 1/hot_keys of all counted rows (and over `hot_rows`),
-    so there are fewer than `hot_keys` of them whatever the data size: those lookup rows are broadcast. Fact rows they
-    serve, and rows the caller says need no lookup, are spread over all tasks of the shuffled join that handles the rest.
+    `lookup` is a staged table, unique on `keys`, with `n_rows`: the number of fact rows per key, which the caller's
+    pre-aggregation yields anyway. A short lookup is broadcast by its file size. Otherwise a key is hot when it holds
+    over 1/hot_keys of all counted rows (and over `hot_rows`), so there are fewer than `hot_keys` of them whatever the
+    data size: those lookup rows are broadcast, and the fact rows they serve are spread over all tasks of the shuffled
+    join that handles the rest. So are rows the caller says need no lookup. `spread` names columns that tell rows apart.
     """
     values = [c for c in lookup.columns if c not in keys and c != "n_rows"]
-    total = lookup.agg(F.coalesce(F.sum("n_rows"), F.lit(0)) / F.lit(hot_keys)).scalar()
-    is_hot = (F.col("n_rows") > hot_rows) & (F.col("n_rows") > total)
 
-    def side(df, tag):
-        packed = F.struct(F.lit(True).alias("_hit"), *values).alias(f"_{tag}")
-        return df.select(*[F.col(k).alias(f"_{tag}_{k}") for k in keys], packed)
+    def matched(left, right, tag, extra):
+        renamed = right.select(*[F.col(k).alias(f"_{tag}_{k}") for k in keys], *extra[0])
+        same = [F.col(k).eqNullSafe(F.col(f"_{tag}_{k}")) for k in keys]
+        joined = left.join(renamed, reduce(lambda a, b: a & b, same, extra[1]), "left")
+        return joined.drop(*[f"_{tag}_{k}" for k in keys])
 
-    def same(tag):
-        return [F.col(k).eqNullSafe(F.col(f"_{tag}_{k}")) for k in keys]
-
-    hot = side(lookup.where(is_hot), "hot")
-    cold = side(lookup.where(~is_hot), "cold")
+    packed = F.struct(F.lit(True).alias("_hit"), *values)
     wanted = F.lit(True) if needed is None else F.coalesce(needed, F.lit(False))
-    out = fact.withColumn("_wanted", wanted)
-    out = out.join(F.broadcast(hot), reduce(lambda a, b: a & b, same("hot"), F.col("_wanted")), "left")
-    served = ~F.col("_wanted") | F.col("_hot").isNotNull()
-    out = out.withColumn("_salt", F.when(served, 1 + F.pmod(F.xxhash64(*spread), F.lit(1 << 20))).otherwise(F.lit(0)))
-    cold = cold.withColumn("_cold_salt", F.lit(0).cast("bigint"))
-    match = reduce(lambda a, b: a & b, same("cold"), F.col("_salt") == F.col("_cold_salt"))
-    out = out.join(cold, match, "left")
-    found = F.coalesce(F.col("_hot"), F.col("_cold"))
+    hot = lookup.where(F.col("n_rows") > hot_rows)
+    if hot.isEmpty():
+        lookup_side = [packed.alias("_cold")]
+        out = fact
+        found = F.col("_cold")
+        served = ~wanted
+    else:
+        total = lookup.agg(F.sum("n_rows") / F.lit(hot_keys)).scalar()
+        is_hot = (F.col("n_rows") > hot_rows) & (F.col("n_rows") > total)
+        out = matched(fact, F.broadcast(lookup.where(is_hot)), "hot", ([packed.alias("_hot")], wanted))
+        lookup = lookup.where(~is_hot)
+        lookup_side = [packed.alias("_cold")]
+        found = F.coalesce("_hot", "_cold")
+        served = ~wanted | F.col("_hot").isNotNull()
+    if out is not fact or needed is not None:
+        salt = F.when(served, 1 + F.pmod(F.xxhash64(*spread), F.lit(1 << 20))).otherwise(F.lit(0))
+        out = out.withColumn("_salt", salt)
+        lookup_side.append(F.lit(0).cast("bigint").alias("_cold_salt"))
+        out = matched(out, lookup, "cold", (lookup_side, F.col("_salt") == F.col("_cold_salt")))
+    else:
+        out = matched(out, lookup, "cold", (lookup_side, F.lit(True)))
     return out.select(*fact.columns, *[found[v].alias(v) for v in values])
 
 

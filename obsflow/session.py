@@ -15,6 +15,7 @@ def local_session(cpus="*", shuffle_partitions=8, memory="8g"):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
