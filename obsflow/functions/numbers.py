@@ -82,5 +82,5 @@ def format_g(c):
     return (
         F.when(c == 0, "0")
         .when(exponent.between(-4, 5), fixed)
-        .otherwise(F.concat(mantissa, F.regexp_extract(text, r"(e.*)$", 1)))
+        .when(c.isNotNull(), F.concat(mantissa, F.regexp_extract(text, r"(e.*)$", 1)))
     )

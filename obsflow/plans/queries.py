@@ -16,6 +16,7 @@ from ..sinks.store import text_dump
 from ..sources import pages as P
 from . import derived as D
 from .batch import process_tables
+from .staging import stage
 
 DEFAULT_YEAR = 2025
 
@@ -75,7 +76,7 @@ def detect_headers(spark, sf_dir):
 
 def table_samples(spark, sf_dir):
     rows = D.raw_rows(spark, sf_dir)
-    samples = H.table_samples(rows, H.stage(H.data_starts(rows)))
+    samples = H.table_samples(rows, stage(H.data_starts(rows)))
     return samples.select("table_id", F.to_json("sample_rows").alias("sample_rows"))
 
 
@@ -142,7 +143,7 @@ def dedupe_indicators(spark, sf_dir):
 
 def mapping_requests(spark, sf_dir):
     rows, tables = D.raw_rows(spark, sf_dir), D.raw_tables(spark, sf_dir)
-    starts = H.stage(H.data_starts(rows))
+    starts = stage(H.data_starts(rows))
     headers = H.detect_headers(rows, starts)
     return M.mapping_requests(headers, H.table_samples(rows, starts), tables, _contexts(spark, sf_dir))
 
@@ -182,11 +183,13 @@ def fuzzy_resolve(spark, sf_dir):
 
 
 def observations(spark, sf_dir):
-    rows = D.raw_rows(spark, sf_dir)
-    starts = H.stage(H.data_starts(rows))
+    """As in a batch, raw rows and filled rows are written once and read by the steps that need them."""
+    rows = stage(D.raw_rows(spark, sf_dir))
+    starts = stage(H.data_starts(rows))
     meta, columns = M.read_replies(D.replies(spark, sf_dir))
     tables = D.raw_tables(spark, sf_dir)
-    return N.normalize_tables(rows, tables, meta, columns, DEFAULT_YEAR, starts=starts).drop("extracted_at")
+    done = N.normalize_tables(rows, tables, meta, columns, DEFAULT_YEAR, starts=starts, keep=stage)
+    return done.drop("extracted_at")
 
 
 def normalize_observations(spark, sf_dir):
@@ -194,7 +197,7 @@ def normalize_observations(spark, sf_dir):
 
 
 def validated(spark, sf_dir):
-    return validate_observations(observations(spark, sf_dir))
+    return validate_observations(stage(observations(spark, sf_dir)))
 
 
 def validate(spark, sf_dir):
@@ -204,11 +207,12 @@ def validate(spark, sf_dir):
 def processed_tables(spark, sf_dir):
     """Raw tables to validated observations in one call, replies at hand."""
     done = process_tables(
-        D.raw_rows(spark, sf_dir),
+        stage(D.raw_rows(spark, sf_dir)),
         D.raw_tables(spark, sf_dir),
         _contexts(spark, sf_dir),
         D.replies(spark, sf_dir),
         DEFAULT_YEAR,
+        staged=True,
     )
     return _iso(done.drop("extracted_at"), "date")
 
