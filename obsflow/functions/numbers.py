@@ -5,7 +5,7 @@ import unicodedata
 
 from pyspark.sql import functions as F
 
-from .text import WS, is_ascii, strip
+from .text import WS, is_ascii, let, strip
 
 # Decimal digits of every script map to 0-9; built from the Unicode database rather than listed.
 _DIGITS = [chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd"]
@@ -23,8 +23,8 @@ def _no_commas(c):
 
 def _plain_number(c):
     # No match extracts as empty text; a cast would reject that only by way of an exception.
-    digits = F.nullif(F.regexp_extract(_no_commas(c), _PLAIN, 1), F.lit(""))
-    return F.replace(digits, F.lit("_"), F.lit("")).try_cast("double")
+    digits = F.replace(F.regexp_extract(_no_commas(c), _PLAIN, 1), F.lit("_"), F.lit(""))
+    return let(digits, lambda d: F.when(d != "", d.try_cast("double")))
 
 
 def parse_number(c):
@@ -72,15 +72,15 @@ def _exponent(text):
 
 def format_g(c):
     """Six significant digits, trailing zeros dropped, as C's %g prints a finite double."""
-    step = F.pow(F.lit(10.0), (_exponent(F.format_string("%.5e", c)) - 5).cast("double"))
+
+    def shown(text):
+        mantissa = F.regexp_replace(F.regexp_extract(text, r"^(.*)e", 1), r"\.?0+$", "")
+        fixed = F.regexp_replace(text.try_cast("decimal(20,10)").cast("string"), r"\.?0+$", "")
+        scientific = F.concat(mantissa, F.regexp_extract(text, r"(e.*)$", 1))
+        return F.when(_exponent(text).between(-4, 5), fixed).otherwise(scientific)
+
     # The formatter rounds halves up; settle them to even first where the sixth digit is a whole number.
-    even = F.when((F.abs(c) >= 1e5) & (F.abs(c) < 1e15), F.rint(c / step) * step).otherwise(c)
-    text = F.format_string("%.5e", even)
-    mantissa = F.regexp_replace(F.regexp_extract(text, r"^(.*)e", 1), r"\.?0+$", "")
-    fixed = F.regexp_replace(text.try_cast("decimal(20,10)").cast("string"), r"\.?0+$", "")
-    exponent = _exponent(text)
-    return (
-        F.when(c == 0, "0")
-        .when(exponent.between(-4, 5), fixed)
-        .when(c.isNotNull(), F.concat(mantissa, F.regexp_extract(text, r"(e.*)$", 1)))
-    )
+    step = F.pow(F.lit(10.0), (_exponent(F.format_string("%.5e", c)) - 5).cast("double"))
+    even = let(step, lambda s: F.rint(c / s) * s)
+    settled = F.when((F.abs(c) >= 1e5) & (F.abs(c) < 1e15), even).otherwise(c)
+    return F.when(c == 0, "0").when(c.isNotNull(), let(F.format_string("%.5e", settled), shown))

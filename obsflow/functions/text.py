@@ -13,10 +13,21 @@ WHITESPACE = (
 WS = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+def let(value, body):
+    """body(value) with `value` worked out once, however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c):
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def strip_long(c):
+    """As strip, for longer texts: trimming a set of characters walks the whole text, so look at both ends first."""
+    edges = F.left(c, F.lit(1)).isin(*WHITESPACE) | F.right(c, F.lit(1)).isin(*WHITESPACE)
+    return F.when(edges, strip(c)).otherwise(c)
+
+
 def has_text(c):
     """Any character that is not whitespace; null for null."""
     return c.rlike(f"[^{WS}]")
@@ -30,10 +41,14 @@ def collapse_ws(c):
     return F.regexp_replace(c, f"[{WS}]+", " ")
 
 
-def word_count(c, limit=-1):
-    """Number of words; with a limit, counting stops there and long texts are not split to the end."""
-    s = strip(c)
-    return F.when(s == "", 0).otherwise(F.size(F.split(s, f"[{WS}]+", limit)))
+def word_count(c):
+    return F.size(F.filter(F.split(c, f"[{WS}]+"), lambda w: w != ""))
+
+
+def word_count_upto(c, limit):
+    """Number of words, capped; counting stops at the cap, so long texts are not split to the end."""
+    enough = c.rlike(rf"^[{WS}]*(?:[^{WS}]+[{WS}]+){{{limit - 1}}}[^{WS}]")
+    return F.when(enough, limit).otherwise(word_count(c))
 
 
 def is_ascii(c):

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import strip, word_count
+from ..functions.text import has_text, strip_long, word_count_upto
 from .mapping import CONTEXT_CHARS, CONTEXT_PARAGRAPHS
 
 MIN_WORDS = 5
@@ -30,10 +30,10 @@ def _marked(counts):
     return F.regexp_replace(counts, CHUNK, "$0E")
 
 
-def _ends(marked, skip=0):
-    """Positions (0-based) of the paragraphs that end a chunk; `skip` leading counts stand for pending words."""
+def _ends(marked, n, skip=0):
+    """Positions (0-based) of the n paragraphs that end a chunk; `skip` leading counts stand for pending words."""
     flags = F.regexp_replace(F.regexp_replace(marked, "[1-5](?!E)", "-"), "[1-5]E", "E")
-    flags = F.slice(F.split(flags, ""), skip + 1, F.greatest(F.length(flags) - skip, F.lit(0)))
+    flags = F.slice(F.split(flags, ""), skip + 1, n)
     return F.filter(F.transform(flags, lambda f, i: F.when(f == "E", i)), lambda i: i.isNotNull())
 
 
@@ -55,7 +55,7 @@ def _spans(ends):
 
 def texts_of(paragraphs):
     """Stripped, non-blank paragraphs of an array."""
-    return F.filter(F.transform(paragraphs, strip), lambda p: p != "")
+    return F.transform(F.filter(paragraphs, has_text), strip_long)
 
 
 def chunk_texts(documents, paragraphs="paragraphs"):
@@ -64,14 +64,15 @@ def chunk_texts(documents, paragraphs="paragraphs"):
     Adds chunk_index and chunk_text (one row per chunk) in place of the array.
     """
     rest = [c for c in documents.columns if c != paragraphs]
-    counts = F.array_join(F.transform("_p", lambda p: word_count(p, MIN_WORDS).cast("string")), "")
+    counts = F.array_join(F.transform("_p", lambda p: word_count_upto(p, MIN_WORDS).cast("string")), "")
     length = F.col("_s.hi") - F.col("_s.lo") + 1
     return (
         documents.withColumn("_p", texts_of(paragraphs))
-        .where(F.size("_p") > 0)
-        .withColumn("_cut", _ends(_marked(counts)))
-        .withColumn("_ends", _closed(F.col("_cut"), F.size("_p"), F.lit(True)))
-        .select(*rest, "_p", F.explode(_spans(F.col("_ends"))).alias("_s"))
+        .withColumn("_cut", _ends(_marked(counts), F.size("_p")))
+        .withColumn("_ends", _closed(F.col("_cut"), F.size("_p"), F.size("_p") > 0))
+        # The outer form keeps Spark from working the spans out again to test for any; empty documents drop after it.
+        .select(*rest, "_p", F.explode_outer(_spans(F.col("_ends"))).alias("_s"))
+        .where("_s IS NOT NULL")
         .select(
             *rest,
             F.col("_s.ord").cast("long").alias("chunk_index"),
@@ -146,8 +147,10 @@ def chunk_paragraphs(paragraphs, domains=None, block_paragraphs=BLOCK_PARAGRAPHS
     chunk they end, by a join on their own key. Returns (source_document, chunk_index, chunk_text), and the document's
     domain if `domains` (source_document, domain) is given.
     """
-    text = paragraphs.select("source_document", "para_idx", strip(F.col("text")).alias("text")).where("text != ''")
-    words = word_count(F.col("text"), MIN_WORDS)
+    text = paragraphs.where(has_text(F.col("text"))).select(
+        "source_document", "para_idx", strip_long(F.col("text")).alias("text")
+    )
+    words = word_count_upto(F.col("text"), MIN_WORDS)
     block = F.floor(F.col("para_idx") / block_paragraphs).alias("block")
     blocks = (
         text.withColumn("block", block)
@@ -182,9 +185,10 @@ def chunk_paragraphs(paragraphs, domains=None, block_paragraphs=BLOCK_PARAGRAPHS
     carried = F.when((F.col("_s.ord") == 0) & (F.col("words") != ""), F.array("words"))
     carried = F.coalesce(carried, F.array().cast("array<string>"))
     heads = (
-        placed.withColumn("_cut", _ends(_marked(counts), F.length(entry)))
+        placed.withColumn("_cut", _ends(_marked(counts), F.size("items"), F.length(entry)))
         .withColumn("_ends", _closed(F.col("_cut"), F.size("items"), F.col("last")))
-        .withColumn("_s", F.explode(_spans(F.col("_ends"))))
+        .withColumn("_s", F.explode_outer(_spans(F.col("_ends"))))
+        .where("_s IS NOT NULL")
         .select(
             "source_document",
             F.element_at("items", F.col("_s.hi") + 1)["para_idx"].alias("para_idx"),

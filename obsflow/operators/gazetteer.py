@@ -95,26 +95,30 @@ def alias_table(spark, gazetteer=GAZETTEER):
     return _values(spark, alias_rows(spark, gazetteer), "alias_ord, alias_key, canonical")
 
 
-def normalise_names(df, name):
-    """Adds clean_name and name_key. Accents are folded in Python, for the distinct names that have any."""
-    df = df.withColumn("clean_name", clean_name(F.col(name)))
-    folded = (
-        df.where(needs_folding(F.col("clean_name")))
-        .groupBy("clean_name")
-        .agg(F.count("*").alias("n_rows"))
-        .withColumn("folded_key", normalise_ascii(fold_accents("clean_name")))
-    )
-    out = attach(df, stage(folded), ["clean_name"], [name], needed=needs_folding(F.col("clean_name")))
-    return out.withColumn("name_key", F.coalesce("folded_key", normalise_ascii(F.col("clean_name")))).drop("folded_key")
+def with_keys(names, name):
+    """Adds clean_name and name_key. Accents are folded in Python, for the names that have any."""
+    cleaned = names.withColumn("clean_name", clean_name(F.col(name)))
+    accented = F.when(needs_folding(F.col("clean_name")), F.col("clean_name"))
+    folded = cleaned.withColumn("_folded", fold_accents(accented))
+    return folded.withColumn("name_key", normalise_ascii(F.coalesce("_folded", "clean_name"))).drop("_folded")
+
+
+def _distinct(df, name, only=None):
+    rows = df if only is None else df.where(only)
+    return rows.groupBy(name).agg(F.count("*").alias("n_rows"))
+
+
+def normalise_names(df, name, spread):
+    """Adds clean_name and name_key, worked out once per distinct name."""
+    return attach(df, stage(with_keys(_distinct(df, name), name)), [name], spread)
 
 
-def best_alias(keys, spark, gazetteer=GAZETTEER):
+def best_alias(keys, gazetteer=GAZETTEER):
     """For each key: the alias with the best of three scores among the five with the best weighted score.
 
-    Ranks are taken inside each row over the fixed gazetteer, so no pairs are shuffled. Adds alias_ord and score.
+    Ranks are taken inside each row over the fixed gazetteer, so no pairs are shuffled. Adds alias_key and score.
     """
-    aliases = [key for _, key, _ in alias_rows(spark, gazetteer)]
-    scored = keys.withColumn("_scores", alias_scorer(aliases)("name_key"))
+    aliases = [key for _, key, _ in alias_rows(keys.sparkSession, gazetteer)]
     ranked = F.transform(
         "_scores",
         lambda s: F.struct((-s["weighted"]).alias("w"), s["alias_ord"].alias("ord"), s["best"].alias("best")),
@@ -124,91 +128,56 @@ def best_alias(keys, spark, gazetteer=GAZETTEER):
         F.transform(top, lambda s: F.struct((-s["best"]).alias("b"), s["w"].alias("w"), s["ord"].alias("ord")))
     )
     return (
-        scored.withColumn("_best", best)
+        keys.withColumn("_scores", alias_scorer(aliases)("fuzzy_key"))
+        .withColumn("_best", best)
         .withColumn("alias_key", F.element_at(F.array(*[F.lit(a) for a in aliases]), F.col("_best.ord") + 1))
         .withColumn("score", -F.col("_best.b"))
         .drop("_scores", "_best")
     )
 
 
-def _resolution(canonical, confidence, method):
-    return F.struct(
-        canonical.alias("canonical"),
-        F.lit(confidence).cast("double").alias("confidence") if isinstance(confidence, float) else confidence,
-        F.lit(method).alias("method"),
+def resolve_names(names, name, gazetteer=GAZETTEER, min_score=MIN_SCORE):
+    """canonical, resolution_confidence and resolution_method of distinct names: exact alias first, then fuzzy."""
+    aliases = alias_table(names.sparkSession, gazetteer).select("alias_key", "canonical")
+    # The alias table is a fixed dictionary supplied by the caller, never data.
+    exact = F.broadcast(aliases.select(F.col("alias_key").alias("name_key"), F.col("canonical").alias("exact")))
+    fuzzy = F.broadcast(aliases)
+    letters = letters_in(F.col("name_key"))
+    found = with_keys(names, name).join(exact, "name_key", "left").withColumn("letters", letters)
+    unmatched = F.col("exact").isNull() & (F.col("letters") >= FUZZY_LETTERS)
+    scored = best_alias(found.withColumn("fuzzy_key", F.when(unmatched, F.col("name_key"))), gazetteer)
+    needed = F.when(F.col("letters") <= SHORT_LETTERS, MIN_SCORE_SHORT).otherwise(min_score)
+    method = (
+        F.when(F.col("clean_name") == "", "empty_input")
+        .when(F.col("exact").isNotNull(), "exact_alias")
+        .when(F.col("letters") < FUZZY_LETTERS, "unresolved_short_input")
+        .when(F.col("score") >= needed, "fuzzy_match")
+        .otherwise("unresolved")
     )
-
-
-def resolve_leftovers(names, gazetteer=GAZETTEER, min_score=MIN_SCORE):
-    """Resolution of distinct clean names (clean_name, name_key or null, n_rows) that the exact lookup left open."""
-    spark = names.sparkSession
-    aliases = alias_table(spark, gazetteer)
-    key = F.coalesce("name_key", normalise_ascii(fold_accents("clean_name")))
-    keyed = names.withColumn("name_key", key).join(
-        F.broadcast(aliases.select(F.col("alias_key").alias("name_key"), F.col("canonical").alias("exact"))),
-        "name_key",
-        "left",
-    )
-    fuzzy = F.col("exact").isNull() & (letters_in(F.col("name_key")) >= FUZZY_LETTERS)
-    scored = best_alias(
-        keyed.withColumn("_key", F.col("name_key")).withColumn("name_key", F.when(fuzzy, F.col("name_key"))),
-        spark,
-        gazetteer,
-    ).join(F.broadcast(aliases.select("alias_key", "canonical")), "alias_key", "left")
-    needed = F.when(letters_in(F.col("_key")) <= SHORT_LETTERS, MIN_SCORE_SHORT).otherwise(min_score)
-    nothing = F.lit(None).cast("string")
-    found = (
-        F.when(F.col("exact").isNotNull(), _resolution(F.col("exact"), 1.0, "exact_alias"))
-        .when(letters_in(F.col("_key")) < FUZZY_LETTERS, _resolution(nothing, 0.0, "unresolved_short_input"))
-        .when(
-            F.col("score") >= needed,
-            _resolution(F.col("canonical"), round2(F.col("score") / 100).alias("confidence"), "fuzzy_match"),
+    is_method = lambda m: F.col("resolution_method") == m
+    return (
+        scored.join(fuzzy, "alias_key", "left")
+        .withColumn("resolution_method", method)
+        .withColumn(
+            "canonical",
+            F.when(is_method("exact_alias"), F.col("exact")).when(is_method("fuzzy_match"), F.col("canonical")),
         )
-        .otherwise(_resolution(nothing, 0.0, "unresolved"))
+        .withColumn(
+            "resolution_confidence",
+            F.when(is_method("exact_alias"), 1.0)
+            .when(is_method("fuzzy_match"), round2(F.col("score") / 100))
+            .otherwise(0.0),
+        )
+        .select(name, "canonical", "resolution_confidence", "resolution_method", "n_rows")
     )
-    return scored.select("clean_name", found.alias("_found"), "n_rows")
 
 
 def resolve_districts(df, name, spread, only=None, gazetteer=GAZETTEER, min_score=MIN_SCORE):
     """Adds canonical, resolution_confidence and resolution_method for the raw names in column `name`.
 
-    Exact matches need no shuffle (the fixed gazetteer is broadcast). Names still open are grouped first, so each is
-    scored once however many rows carry it, and joined back with hot names handled apart. `only` restricts which rows
-    are resolved; `spread` names columns that tell rows apart.
+    Names are counted first, so each distinct one is cleaned, looked up and scored once however many rows carry it.
+    The result is staged and joined back: broadcast while short, else with hot names handled apart. `only` restricts
+    which rows are resolved; `spread` names columns that tell rows apart.
     """
-    only = F.lit(True) if only is None else only
-    aliases = alias_table(df.sparkSession, gazetteer).select(
-        F.col("alias_key").alias("_key"), F.col("canonical").alias("_exact")
-    )
-    clean = F.when(only, clean_name(F.col(name)))
-    keyed = (
-        df.withColumn("_clean", clean)
-        .withColumn("_key", F.when(~needs_folding(F.col("_clean")), normalise_ascii(F.col("_clean"))))
-        .join(F.broadcast(aliases), "_key", "left")
-    )
-    open_name = (
-        F.col("_exact").isNull()
-        & (F.col("_clean") != "")
-        & (F.col("_key").isNull() | (letters_in(F.col("_key")) >= FUZZY_LETTERS))
-    )
-    leftovers = (
-        keyed.where(open_name)
-        .groupBy(F.col("_clean").alias("clean_name"), F.col("_key").alias("name_key"))
-        .agg(F.count("*").alias("n_rows"))
-    )
-    lookup = stage(resolve_leftovers(leftovers, gazetteer, min_score)).withColumnRenamed("clean_name", "_clean")
-    joined = attach(keyed, lookup, ["_clean"], spread, needed=open_name)
-    nothing = F.lit(None).cast("string")
-    found = (
-        F.when(F.col("_exact").isNotNull(), _resolution(F.col("_exact"), 1.0, "exact_alias"))
-        .when(F.col("_clean") == "", _resolution(nothing, 0.0, "empty_input"))
-        .when(open_name, F.col("_found"))
-        .when(F.col("_clean").isNotNull(), _resolution(nothing, 0.0, "unresolved_short_input"))
-    )
-    return (
-        joined.withColumn("_r", found)
-        .withColumn("canonical", F.col("_r.canonical"))
-        .withColumn("resolution_confidence", F.col("_r.confidence"))
-        .withColumn("resolution_method", F.col("_r.method"))
-        .drop("_clean", "_key", "_exact", "_found", "_r")
-    )
+    names = _distinct(df, name, only)
+    return attach(df, stage(resolve_names(names, name, gazetteer, min_score)), [name], spread, needed=only)

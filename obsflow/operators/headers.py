@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.numbers import is_numeric
-from ..functions.text import WS, has_text, is_blank, strip
+from ..functions.text import WS, has_text, is_blank, let, strip
 from ..plans.skew import attach
 from ..plans.staging import stage
 
@@ -12,25 +12,29 @@ _INTEGER = rf"^[{WS}]*0*([0-9]+)[{WS}]*$"
 _FRAGMENT = r"^[|\]})]*[0-9]+(\.[0-9]+)?[|\]})]*$"
 
 
-def classify_rows(raw_rows):
-    """Adds `kind`: blank, banner, index, header or data, tested in that order."""
-    numbered = lambda c, i: F.regexp_extract(c, _INTEGER, 1) == (i + 1).cast("string")
-    present, filled = F.size("_present"), F.col("_filled")
-    first_two = strip(F.get("_present", F.lit(0))) == strip(F.get("_present", F.lit(1)))
-    same = F.size(F.array_distinct(F.transform("_present", strip))) == 1
-    return (
-        raw_rows.withColumn("_present", F.filter("cells", lambda c: c.isNotNull()))
-        .withColumn("_filled", F.size(F.filter("_present", has_text)))
-        .withColumn(
-            "kind",
-            F.when(present == 0, "blank")
-            .when((present >= 2) & first_two & same, "banner")
-            .when((filled >= 2) & (F.size(F.filter("cells", numbered)) >= 0.6 * filled), "index")
-            .when(F.size(F.filter("_present", is_numeric)) < 0.5 * present, "header")
-            .otherwise("data"),
+def row_kind(cells):
+    """blank, banner, index, header or data, tested in that order."""
+
+    def kind(present):
+        same = F.size(F.array_distinct(F.transform(present, strip))) == 1
+        first_two = strip(F.get(present, F.lit(0))) == strip(F.get(present, F.lit(1)))
+        numbered = F.filter(cells, lambda c, i: F.regexp_extract(c, _INTEGER, 1) == (i + 1).cast("string"))
+        index = let(
+            F.size(F.filter(present, has_text)), lambda filled: (filled >= 2) & (F.size(numbered) >= 0.6 * filled)
         )
-        .drop("_present", "_filled")
-    )
+        return (
+            F.when(F.size(present) == 0, "blank")
+            .when((F.size(present) >= 2) & first_two & same, "banner")
+            .when(index, "index")
+            .when(F.size(F.filter(present, is_numeric)) < 0.5 * F.size(present), "header")
+            .otherwise("data")
+        )
+
+    return let(F.filter(cells, lambda c: c.isNotNull()), kind)
+
+
+def classify_rows(raw_rows):
+    return raw_rows.withColumn("kind", row_kind(F.col("cells")))
 
 
 def data_starts(raw_rows):
@@ -63,8 +67,9 @@ def header_parts(raw_rows, starts):
     above = _top_rows(raw_rows, starts, -1)
     text = F.replace(strip(F.col("cell")), F.lit("\n"), F.lit(" "))
     return (
-        classify_rows(above)
-        .where("kind = 'header'")
+        # Only rows above the data are tested, not every row below the join.
+        above.withColumn("cells", F.when(F.col("row_idx") < F.col("data_start"), F.col("cells")))
+        .where(row_kind(F.col("cells")) == "header")
         .select("table_id", "row_idx", F.posexplode("cells").alias("col_idx", "cell"))
         .where(~is_blank(F.col("cell")))
         .select("table_id", "col_idx", "row_idx", text.alias("text"))

@@ -230,7 +230,8 @@ def reply_columns(replies):
     """(table_id, map_ord, col_idx, field, indicator, unit) from the all-digit keys of each reply."""
     spec = lambda k: F.try_element_at("_spec", F.lit(k))
     return (
-        replies.select("table_id", F.posexplode(json_object(F.col("reply"))).alias("map_ord", "_key", "_value"))
+        # The outer form keeps Spark from parsing the reply again to test it for entries first.
+        replies.select("table_id", F.posexplode_outer(json_object(F.col("reply"))).alias("map_ord", "_key", "_value"))
         .where(F.col("_key").rlike("^[0-9]+$"))
         .withColumn("_spec", F.from_json("_value", "map<string,string>"))
         .select(

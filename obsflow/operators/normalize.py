@@ -231,10 +231,18 @@ def normalize_tables(
         period.alias("period"),
     )
     resolved = resolve_entities(keep(filled), gazetteer)
-    values = resolved.withColumn("v", F.explode("value_columns")).withColumn(
-        "value", parse_number(F.get("cells", F.col("v.col_idx")))
+    parsed = F.transform(
+        "value_columns",
+        lambda v: F.struct(
+            v["col_idx"].alias("col_idx"),
+            v["indicator"].alias("indicator"),
+            v["unit"].alias("unit"),
+            parse_number(F.get("cells", v["col_idx"])).alias("value"),
+        ),
     )
-    return values.where(F.col("value").isNotNull()).select(
+    # The outer form keeps Spark from parsing every cell again to test for values; rows without any drop after it.
+    values = resolved.withColumn("v", F.explode_outer(F.filter(parsed, lambda v: v["value"].isNotNull())))
+    return values.where("v IS NOT NULL").select(
         "table_id",
         "row_idx",
         F.col("v.col_idx").alias("col_idx"),
@@ -246,7 +254,7 @@ def normalize_tables(
         "date",
         "period",
         F.col("v.indicator").alias("indicator"),
-        "value",
+        F.col("v.value").alias("value"),
         F.col("v.unit").alias("unit"),
         "source_document",
         "source_page",

@@ -115,6 +115,25 @@ samples AS (
   SELECT table_id, to_json(list(cells ORDER BY r)) AS sample_rows
   FROM raw JOIN starts USING (table_id) WHERE r BETWEEN data_start AND data_start + 4 GROUP BY table_id)"""
 
+# Shared leading or trailing parts of the headers in texts (id, pos, h).
+COMPACT = """
+parted AS (SELECT id, pos, h, string_split(h, ' - ') AS p FROM texts),
+sized AS (SELECT id, count(*) AS n, greatest(2, count(*) // 2) AS enough FROM texts GROUP BY id),
+ends AS (SELECT id, trim(p[-1]) AS text, count(*) AS c FROM parted WHERE len(p) > 1 GROUP BY ALL),
+fronts AS (SELECT id, trim(p[1]) AS text, count(*) AS c FROM parted WHERE len(p) > 1 GROUP BY ALL),
+suffixes AS (SELECT id, first(text ORDER BY c DESC, text) AS text, max(c) AS c FROM ends GROUP BY id),
+prefixes AS (SELECT id, first(text ORDER BY c DESC, text) AS text, max(c) AS c FROM fronts GROUP BY id),
+compacted AS (
+  SELECT q.id, to_json(list(
+    CASE WHEN z.n < 3 OR len(p) = 1 THEN h
+         WHEN s.c >= z.enough THEN
+           CASE WHEN trim(p[-1]) = s.text THEN array_to_string(p[1:len(p) - 1], ' - ') ELSE h END
+         WHEN f.c >= z.enough THEN
+           CASE WHEN trim(p[1]) = f.text THEN array_to_string(p[2:], ' - ') ELSE h END
+         ELSE h END ORDER BY q.pos)) AS headers
+  FROM parted q JOIN sized z USING (id) LEFT JOIN suffixes s USING (id) LEFT JOIN prefixes f USING (id)
+  GROUP BY q.id)"""
+
 # ---------------------------------------------------------------- mapping replies, by the rule that made them
 
 META = f"""
@@ -296,8 +315,6 @@ def _oracle():
     cell = "cells[i]"
     lower = f"lower(trim({cell}))"
     report = "'report-' || substr(source_document, 5) || '.docx'"
-    header_list = "to_json(list(header ORDER BY col_idx))"
-    # The last part of these headers repeats on every column but the first, so it is dropped from them.
     return {
         "parse_cells": query(
             [RAW],
@@ -326,34 +343,18 @@ def _oracle():
             [RAW, "starts AS (SELECT DISTINCT table_id, 4 AS data_start FROM raw)", FILLED],
             "SELECT table_id, r AS row_idx, strftime(date, '%Y-%m-%d') AS date, period FROM stuck",
         ),
-        "compact_headers": """
-            WITH texts AS (
-              SELECT l_orderkey,
-                CASE l_orderkey % 3 WHEN 0 THEN l_partkey || ' - ' || l_returnflag || ' - ' || l_linestatus
-                                    WHEN 1 THEN l_linestatus || ' - ' || l_partkey ELSE l_partkey || '' END AS h
-              FROM lineitem),
-            parted AS (
-              SELECT l_orderkey, h, string_split(h, ' - ') AS p,
-                     row_number() OVER (PARTITION BY l_orderkey ORDER BY h) AS n FROM texts),
-            sized AS (SELECT l_orderkey, count(*) AS n, greatest(2, count(*) // 2) AS enough FROM texts GROUP BY l_orderkey),
-            ends AS (
-              SELECT l_orderkey, p[-1] AS text, count(*) AS c FROM parted WHERE len(p) > 1 GROUP BY ALL),
-            fronts AS (
-              SELECT l_orderkey, p[1] AS text, count(*) AS c FROM parted WHERE len(p) > 1 GROUP BY ALL),
-            suffixes AS (
-              SELECT l_orderkey, first(text ORDER BY c DESC, text) AS text, max(c) AS c FROM ends GROUP BY l_orderkey),
-            prefixes AS (
-              SELECT l_orderkey, first(text ORDER BY c DESC, text) AS text, max(c) AS c FROM fronts GROUP BY l_orderkey)
-            SELECT q.l_orderkey, to_json(list(
-              CASE WHEN z.n < 3 OR len(p) = 1 THEN h
-                   WHEN s.c >= z.enough THEN
-                     CASE WHEN p[-1] = s.text THEN array_to_string(p[1:len(p) - 1], ' - ') ELSE h END
-                   WHEN f.c >= z.enough THEN
-                     CASE WHEN p[1] = f.text THEN array_to_string(p[2:], ' - ') ELSE h END
-                   ELSE h END ORDER BY q.n)) AS headers
-            FROM parted q JOIN sized z USING (l_orderkey) LEFT JOIN suffixes s USING (l_orderkey)
-                 LEFT JOIN prefixes f USING (l_orderkey)
-            GROUP BY q.l_orderkey""",
+        "compact_headers": query(
+            [
+                """texts AS (
+              SELECT l_orderkey AS id, row_number() OVER (PARTITION BY l_orderkey ORDER BY h) AS pos, h FROM (
+                SELECT l_orderkey,
+                  CASE l_orderkey % 3 WHEN 0 THEN l_partkey || ' - ' || l_returnflag || ' - ' || l_linestatus
+                                      WHEN 1 THEN l_linestatus || ' - ' || l_partkey ELSE l_partkey || '' END AS h
+                FROM lineitem))""",
+                COMPACT,
+            ],
+            "SELECT id AS l_orderkey, headers FROM compacted",
+        ),
         "mapping_metadata": query(
             [META],
             f"""SELECT table_id, stated_column AS entity_column, entity_type, entity_type_confidence,
@@ -376,7 +377,15 @@ def _oracle():
                SELECT table_id, 0, 'ignore', 'value_col_0', '' FROM meta WHERE NOT has_columns""",
         ),
         "mapping_requests": query(
-            [RAW, KINDS, HEADERS, META, PARAGRAPHS],
+            [
+                RAW,
+                KINDS,
+                HEADERS,
+                META,
+                PARAGRAPHS,
+                "texts AS (SELECT table_id AS id, col_idx AS pos, coalesce(header, '') AS h FROM heads)",
+                COMPACT,
+            ],
             f"""SELECT h.table_id, {template(
                 TABLE_PROMPT,
                 "t.source_document",
@@ -384,7 +393,7 @@ def _oracle():
                 "h.headers",
                 "coalesce(CAST(s.sample_rows AS VARCHAR), '[]')",
             )} AS prompt
-            FROM (SELECT table_id, {header_list} AS headers FROM heads GROUP BY table_id) h
+            FROM (SELECT id AS table_id, headers FROM compacted) h
               JOIN tables t USING (table_id) LEFT JOIN samples s USING (table_id)
               LEFT JOIN (SELECT {report} AS source_document, context FROM contexts) c USING (source_document)""",
         ),

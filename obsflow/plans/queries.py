@@ -165,7 +165,7 @@ def gazetteer(spark, sf_dir):
 
 
 def normalise_names(spark, sf_dir):
-    named = G.normalise_names(D.names(spark, sf_dir), "name")
+    named = G.normalise_names(D.names(spark, sf_dir), "name", ["id"])
     return named.select("id", "clean_name", "name_key", letters_in(F.col("name_key")).alias("letters"))
 
 

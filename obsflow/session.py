@@ -15,6 +15,8 @@ def local_session(cpus="*", shuffle_partitions=8, memory="8g"):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
+        # HotSpot leaves methods over 8,000 bytes of bytecode uncompiled; let Spark split such stages instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

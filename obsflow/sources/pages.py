@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import has_text
 from ..plans.skew import dense_index
 
 PAGES_PER_BLOCK = 10_000
@@ -10,7 +10,7 @@ PAGES_PER_BLOCK = 10_000
 
 def page_paragraphs(page_text, block_rows=PAGES_PER_BLOCK):
     """(doc, page, text) to paragraphs: one per page in page order, blank pages dropped."""
-    kept = page_text.where(strip(F.col("text")) != "").select(F.col("doc").alias("source_document"), "page", "text")
+    kept = page_text.where(has_text(F.col("text"))).select(F.col("doc").alias("source_document"), "page", "text")
     return dense_index(kept, "source_document", "page", "para_idx", block_rows).select(
         "source_document", "para_idx", "text"
     )
