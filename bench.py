@@ -21,7 +21,8 @@ HEADLINE = (
     "resolve_districts",
     "forward_fill_entities",
     "sticky_period",
-    "parse_cells",
+    "classify_rows",
+    "table_samples",
     "map_columns",
     "obs_datasets",
     "obs_query",

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import has_text, strip_long, word_count_upto
+from ..plans.staging import stage
 from .mapping import CONTEXT_CHARS, CONTEXT_PARAGRAPHS
 
 MIN_WORDS = 5
@@ -159,10 +160,16 @@ def chunk_paragraphs(paragraphs, domains=None, block_paragraphs=BLOCK_PARAGRAPHS
         .groupBy("source_document", "block")
         .agg(F.array_sort(F.collect_list(F.struct("para_idx", "w", "short"))).alias("items"))
     )
-    # Only documents past one block need entry states; both joins reuse the grouping's partitioning.
-    later = paragraphs.where(F.col("para_idx") >= block_paragraphs).select("source_document", block)
-    several = later.union(later.select("source_document", F.lit(0).cast("long"))).distinct()
-    entries = _block_entries(blocks.join(several, ["source_document", "block"], "left_semi"))
+    # Only documents past one block need entry states; mostly there are none, and then nothing is planned for them.
+    later = stage(
+        paragraphs.where(F.col("para_idx") >= block_paragraphs).select("source_document", block).distinct()
+    )
+    split = not later.isEmpty()
+    entered = {"last": F.lit(True), "pending": F.lit(0), "chunks": F.lit(0).cast("long"), "words": F.lit("")}
+    if split:
+        # Both joins reuse the grouping's partitioning.
+        several = later.union(later.select("source_document", F.lit(0).cast("long"))).distinct()
+        entries = _block_entries(blocks.join(several, ["source_document", "block"], "left_semi"))
     tags = []
     if domains is not None:
         # Tagged per block, so that a document holding most paragraphs is not one task here either.
@@ -170,13 +177,11 @@ def chunk_paragraphs(paragraphs, domains=None, block_paragraphs=BLOCK_PARAGRAPHS
         places = text.select("source_document", block).distinct()
         tagged = places.join(domains.select("source_document", "domain"), "source_document", "left")
         blocks = blocks.join(tagged, ["source_document", "block"])
-    placed = blocks.join(entries, ["source_document", "block"], "left").select(
+    placed = blocks.join(entries, ["source_document", "block"], "left") if split else blocks
+    placed = placed.select(
         "source_document",
         "items",
-        F.coalesce("last", F.lit(True)).alias("last"),
-        F.coalesce("pending", F.lit(0)).alias("pending"),
-        F.coalesce("chunks", F.lit(0)).alias("chunks"),
-        F.coalesce("words", F.lit("")).alias("words"),
+        *[(F.coalesce(c, default) if split else default).alias(c) for c, default in entered.items()],
         *tags,
     )
     entry = F.when(F.col("pending") > 0, F.col("pending").cast("string")).otherwise("")

@@ -6,7 +6,7 @@ from ..functions.fuzzy import alias_scorer
 from ..functions.names import clean_name, fold_accents, letters_in, needs_folding, normalise_ascii
 from ..functions.numbers import round2
 from ..plans.skew import attach
-from ..plans.staging import stage
+from ..plans.staging import spread_out, stage
 
 # Canonical district name: other spellings (fixed values).
 GAZETTEER = {
@@ -143,7 +143,7 @@ def resolve_names(names, name, gazetteer=GAZETTEER, min_score=MIN_SCORE):
     exact = F.broadcast(aliases.select(F.col("alias_key").alias("name_key"), F.col("canonical").alias("exact")))
     fuzzy = F.broadcast(aliases)
     letters = letters_in(F.col("name_key"))
-    found = with_keys(names, name).join(exact, "name_key", "left").withColumn("letters", letters)
+    found = with_keys(spread_out(names, name), name).join(exact, "name_key", "left").withColumn("letters", letters)
     unmatched = F.col("exact").isNull() & (F.col("letters") >= FUZZY_LETTERS)
     scored = best_alias(found.withColumn("fuzzy_key", F.when(unmatched, F.col("name_key"))), gazetteer)
     needed = F.when(F.col("letters") <= SHORT_LETTERS, MIN_SCORE_SHORT).otherwise(min_score)

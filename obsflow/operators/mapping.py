@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import clamp01, round2
 from ..functions.text import null_like, strip
+from ..plans.staging import spread_out
 from ..schemas import REPLIES
 from ..sources.files import base_name
 
@@ -164,7 +165,7 @@ def _ask(provider, prompt, wait):
             time.sleep(wait * attempt)
 
 
-def _replies(requests, key, provider, wait, on_error):
+def _replies(requests, key, provider, wait, on_error, calls):
     def answer(batches):
         for batch in batches:
             replies = []
@@ -177,17 +178,21 @@ def _replies(requests, key, provider, wait, on_error):
                     replies.append(None)
             yield pd.DataFrame({key: batch[key], "reply": replies})
 
-    return requests.mapInPandas(answer, f"{key} string, reply string")
+    spread = requests.repartition(calls, key) if calls else spread_out(requests, key)
+    return spread.mapInPandas(answer, f"{key} string, reply string")
 
 
-def map_tables(requests, provider, wait=WAIT_SECONDS):
-    """(table_id, reply): asks the caller's provider (prompt -> text) once per table, retrying on RateLimited."""
-    return _replies(requests, "table_id", provider, wait, "raise").select(*REPLIES.names)
+def map_tables(requests, provider, wait=WAIT_SECONDS, calls=None):
+    """(table_id, reply): asks the caller's provider (prompt -> text) once per table, retrying on RateLimited.
+
+    `calls` is how many requests may be under way at once; by default one per shuffle partition.
+    """
+    return _replies(requests, "table_id", provider, wait, "raise", calls).select(*REPLIES.names)
 
 
-def map_documents(requests, provider, wait=WAIT_SECONDS):
+def map_documents(requests, provider, wait=WAIT_SECONDS, calls=None):
     """(source_document, domain): asks once per document; a failed or unreadable reply leaves the domain null."""
-    replies = _replies(requests, "source_document", provider, wait, "null")
+    replies = _replies(requests, "source_document", provider, wait, "null", calls)
     return replies.select("source_document", document_domain(F.col("reply")).alias("domain"))
 
 

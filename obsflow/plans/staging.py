@@ -12,3 +12,9 @@ def stage(df, path=None):
     path = path or f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_out(df, *keys):
+    """One task per shuffle partition for rows that are few but slow to work on; small size alone would merge them."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *keys)
