@@ -7,6 +7,7 @@ blanks, dashes, odd dates and mixed spellings set by moduli of the order key. Te
 from pyspark.sql import functions as F
 
 from ..operators.gazetteer import spellings
+from .staging import split_enough
 
 SPELLINGS = (
     "1. Shimoga",
@@ -91,7 +92,8 @@ CASE WHEN r = 0 AND t % 7 = 0 THEN array(NULL, NULL, NULL, NULL, NULL)
 
 def raw_rows(spark, sf_dir):
     """(table_id, row_idx, cells, header_known). The nation table is small enough for Spark to broadcast by size."""
-    orders = table(spark, sf_dir, "orders").selectExpr(*KEYED, "o_custkey", "o_totalprice", "o_orderdate")
+    orders = split_enough(table(spark, sf_dir, "orders").drop("o_orderstatus", "o_orderpriority"))
+    orders = orders.selectExpr(*KEYED, "o_custkey", "o_totalprice", "o_orderdate")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
         orders.join(nation, F.expr("o_custkey % 25 = n_nationkey"))
@@ -158,9 +160,8 @@ def misspelt_names(spark, sf_dir):
 
 def documents(spark, sf_dir):
     """(source_document, paragraphs): every line of every document, whole."""
-    return table(spark, sf_dir, "documents").selectExpr(
-        "'doc-' || doc_id AS source_document", "split(text, '\n') AS paragraphs"
-    )
+    texts = split_enough(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return texts.selectExpr("'doc-' || doc_id AS source_document", "split(text, '\n') AS paragraphs")
 
 
 DOCUMENT_REPLIES = (

@@ -18,3 +18,9 @@ def spread_out(df, *keys):
     """One task per shuffle partition for rows that are few but slow to work on; small size alone would merge them."""
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(tasks, *keys)
+
+
+def split_enough(scan):
+    """Spread a plain scan that comes in fewer splits than there are cores; larger scans stay as they are."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
