@@ -112,7 +112,7 @@ heads AS (
      FROM parts p WHERE p.table_id = s.table_id AND p.col_idx = c) AS header
   FROM starts s, unnest(range(0, s.n_cols)) AS u(c)),
 samples AS (
-  SELECT table_id, to_json(list(cells ORDER BY r)) AS sample_rows
+  SELECT table_id, CAST(to_json(list(cells ORDER BY r)) AS VARCHAR) AS sample_rows
   FROM raw JOIN starts USING (table_id) WHERE r BETWEEN data_start AND data_start + 4 GROUP BY table_id)"""
 
 # Shared leading or trailing parts of the headers in texts (id, pos, h).
@@ -124,13 +124,13 @@ fronts AS (SELECT id, trim(p[1]) AS text, count(*) AS c FROM parted WHERE len(p)
 suffixes AS (SELECT id, first(text ORDER BY c DESC, text) AS text, max(c) AS c FROM ends GROUP BY id),
 prefixes AS (SELECT id, first(text ORDER BY c DESC, text) AS text, max(c) AS c FROM fronts GROUP BY id),
 compacted AS (
-  SELECT q.id, to_json(list(
+  SELECT q.id, CAST(to_json(list(
     CASE WHEN z.n < 3 OR len(p) = 1 THEN h
          WHEN s.c >= z.enough THEN
            CASE WHEN trim(p[-1]) = s.text THEN array_to_string(p[1:len(p) - 1], ' - ') ELSE h END
          WHEN f.c >= z.enough THEN
            CASE WHEN trim(p[1]) = f.text THEN array_to_string(p[2:], ' - ') ELSE h END
-         ELSE h END ORDER BY q.pos)) AS headers
+         ELSE h END ORDER BY q.pos)) AS VARCHAR) AS headers
   FROM parted q JOIN sized z USING (id) LEFT JOIN suffixes s USING (id) LEFT JOIN prefixes f USING (id)
   GROUP BY q.id)"""
 
@@ -318,7 +318,7 @@ def _oracle():
     return {
         "parse_cells": query(
             [RAW],
-            f"""SELECT table_id, r AS row_idx, i - 1 AS col_idx,
+            f"""SELECT table_id, r AS row_idx, CAST(i - 1 AS INTEGER) AS col_idx,
               coalesce({number(cell)}, -1.0) AS number,
               CASE WHEN {lower} IN ('', 'nan', 'none') THEN 0.0 WHEN regexp_matches({lower}, '[a-z]') THEN 0.2
                    WHEN {number(cell)} IS NULL THEN 0.1 ELSE 1.0 END::DOUBLE AS number_confidence,
@@ -332,9 +332,9 @@ def _oracle():
         "pad_rows": query(
             [RAW],
             """SELECT table_id, r AS row_idx, 5 AS width,
-              to_json(CASE WHEN len(cells) = 4 THEN list_append(cells, NULL) ELSE cells END) AS cells FROM raw""",
+              CAST(to_json(CASE WHEN len(cells) = 4 THEN list_append(cells, NULL) ELSE cells END) AS VARCHAR) AS cells FROM raw""",
         ),
-        "detect_headers": query([RAW, KINDS, HEADERS], "SELECT table_id, data_start, col_idx, header FROM heads"),
+        "detect_headers": query([RAW, KINDS, HEADERS], "SELECT table_id, data_start, CAST(col_idx AS INTEGER) AS col_idx, header FROM heads"),
         "table_samples": query([RAW, KINDS, HEADERS], "SELECT * FROM samples"),
         "forward_fill_entities": query(
             [RAW, KINDS, FILLED], "SELECT table_id, r AS row_idx, entity FROM filled"
@@ -391,7 +391,7 @@ def _oracle():
                 "t.source_document",
                 f"coalesce(c.context, {quoted(NOT_SPECIFIED)})",
                 "h.headers",
-                "coalesce(CAST(s.sample_rows AS VARCHAR), '[]')",
+                "coalesce(s.sample_rows, '[]')",
             )} AS prompt
             FROM (SELECT id AS table_id, headers FROM compacted) h
               JOIN tables t USING (table_id) LEFT JOIN samples s USING (table_id)
@@ -463,7 +463,7 @@ def _oracle():
               'pdf-page-' || (l_orderkey % 10 + 1) AS source_page,
               row_number() OVER (PARTITION BY l_orderkey
                 ORDER BY l_linenumber, l_partkey::VARCHAR, l_quantity::INTEGER::VARCHAR) - 1 AS row_idx,
-              to_json([l_partkey::VARCHAR, l_quantity::INTEGER::VARCHAR]) AS cells
+              CAST(to_json([l_partkey::VARCHAR, l_quantity::INTEGER::VARCHAR]) AS VARCHAR) AS cells
             FROM lineitem WHERE l_orderkey % 7 <> 0""",
         "document_context": query([PARAGRAPHS], "SELECT source_document, context FROM contexts"),
         "document_domains": query([PARAGRAPHS], "SELECT * FROM domains"),
