@@ -1,6 +1,6 @@
 """The operators applied to whole tables, and their SQL where SQL can express them."""
 
-from . import exact_dedup, mixing
+from . import byte_bpe, exact_dedup, mixing, token_counts
 
 
 def _documents(spark, sf_dir):
@@ -11,15 +11,25 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.deduplicate(_documents(spark, sf_dir))
 
 
+def op5_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(_documents(spark, sf_dir))
+
+
 def op9_mixing(spark, sf_dir):
     return mixing.mix(_documents(spark, sf_dir))
 
 
+def op10_byte_bpe(spark, sf_dir):
+    return byte_bpe.round_trip(_documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup,
+        op5_token_counts,
         op9_mixing,
+        op10_byte_bpe,
     )
 }
 
