@@ -1,6 +1,16 @@
 """The operators applied to whole tables, and their SQL where SQL can express them."""
 
-from . import byte_bpe, exact_dedup, mixing, token_counts
+from . import (
+    byte_bpe,
+    exact_dedup,
+    license_scan,
+    mixing,
+    quality_crf,
+    quality_rules,
+    secret_scan,
+    token_counts,
+    url_filter,
+)
 
 
 def _documents(spark, sf_dir):
@@ -11,10 +21,31 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.deduplicate(_documents(spark, sf_dir))
 
 
+def op3_quality_classifier(spark, sf_dir):
+    return quality_crf.classify(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op4_license_scans(spark, sf_dir):
+    return license_scan.scan_licenses(_documents(spark, sf_dir))
+
+
 def op5_token_counts(spark, sf_dir):
     return token_counts.count_tokens(_documents(spark, sf_dir))
 
 
+def op6_quality_rules(spark, sf_dir):
+    return quality_rules.judge(_documents(spark, sf_dir))
+
+
+def op7_url_filters(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return url_filter.judge(pages, url_filter.rule_labels(pages))
+
+
+def op8_secret_scans(spark, sf_dir):
+    return secret_scan.scan_secrets(_documents(spark, sf_dir))
+
+
 def op9_mixing(spark, sf_dir):
     return mixing.mix(_documents(spark, sf_dir))
 
@@ -27,7 +58,12 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup,
+        op3_quality_classifier,
+        op4_license_scans,
         op5_token_counts,
+        op6_quality_rules,
+        op7_url_filters,
+        op8_secret_scans,
         op9_mixing,
         op10_byte_bpe,
     )
