@@ -139,14 +139,32 @@ def map_blocks(docs, id_type, work, fields):
     return docs.mapInArrow(run, f"doc_id {id_type}, {fields}")
 
 
-def blocks(batches, limit=BLOCK_BYTES):
-    """(ids, texts as bytes) of batches with columns id and text, about `limit` bytes at a time."""
+def filter_blocks(docs, text_col, keep):
+    """The rows of `docs`, all columns as they are, for which `keep(Block)` has true."""
+
+    def run(batches):
+        for batch in batches:
+            for a, part in _cuts(batch.column(batch.schema.get_field_index(text_col))):
+                wanted = keep(Block([t or b"" for t in part.to_pylist()]))
+                yield batch.slice(a, len(part)).filter(pa.array(wanted))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def blocks(batches):
+    """(ids, texts as bytes) of batches with columns id and text, about a block at a time."""
     for batch in batches:
-        texts = batch.column(1).cast(pa.large_binary())
-        total = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-        a = 0
-        while a < batch.num_rows:
-            before = total[a - 1] if a else 0
-            b = max(int(np.searchsorted(total, before + limit, "right")), a + 1)
-            yield batch.column(0).slice(a, b - a), texts.slice(a, b - a).to_pylist()
-            a = b
+        for a, part in _cuts(batch.column(1)):
+            yield batch.column(0).slice(a, len(part)), part.to_pylist()
+
+
+def _cuts(texts, limit=BLOCK_BYTES):
+    """(place, slice) of a column of texts, as bytes, cut to about `limit` bytes each."""
+    texts = texts.cast(pa.large_binary())
+    total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    a = 0
+    while a < len(texts):
+        before = total[a - 1] if a else 0
+        b = max(int(np.searchsorted(total, before + limit, "right")), a + 1)
+        yield a, texts.slice(a, b - a)
+        a = b

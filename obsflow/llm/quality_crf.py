@@ -17,7 +17,7 @@ conflicting labels count as the lower one. An empty table gives no rows.
 import numpy as np
 from pyspark.sql import functions as F
 
-from .arrays import Block, blocks, later_copies, map_blocks, repeat_words
+from .arrays import Block, blocks, filter_blocks, later_copies, map_blocks, repeat_words
 from .texts import pairs
 
 SAMPLE = 3_000
@@ -232,9 +232,19 @@ def sample(docs, labels, rows=SAMPLE, id_col="doc_id", text_col="text"):
     return [(np.frombuffer(n), np.frombuffer(x).reshape(-1, WIDTH), label) for label, n, x in ordered]
 
 
+def trained(docs, labels, id_col="doc_id", text_col="text"):
+    return docs.sparkSession.sparkContext.broadcast(fit(sample(docs, labels, SAMPLE, id_col, text_col)))
+
+
+def keep_good(docs, labels, id_col="doc_id", text_col="text", threshold=THRESHOLD):
+    """The documents, all columns, that score `threshold` or more; without labels of both kinds none does."""
+    model = trained(docs, labels, id_col, text_col)
+    return filter_blocks(docs, text_col, lambda block: score_block(block, model.value)[0] >= threshold)
+
+
 def classify(docs, labels, id_col="doc_id", text_col="text", threshold=THRESHOLD):
     """One row per document: doc_id, held_out, score (probability of label 1), predicted."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(sample(docs, labels, SAMPLE, id_col, text_col)))
+    model = trained(docs, labels, id_col, text_col)
     source = pairs(docs, id_col, text_col)
     id_type = source.schema["doc_id"].dataType.simpleString()
     scored = map_blocks(source, id_type, lambda block: score_block(block, model.value), "score double")

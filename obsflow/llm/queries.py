@@ -5,6 +5,7 @@ from . import (
     exact_dedup,
     license_scan,
     mixing,
+    ngram_join,
     quality_crf,
     quality_rules,
     secret_scan,
@@ -21,6 +22,10 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.deduplicate(_documents(spark, sf_dir))
 
 
+def op2_ngram_join(spark, sf_dir):
+    return ngram_join.component_rows(_documents(spark, sf_dir))
+
+
 def op3_quality_classifier(spark, sf_dir):
     return quality_crf.classify(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -58,6 +63,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup,
+        op2_ngram_join,
         op3_quality_classifier,
         op4_license_scans,
         op5_token_counts,
