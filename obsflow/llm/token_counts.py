@@ -88,6 +88,8 @@ class ViterbiCounter:
             return 0
         if not self.cut:
             return self.solve(f" {text}".replace(" ", SPACE))
+        if SPACE in text:
+            text = text.replace(SPACE, " ")  # the same pieces, and cuts where they belong
         known = self.kept.get
         plain = "  " not in text and text[0] != " " and text[-1] != " "
         words = text.split(" ") if plain else [w[1:] for w in WORDS.findall(f" {text}")]
