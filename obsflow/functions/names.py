@@ -35,7 +35,8 @@ WORD_FIXES = {
     "vijayanagar": "vijayanagara",
 }
 
-_SERIAL = r"^\s*[0-9]+\s*[|.\-:\]]\s*"
+# Fixed value: a serial number before a name, in digits of any script.
+_SERIAL = r"^\s*\p{Nd}+\s*[|.\-:\]]\s*"
 
 
 def clean_name(c):

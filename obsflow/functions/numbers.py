@@ -27,10 +27,24 @@ def _plain_number(c):
     return let(digits, lambda d: F.when(d != "", d.try_cast("double")))
 
 
+def ascii_digits(c):
+    """Decimal digits of any script as 0-9."""
+    return F.when(is_ascii(c), c).otherwise(F.translate(c, "".join(_DIGITS), _DIGIT_VALUES))
+
+
 def parse_number(c):
     """Plain decimal text to double; anything with a letter, or not a number, is null."""
-    digits = F.translate(c, "".join(_DIGITS), _DIGIT_VALUES)
-    return F.when(is_ascii(c), _plain_number(c)).otherwise(_plain_number(digits))
+    return _plain_number(ascii_digits(c))
+
+
+def parse_float(c):
+    """Text of a whole cell as a double where is_numeric holds; a trailing type letter, as in 0.5d, is no number."""
+    return F.when(is_numeric(c), ascii_digits(strip(c)).try_cast("double"))
+
+
+def parse_whole(c):
+    """Text of a whole number as an int; 1.5 is none."""
+    return F.when(c.rlike(rf"^[{WS}]*[+-]?[0-9]+[{WS}]*$"), strip(c).try_cast("int"))
 
 
 def number_confidence(c):
@@ -54,6 +68,12 @@ def parse_year(c):
     return F.nullif(parse_number(c), F.lit(0.0)).try_cast("int")
 
 
+def year_or(c, default):
+    """The year of a cell, else the default; null where the cell holds a number beyond an int, which no year is."""
+    number = F.nullif(parse_number(c), F.lit(0.0))
+    return let(number, lambda n: F.when(n.isNull(), F.lit(default)).otherwise(n.try_cast("int")))
+
+
 def round2(c):
     return F.bround(c, 2)
 
@@ -79,8 +99,9 @@ def format_g(c):
         scientific = F.concat(mantissa, F.regexp_extract(text, r"(e.*)$", 1))
         return F.when(_exponent(text).between(-4, 5), fixed).otherwise(scientific)
 
-    # The formatter rounds halves up; settle them to even first where the sixth digit is a whole number.
-    step = F.pow(F.lit(10.0), (_exponent(F.format_string("%.5e", c)) - 5).cast("double"))
-    even = let(step, lambda s: F.rint(c / s) * s)
-    settled = F.when((F.abs(c) >= 1e5) & (F.abs(c) < 1e15), even).otherwise(c)
+    # The formatter rounds halves up; settle them to even first. Powers of ten up to the 22nd are exact doubles.
+    places = (5 - _exponent(F.format_string("%.5e", c))).cast("double")
+    power = F.pow(F.lit(10.0), F.abs(places))
+    even = F.when(places >= 0, let(power, lambda s: F.rint(c * s) / s)).otherwise(let(power, lambda s: F.rint(c / s) * s))
+    settled = F.when((F.abs(c) >= 1e-17) & (F.abs(c) < 1e27), even).otherwise(c)
     return F.when(c == 0, "0").when(c.isNotNull(), let(F.format_string("%.5e", settled), shown))

@@ -210,9 +210,13 @@ def chunk_paragraphs(paragraphs, domains=None, block_paragraphs=BLOCK_PARAGRAPHS
     )
 
 
-def document_context(paragraphs):
-    """(source_document, context): first five paragraphs joined by a space, cut at 1,500 characters."""
-    first = paragraphs.where(F.col("para_idx") < CONTEXT_PARAGRAPHS)
+def document_context(paragraphs, n=CONTEXT_PARAGRAPHS, chars=CONTEXT_CHARS):
+    """(source_document, context): first n paragraphs joined by a space, cut at `chars` characters.
+
+    Each paragraph is cut before it moves; what lies past the cut could not be in the result.
+    """
+    opening = F.substring("text", 1, chars).alias("text")
+    first = paragraphs.where(F.col("para_idx") < n).select("source_document", "para_idx", opening)
     ordered = F.array_sort(F.collect_list(F.struct("para_idx", "text")))
     joined = F.array_join(F.transform(ordered, lambda p: p["text"]), " ")
-    return first.groupBy("source_document").agg(F.substring(joined, 1, CONTEXT_CHARS).alias("context"))
+    return first.groupBy("source_document").agg(F.substring(joined, 1, chars).alias("context"))

@@ -56,11 +56,15 @@ MIN_SCORE_SHORT = 90
 SHORT_LETTERS = 6
 FUZZY_LETTERS = 5
 CANDIDATES = 5
+MOST_SPELLINGS = 10_000
 
 
 def spellings(gazetteer=GAZETTEER):
     """Every spelling in order: each canonical name followed by its aliases."""
-    return [(name, canonical) for canonical, aliases in gazetteer.items() for name in (canonical, *aliases)]
+    listed = [(name, canonical) for canonical, aliases in gazetteer.items() for name in (canonical, *aliases)]
+    if len(listed) > MOST_SPELLINGS:
+        raise ValueError(f"a gazetteer is sent to every task: at most {MOST_SPELLINGS} spellings")
+    return listed
 
 
 def _values(spark, rows, columns):

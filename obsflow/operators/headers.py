@@ -2,14 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.numbers import is_numeric
+from ..functions.numbers import ascii_digits, is_numeric
 from ..functions.text import WS, has_text, is_blank, let, strip
 from ..plans.skew import attach
 from ..plans.staging import stage
 
 SAMPLE_ROWS = 5
 _INTEGER = rf"^[{WS}]*0*([0-9]+)[{WS}]*$"
-_FRAGMENT = r"^[|\]})]*[0-9]+(\.[0-9]+)?[|\]})]*$"
+_FRAGMENT = r"^[|\]})]*\p{Nd}+(\.\p{Nd}+)?[|\]})]*$"
 
 
 def row_kind(cells):
@@ -18,7 +18,7 @@ def row_kind(cells):
     def kind(present):
         same = F.size(F.array_distinct(F.transform(present, strip))) == 1
         first_two = strip(F.get(present, F.lit(0))) == strip(F.get(present, F.lit(1)))
-        numbered = F.filter(cells, lambda c, i: F.regexp_extract(c, _INTEGER, 1) == (i + 1).cast("string"))
+        numbered = F.filter(cells, lambda c, i: F.regexp_extract(ascii_digits(c), _INTEGER, 1) == (i + 1).cast("string"))
         index = let(
             F.size(F.filter(present, has_text)), lambda filled: (filled >= 2) & (F.size(numbered) >= 0.6 * filled)
         )

@@ -3,13 +3,14 @@
 import time
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.numbers import clamp01, round2
+from ..functions.numbers import clamp01, parse_float, parse_whole, round2
 from ..functions.text import null_like, strip
-from ..plans.staging import spread_out
-from ..schemas import REPLIES
+from ..plans.staging import spread_out, stage
+from ..schemas import STORED_REPLIES
 from ..sources.files import base_name
 
 # Entity types a reply may use; anything else becomes "other" (fixed values).
@@ -120,8 +121,9 @@ def _or_unspecified(c):
     return F.when(c.isNull() | (c == ""), NOT_SPECIFIED).otherwise(c)
 
 
-def mapping_requests(headers, samples, raw_tables, contexts):
-    """(table_id, prompt): one request per table from its document, context, compacted headers and sample rows."""
+def mapping_requests(headers, samples, raw_tables, contexts, prompt_rows=PROMPT_ROWS):
+    """(table_id, prompt): one request per table from its document, context, compacted headers and its first
+    `prompt_rows` sample rows."""
     return (
         compact_headers(headers).join(raw_tables, "table_id")
         .join(samples, "table_id", "left")
@@ -133,7 +135,7 @@ def mapping_requests(headers, samples, raw_tables, contexts):
                 _or_unspecified(base_name(F.col("source_document"))),
                 _or_unspecified(F.col("context")),
                 F.to_json("headers", {"ignoreNullFields": "false"}),
-                F.to_json(F.slice(F.coalesce("sample_rows", F.array().cast("array<array<string>>")), 1, PROMPT_ROWS)),
+                F.to_json(F.slice(F.coalesce("sample_rows", F.array().cast("array<array<string>>")), 1, prompt_rows)),
             ).alias("prompt"),
         )
     )
@@ -155,47 +157,84 @@ TRIES = 6
 WAIT_SECONDS = 5
 
 
-def _ask(provider, prompt, wait):
-    for attempt in range(1, TRIES + 1):
+def _ask(provider, prompt, wait, tries=TRIES):
+    for attempt in range(1, tries + 1):
         try:
             return provider(prompt)
         except RateLimited:
-            if attempt == TRIES:
+            if attempt == tries:
                 raise
             time.sleep(wait * attempt)
 
 
-def _replies(requests, key, provider, wait, on_error, calls):
+def _replies(requests, key, provider, wait, tries, calls):
     def answer(batches):
         for batch in batches:
-            replies = []
+            replies, errors = [], []
             for prompt in batch["prompt"]:
                 try:
-                    replies.append(_ask(provider, prompt, wait))
-                except Exception:
-                    if on_error == "raise":
-                        raise
+                    replies.append(_ask(provider, prompt, wait, tries))
+                    errors.append(None)
+                except Exception as failure:  # one failed call is one rejected request, not a failed batch
                     replies.append(None)
-            yield pd.DataFrame({key: batch[key], "reply": replies})
+                    errors.append(f"provider failed: {failure}"[:500])
+            yield pd.DataFrame({key: batch[key], "reply": replies, "error": errors})
 
     spread = requests.repartition(calls, key) if calls else spread_out(requests, key)
-    return spread.mapInPandas(answer, f"{key} string, reply string")
+    return spread.mapInPandas(answer, f"{key} string, reply string, error string")
 
 
-def map_tables(requests, provider, wait=WAIT_SECONDS, calls=None):
-    """(table_id, reply): asks the caller's provider (prompt -> text) once per table, retrying on RateLimited.
+def map_tables(requests, provider, wait=WAIT_SECONDS, tries=TRIES, calls=None):
+    """(table_id, reply, error): asks the caller's provider (prompt -> text) once per table, retrying on RateLimited.
 
-    `calls` is how many requests may be under way at once; by default one per shuffle partition.
+    A call that fails for good has no reply and says why. `calls` is how many requests may be under way at once; by
+    default one per shuffle partition.
     """
-    return _replies(requests, "table_id", provider, wait, "raise", calls).select(*REPLIES.names)
+    return _replies(requests, "table_id", provider, wait, tries, calls)
 
 
-def map_documents(requests, provider, wait=WAIT_SECONDS, calls=None):
+def map_documents(requests, provider, wait=WAIT_SECONDS, tries=TRIES, calls=None):
     """(source_document, domain): asks once per document; a failed or unreadable reply leaves the domain null."""
-    replies = _replies(requests, "source_document", provider, wait, "null", calls)
+    replies = _replies(requests, "source_document", provider, wait, tries, calls)
     return replies.select("source_document", document_domain(F.col("reply")).alias("domain"))
 
 
+def prompt_hash():
+    return F.sha2("prompt", 256).alias("prompt_hash")
+
+
+def pending_requests(requests, stored):
+    """Requests without a stored reply (table_id, prompt_hash, reply) to just this prompt."""
+    asked = requests.select("table_id", "prompt", prompt_hash())
+    return asked.join(stored, ["table_id", "prompt_hash"], "left_anti")
+
+
+def stored_replies(spark, path):
+    """(table_id, prompt_hash, reply) at the path; empty where nothing has been stored yet."""
+    try:
+        return spark.read.schema(STORED_REPLIES).parquet(path)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing.getCondition()):
+            raise
+        return spark.createDataFrame([], STORED_REPLIES)
+
+
+def replay_tables(requests, provider, path, **options):
+    """(table_id, reply, error) of the requests: replies stored at the path are used again, only the rest is asked.
+
+    New replies are appended before they are used, so that neither a later step's failure nor a second run asks twice.
+    """
+    spark = requests.sparkSession
+    asked = stage(requests.select("table_id", "prompt", prompt_hash()))
+    pending = stage(pending_requests(asked, stored_replies(spark, path)))
+    answers = stage(map_tables(pending, provider, **options))
+    new = answers.where("error IS NULL").join(pending.select("table_id", "prompt_hash"), "table_id")
+    new.select(*STORED_REPLIES.names).write.mode("append").parquet(path)
+    known = stored_replies(spark, path).join(asked.select("table_id", "prompt_hash"), ["table_id", "prompt_hash"], "left_semi")
+    used = known.dropDuplicates(["table_id"]).select("table_id", "reply", F.lit(None).cast("string").alias("error"))
+    return used.unionByName(answers.where("error IS NOT NULL"))
+
+
 # ---------------------------------------------------------------- replies
 
 
@@ -212,7 +251,7 @@ def reply_metadata(replies):
     """(table_id, entity_column, entity_type, entity_type_confidence, entity_type_reason, domain), all checked."""
     value = lambda k: F.try_element_at("_m", F.lit(k))
     kind = F.lower(strip(value("_entity_type")))
-    column = strip(value("_entity_column")).try_cast("double").try_cast("int")
+    column = parse_whole(value("_entity_column"))
     reason = value("_entity_type_reason")
     domain = F.when(F.map_contains_key("_m", "_domain"), value("_domain")).otherwise(value("domain"))
     return (
@@ -223,7 +262,7 @@ def reply_metadata(replies):
             F.when(column >= 0, column).alias("entity_column"),
             F.when(kind.isin(*ENTITY_TYPES), kind).otherwise("other").alias("entity_type"),
             round2(
-                clamp01(F.coalesce(strip(value("_entity_type_confidence")).try_cast("double"), F.lit(0.0)))
+                clamp01(F.coalesce(parse_float(value("_entity_type_confidence")), F.lit(0.0)))
             ).alias("entity_type_confidence"),
             F.when(reason.isNull() | (reason == ""), DEFAULT_REASON).otherwise(reason).alias("entity_type_reason"),
             null_like(domain).alias("domain"),
@@ -265,6 +304,28 @@ def dedupe_indicators(column_map):
     )
 
 
+def mapping_rejects(replies):
+    """(table_id, reason) of tables that yield nothing because of their reply (table_id, reply; error if there is one)."""
+    failed = F.col("error") if "error" in replies.columns else F.lit(None).cast("string")
+    meta, columns = reply_metadata(replies), reply_columns(replies)
+    roles = columns.groupBy("table_id").agg(
+        F.max(F.col("field") == "value").alias("has_value"), F.max(F.col("field") == "entity_name").alias("has_entity")
+    )
+    flag = lambda c: F.coalesce(c, F.lit(False))
+    reason = (
+        F.when(failed.isNotNull(), failed)
+        .when(F.col("entity_type").isNull(), "unreadable reply")
+        .when(~flag(F.col("has_entity")) & F.col("entity_column").isNull(), "no entity column")
+        .when(~flag(F.col("has_value")), "no value column")
+    )
+    return (
+        replies.join(meta, "table_id", "left")
+        .join(roles, "table_id", "left")
+        .select("table_id", reason.alias("reason"))
+        .where("reason IS NOT NULL")
+    )
+
+
 def read_replies(replies):
     """(table_meta, column_map) from raw replies."""
     return reply_metadata(replies), dedupe_indicators(reply_columns(replies))

@@ -4,13 +4,11 @@ Rows are keyed by table, and by a bounded block of row numbers where tables are
 the join with the per-table mapping, the forward fill and the sticky period, and no table, however long, is one task.
 """
 
-from functools import partial
-
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date
-from ..functions.numbers import parse_number, parse_year, round2
+from ..functions.numbers import parse_number, round2, year_or
 from ..functions.text import is_blank, strip
 from ..plans.staging import stage
 from .gazetteer import GAZETTEER, resolve_districts
@@ -22,16 +20,21 @@ ENTITY_TYPE_METHOD = "groq_entity_type"  # fixed value stored for every entity t
 class Grid:
     """Raw rows and, for tables longer than one block, the list of their later blocks.
 
-    Rows are keyed by (table_id, block). The list has at most one row per `block_rows` raw rows; it is read with the
-    row number pushed down to the scan and staged. When it is empty, which is the usual case, no carrying is planned.
+    Rows are keyed by (table_id, block). The list has at most one row per `block_rows` raw rows; it follows from the
+    tables' lengths (table_id, n_rows) where they are known, else it is read with the row number pushed down to the scan
+    and staged. When it is empty, which is the usual case, no carrying is planned.
     """
 
-    def __init__(self, raw_rows, block_rows=BLOCK_ROWS):
+    def __init__(self, raw_rows, block_rows=BLOCK_ROWS, lengths=None):
         self.block_rows = block_rows
-        self.raw_rows = raw_rows
         block = F.floor(F.col("row_idx") / block_rows).cast("long").alias("block")
-        later = raw_rows.where(F.col("row_idx") >= block_rows).select("table_id", block).distinct()
-        self.later = stage(later)
+        if lengths is None:
+            later = raw_rows.where(F.col("row_idx") >= block_rows).select("table_id", block).distinct()
+            self.later = stage(later)
+        else:
+            last = F.floor((F.col("n_rows") - 1) / block_rows).cast("long")
+            blocks = F.explode(F.sequence(F.lit(1).cast("long"), last)).alias("block")
+            self.later = lengths.where(F.col("n_rows") > block_rows).select("table_id", blocks)
         self.split = not self.later.isEmpty()
         self.keys = ["table_id", "block"] if self.split else ["table_id"]
         self.rows = raw_rows.where("row_idx >= 0").select("table_id", *([block] if self.split else []), "row_idx", "cells")
@@ -198,15 +201,16 @@ def normalize_tables(
 ):
     """Long observations of every table, keyed by (table_id, row_idx, col_idx).
 
-    `starts` (table_id, data_start) skips header rows; without it every row is data. `keep` may write the filled rows
-    to a table (see staged_normalize), so that they are computed once for name lookup and output.
+    `starts` (table_id, data_start, and n_rows if known) skips header rows; without it every row is data. `keep` may write the filled rows
+    to a table, so that they are computed once for name lookup and output. A year beyond an int comes out null: the
+    sink turns such rows away with a reason rather than give them the default year.
     """
     tables = interpret_mapping(table_meta, column_map).join(raw_tables, "table_id")
     if starts is None:
         tables = tables.withColumn("data_start", F.lit(0).cast("long"))
     else:
         tables = tables.join(starts.select("table_id", "data_start"), "table_id")
-    grid = Grid(raw_rows, block_rows)
+    grid = Grid(raw_rows, block_rows, starts if starts is not None and "n_rows" in starts.columns else None)
     rows = (
         grid.with_tables(tables)
         .where(F.col("row_idx") >= F.col("data_start"))
@@ -226,7 +230,7 @@ def normalize_tables(
         "source_document",
         "source_page",
         "extraction_method",
-        F.coalesce(parse_year(_cell("year_column")), F.lit(default_year)).alias("year"),
+        year_or(_cell("year_column"), default_year).alias("year"),
         F.coalesce("date", parse_date(F.lit(default_date).cast("string"))).alias("date"),
         period.alias("period"),
     )
@@ -263,5 +267,3 @@ def normalize_tables(
         F.current_timestamp().alias("extracted_at"),
     )
 
-
-staged_normalize = partial(normalize_tables, keep=stage)

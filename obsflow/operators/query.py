@@ -51,7 +51,8 @@ def get_chunks(chunks, source_document=None, domain=None):
         chunks = chunks.where(F.col("source_document") == source_document)
     if domain:
         chunks = chunks.where(F.col("domain") == domain)
-    return chunks.orderBy("source_document", "chunk_index")
+    identity = ["document_id"] if "document_id" in chunks.columns else []
+    return chunks.orderBy("source_document", *identity, "chunk_index")
 
 
 def result_count(df):

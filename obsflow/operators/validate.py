@@ -37,8 +37,8 @@ def _with_ranges(obs, ranges):
         return F.coalesce(F.col(name), other).alias(name)
 
     key = F.lower(strip(F.col("indicator")))
-    # The range table is a fixed dictionary supplied by the caller, never data.
-    joined = obs.withColumn("_key", key).join(F.broadcast(ranges), F.col("_key") == F.col("range_indicator"), "left")
+    # The caller may bring any table of ranges: Spark broadcasts it only if it is small.
+    joined = obs.withColumn("_key", key).join(ranges, F.col("_key") == F.col("range_indicator"), "left")
     return joined.select(*obs.columns, bound("lo", 0), bound("hi", 1))
 
 

@@ -2,6 +2,7 @@
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..operators.chunks import chunk_paragraphs, document_context
@@ -10,12 +11,14 @@ from ..operators.mapping import (
     domain_requests,
     map_documents,
     map_tables,
+    mapping_rejects,
     mapping_requests,
     read_replies,
+    replay_tables,
 )
 from ..operators.normalize import normalize_tables
 from ..operators.validate import validate_observations
-from ..schemas import PARAGRAPHS, RAW_ROWS, RAW_TABLES
+from ..schemas import DOCUMENTS, PARAGRAPHS, RAW_ROWS, RAW_TABLES, REJECTS
 from ..sinks import store
 from ..sources.csv_tables import read_csv_tables
 from ..sources.files import base_name, binary_files, list_files, rejects
@@ -25,34 +28,48 @@ from .staging import stage
 
 
 def table_layout(raw_rows):
-    """(starts, headers) of every table: read off where the format tells, detected elsewhere."""
+    """(starts, headers): data starts of every table; headers, read off where the format tells and detected elsewhere,
+    of tables that have data. A table of text alone would make its whole length a header, and yields nothing."""
     free, known = raw_rows.where("NOT header_known"), raw_rows.where("header_known")
     detected = stage(data_starts(free))
     given = known_headers(known)
     counted = known.where("row_idx >= 0").groupBy("table_id").agg(F.count("*").alias("n_rows"))
     columns = ["table_id", "data_start", "n_rows"]
     starts = detected.select(*columns).unionByName(given.join(counted, "table_id").select(*columns))
-    headers = detect_headers(free, detected).select("table_id", "headers")
+    headers = detect_headers(free, detected.where("data_start < n_rows")).select("table_id", "headers")
     return stage(starts), headers.unionByName(given.select("table_id", "headers"))
 
 
+def table_replies(raw_rows, raw_tables, contexts, provider, starts, headers, replies_path=None):
+    """(table_id, reply, error): one request per table that has data rows; the others yield nothing whatever the mapping.
+
+    With `replies_path` replies are kept there across runs, and only requests without one are asked.
+    """
+    filled = starts.where("data_start < n_rows")
+    asked = headers.join(filled.select("table_id"), "table_id", "left_semi")
+    requests = mapping_requests(asked, table_samples(raw_rows, filled), raw_tables, contexts)
+    if replies_path:
+        return stage(replay_tables(requests, provider, replies_path))
+    return stage(map_tables(requests, provider))
+
+
 def process_tables(
-    raw_rows, raw_tables, contexts, provider, default_year, replies_path=None, staged=False, **normalize
+    raw_rows, raw_tables, contexts, provider, default_year, replies_path=None, staged=False, rejects_path=None, **normalize
 ):
     """Validated observations of raw tables: headers, one mapping request per table, normalisation, checks.
 
     `provider` is a callable (prompt -> reply text) or a table (table_id, reply) of replies already in hand. Tables
-    without data rows yield nothing whatever the mapping, so they are not asked about.
+    whose reply is missing, unreadable or names no entity or value column are written to `rejects_path`.
     """
     starts, headers = table_layout(raw_rows)
+    replies = provider
     if callable(provider):
-        filled = starts.where("data_start < n_rows")
-        asked = headers.join(filled.select("table_id"), "table_id", "left_semi")
-        requests = mapping_requests(asked, table_samples(raw_rows, filled), raw_tables, contexts)
-        # Replies are written down before use: a lost task or a second run asks nothing twice.
-        replies = stage(map_tables(requests, provider), replies_path)
-    else:
-        replies = provider
+        replies = table_replies(raw_rows, raw_tables, contexts, provider, starts, headers, replies_path)
+    if rejects_path:
+        turned_away = mapping_rejects(replies).select(
+            F.col("table_id").alias("item"), F.lit("mapping").alias("step"), "reason"
+        )
+        turned_away.write.mode("append").parquet(rejects_path)
     table_meta, column_map = read_replies(replies)
     keep = stage if staged else (lambda df: df)
     observations = normalize_tables(
@@ -93,40 +110,66 @@ def extract(spark, paths, staging, page_text=None, page_grids=None, csv_multilin
         paragraphs.append(page_paragraphs(page_text))
     if page_grids is not None:
         add(page_tables(page_grids), False)
+    paged = [p.select("doc") for p in (page_text, page_grids) if p is not None]
+    paged = reduce(lambda a, b: a.unionByName(b), paged) if paged else None
     return (
-        stage(rejects(files), f"{staging}/rejects"),
+        rejects(files, paged).select(F.col("path").alias("item"), F.lit("reading").alias("step"), "reason"),
         stage(_union(paragraphs, PARAGRAPHS, spark), f"{staging}/paragraphs"),
         stage(_union(tables, RAW_TABLES, spark), f"{staging}/raw_tables"),
         stage(_union(rows, RAW_ROWS, spark), f"{staging}/raw_rows"),
     )
 
 
-def _short(df):
-    return df.withColumn("source_document", base_name(F.col("source_document")))
+def _identified(df):
+    """The full path as document_id; source_document becomes the file's name, as readers of the tables expect."""
+    return df.withColumn("document_id", F.col("source_document")).withColumn(
+        "source_document", base_name(F.col("source_document"))
+    )
+
+
+def loaded_documents(spark, path):
+    """(document_id, source_document) of what earlier runs loaded; none before the first run."""
+    try:
+        return spark.read.schema(DOCUMENTS).parquet(path)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing.getCondition()):
+            raise
+        return spark.createDataFrame([], DOCUMENTS)
 
 
-def run_batch(spark, paths, out_dir, default_year, table_provider, domain_provider, **options):
-    """Files under `paths` to Parquet under `out_dir`: observations, document_chunks, text, rejects, media.
+def run_batch(spark, paths, out_dir, default_year, table_provider, domain_provider, skip_loaded=False, **options):
+    """Files under `paths` to Parquet under `out_dir`: observations, observations_rejected, document_chunks, text,
+    documents, replies, rejects (a row per file or table that was not loaded, with the reason).
 
     Every stage is written to shared storage before the next one reads it, so lost executors cost one stage at most.
+    With `skip_loaded` documents that an earlier run loaded, by full path, are left out.
     """
     staging = f"{out_dir}/staging"
-    _, paragraphs, raw_tables, raw_rows = extract(spark, paths, staging, **options)
+    turned_away, paragraphs, raw_tables, raw_rows = extract(spark, paths, staging, **options)
+    turned_away.select(*REJECTS.names).write.mode("append").parquet(f"{out_dir}/rejects")
+    if skip_loaded:
+        loaded = stage(loaded_documents(spark, f"{out_dir}/documents").select(F.col("document_id").alias("source_document")))
+        paragraphs = paragraphs.join(loaded, "source_document", "left_anti")
+        raw_tables = raw_tables.join(loaded, "source_document", "left_anti")
+        raw_rows = raw_rows.join(raw_tables.select("table_id"), "table_id", "left_semi")
     contexts = stage(document_context(paragraphs), f"{staging}/contexts")
-    store.write_text(_short(paragraphs), f"{out_dir}/text")
+    store.write_text(_identified(paragraphs).withColumn("source_document", F.col("document_id")), f"{out_dir}/text")
     domains = stage(map_documents(domain_requests(contexts), domain_provider), f"{staging}/domains")
     chunks = chunk_paragraphs(paragraphs, domains=domains)
-    store.append_chunks(_short(chunks), f"{out_dir}/document_chunks")
+    store.append_chunks(_identified(chunks), f"{out_dir}/document_chunks")
     observations = process_tables(
         raw_rows,
         raw_tables,
         contexts,
         table_provider,
         default_year,
-        replies_path=f"{staging}/replies",
+        replies_path=f"{out_dir}/replies",
+        rejects_path=f"{out_dir}/rejects",
         staged=True,
     )
-    store.append_observations(_short(observations), f"{out_dir}/observations")
+    store.append_observations(_identified(observations), f"{out_dir}/observations")
+    seen = paragraphs.select("source_document").union(raw_tables.select("source_document")).distinct()
+    _identified(seen).select(*DOCUMENTS.names).write.mode("append").parquet(f"{out_dir}/documents")
     return store.read_observations(spark, f"{out_dir}/observations"), store.read_chunks(
         spark, f"{out_dir}/document_chunks"
     )

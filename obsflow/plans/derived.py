@@ -40,7 +40,8 @@ def listed(values):
 
 
 def _tables(spark, sf_dir):
-    return table(spark, sf_dir, "orders").where("o_orderkey % 20 = 0").selectExpr(*KEYED)
+    """(t): the table numbers of all orders."""
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey DIV 20 AS t").distinct()
 
 
 def raw_tables(spark, sf_dir):
@@ -58,7 +59,9 @@ CASE WHEN k % 97 = 0 THEN 'nan'
      WHEN t % 6 IN (0, 1, 5) THEN element_at({listed(SPELLINGS)}, CAST((t + k) % 12 AS INT) + 1)
      ELSE n_name END"""
 
-YEAR = "CASE WHEN k % 31 = 0 THEN '0' WHEN k % 37 = 0 THEN '2024-25' ELSE CAST(year(o_orderdate) AS STRING) END"
+YEAR = """
+CASE WHEN k % 31 = 0 THEN '0' WHEN k % 37 = 0 THEN '2024-25' WHEN k % 41 = 0 THEN '99999999999'
+     ELSE CAST(year(o_orderdate) AS STRING) END"""
 
 DATE = """
 CASE WHEN k % 9 = 0 AND t % 5 = 0 THEN 'Season ' || k % 5
@@ -84,6 +87,7 @@ CASE WHEN r = 0 AND t % 7 = 0 THEN array(NULL, NULL, NULL, NULL, NULL)
      WHEN r = 1 THEN array('District', 'Year', ' Date\nof record', 'Crop', 'Crop')
      WHEN r = 2 THEN array('District', NULL, '', 'Sown ' || t % 4, IF(t % 5 = 0, '129|', 'Percent'))
      WHEN r = 3 AND t % 2 = 0 THEN array(NULL, NULL, NULL, NULL, NULL)
+     WHEN r = 3 AND t % 3 = 0 THEN array('೧', '೨', '೩', '೪', '೫')
      WHEN r = 3 THEN array('1', '2', '3', '4', '5')
      WHEN t % 11 = 0 THEN array(entity, 'year', dated, 'none yet', 'see ' || r)
      WHEN k % 29 = 0 THEN array(entity, {YEAR}, dated, {AREA})
@@ -187,14 +191,16 @@ def page_text(spark, sf_dir):
 
 
 def page_grids(spark, sf_dir):
-    """(doc, page, table_no, rows): the line items of each order as a two-column grid, every seventh one empty."""
+    """(doc, page, table_no, rows): the line items of each order as a two-column grid, every seventh with an empty one
+    on the same page."""
     row = "struct(l_linenumber, array(CAST(l_partkey AS STRING), CAST(CAST(l_quantity AS INT) AS STRING)) AS cells)"
     grids = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.expr(f"transform(array_sort(collect_list({row})), x -> x.cells)").alias("rows")
     )
-    return grids.selectExpr(
+    beside = "IF(l_orderkey % 7 = 0, array(rows, CAST(array() AS ARRAY<ARRAY<STRING>>)), array(rows))"
+    return grids.selectExpr("l_orderkey", f"posexplode({beside}) AS (nth, rows)").selectExpr(
         "'order-' || l_orderkey DIV 10 AS doc",
         "l_orderkey % 10 + 1 AS page",
-        "l_orderkey % 10 AS table_no",
-        "IF(l_orderkey % 7 = 0, CAST(array() AS ARRAY<ARRAY<STRING>>), rows) AS rows",
+        "l_orderkey % 10 + 10 * nth AS table_no",
+        "rows",
     )

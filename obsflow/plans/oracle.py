@@ -38,7 +38,7 @@ written AS (
   SELECT *,
     CASE WHEN k % 97 = 0 THEN 'nan' WHEN k % 4 = 3 THEN ''
          WHEN t % 6 IN (0, 1, 5) THEN {listed(SPELLINGS)}[(t + k) % 12 + 1] ELSE n_name END AS entity,
-    CASE WHEN k % 31 = 0 THEN '0' WHEN k % 37 = 0 THEN '2024-25'
+    CASE WHEN k % 31 = 0 THEN '0' WHEN k % 37 = 0 THEN '2024-25' WHEN k % 41 = 0 THEN '99999999999'
          ELSE CAST(year(o_orderdate) AS VARCHAR) END AS yeared,
     CASE WHEN k % 9 = 0 AND t % 5 = 0 THEN 'Season ' || (k % 5) WHEN k % 11 = 0 THEN ''
          ELSE [strftime(o_orderdate, '%d.%m.%Y'), strftime(o_orderdate, '%d-%m-%Y'), strftime(o_orderdate, '%Y-%m-%d'),
@@ -54,6 +54,7 @@ raw AS (
          WHEN r = 1 THEN ['District', 'Year', ' Date' || chr(10) || 'of record', 'Crop', 'Crop']
          WHEN r = 2 THEN ['District', NULL, '', 'Sown ' || (t % 4), CASE WHEN t % 5 = 0 THEN '129|' ELSE 'Percent' END]
          WHEN r = 3 AND t % 2 = 0 THEN [NULL, NULL, NULL, NULL, NULL]
+         WHEN r = 3 AND t % 3 = 0 THEN ['೧', '೨', '೩', '೪', '೫']
          WHEN r = 3 THEN ['1', '2', '3', '4', '5']
          WHEN t % 11 = 0 THEN [entity, 'year', dated, 'none yet', 'see ' || r]
          WHEN k % 29 = 0 THEN [entity, yeared, dated, areaed]
@@ -63,9 +64,14 @@ raw AS (
         FROM written))"""
 
 
+def digits(x):
+    """Native digits as ASCII ones."""
+    return f"translate({x}, '೦೧೨೩೪೫೬೭೮೯', '0123456789')"
+
+
 def number(x):
     """Value of a cell, null if it is no plain number."""
-    bare = f"replace({x}, ',', '')"
+    bare = f"replace({digits(x)}, ',', '')"
     return (
         f"CASE WHEN regexp_matches(trim({bare}), '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)$') "
         f"THEN CAST(trim({bare}) AS DOUBLE) END"
@@ -73,7 +79,7 @@ def number(x):
 
 
 def is_number(x):
-    return f"regexp_matches(trim(replace({x}, ',', '')), '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)$')"
+    return f"regexp_matches(trim(replace({digits(x)}, ',', '')), '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)$')"
 
 
 DATE_FORMATS = "['%d.%m.%Y', '%d-%m-%Y', '%Y-%m-%d', '%d/%m/%Y', '%d %B %Y', '%d %b %Y']"
@@ -89,7 +95,7 @@ kinds AS (
     CASE WHEN len(present) = 0 THEN 'blank'
          WHEN len(present) >= 2 AND len(list_distinct(list_transform(present, lambda c: trim(c)))) = 1 THEN 'banner'
          WHEN len(filled) >= 2 AND len(list_filter(range(1, len(cells) + 1),
-                lambda i: coalesce(trim(cells[i]) = CAST(i AS VARCHAR), FALSE))) >= 0.6 * len(filled) THEN 'index'
+                lambda i: coalesce(trim({digits('cells[i]')}) = CAST(i AS VARCHAR), FALSE))) >= 0.6 * len(filled) THEN 'index'
          WHEN len(list_filter(present, lambda c: {is_number('c')})) < 0.5 * len(present) THEN 'header'
          ELSE 'data' END AS kind
   FROM (SELECT *, list_filter(cells, lambda c: c IS NOT NULL) AS present,
@@ -139,7 +145,7 @@ compacted AS (
 META = f"""
 tables AS (
   SELECT t, 'report-' || (t // 10) || '.docx' AS source_document, 'report-' || (t // 10) || '.docx#' || (t % 10) AS table_id
-  FROM (SELECT o_orderkey // 20 AS t FROM orders WHERE o_orderkey % 20 = 0)),
+  FROM (SELECT DISTINCT o_orderkey // 20 AS t FROM orders)),
 meta AS (
   SELECT *,
     CASE t % 8 % 4 WHEN 0 THEN 0 ELSE -1 END AS stated_column,
@@ -220,7 +226,7 @@ obs AS (
     m.entity_type,
     CASE WHEN m.entity_type = 'district' THEN d.method ELSE 'groq_entity_type' END AS entity_resolution_method,
     m.domain,
-    CAST(coalesce(nullif({number('s.cells[2]')}, 0), 2025) AS INTEGER) AS year,
+    CASE WHEN nullif({number('s.cells[2]')}, 0) IS NULL THEN 2025 ELSE TRY_CAST({number('s.cells[2]')} AS INTEGER) END AS year,
     s.date, s.period,
     CASE c.col_idx WHEN 3 THEN 'area' ELSE m.second_indicator END AS indicator,
     {number('s.cells[c.col_idx + 1]')} AS value,
@@ -305,6 +311,8 @@ def query(ctes, final):
 RULES = [RAW, KINDS, META, ALIASES, RESOLVED, FILLED, OBSERVATIONS]
 CHECKED = [*RULES, VALIDATED]
 OBS_COLUMNS = "* REPLACE (strftime(date, '%Y-%m-%d') AS date)"
+# What the store accepts and keeps.
+STORED = [*CHECKED, "stored AS (SELECT * EXCLUDE (row_idx, col_idx) FROM validated WHERE year IS NOT NULL)"]
 
 
 def _g(x):
@@ -315,6 +323,27 @@ def _oracle():
     cell = "cells[i]"
     lower = f"lower(trim({cell}))"
     report = "'report-' || substr(source_document, 5) || '.docx'"
+    requests = query(
+        [
+            RAW,
+            KINDS,
+            HEADERS,
+            META,
+            PARAGRAPHS,
+            "texts AS (SELECT table_id AS id, col_idx AS pos, coalesce(header, '') AS h FROM heads)",
+            COMPACT,
+        ],
+        f"""SELECT h.table_id, {template(
+            TABLE_PROMPT,
+            "t.source_document",
+            f"coalesce(c.context, {quoted(NOT_SPECIFIED)})",
+            "h.headers",
+            "coalesce(s.sample_rows, '[]')",
+        )} AS prompt
+        FROM (SELECT id AS table_id, headers FROM compacted) h
+          JOIN tables t USING (table_id) LEFT JOIN samples s USING (table_id)
+          LEFT JOIN (SELECT {report} AS source_document, context FROM contexts) c USING (source_document)""",
+    )
     return {
         "parse_cells": query(
             [RAW],
@@ -324,7 +353,7 @@ def _oracle():
                    WHEN {number(cell)} IS NULL THEN 0.1 ELSE 1.0 END::DOUBLE AS number_confidence,
               coalesce({_g(number(cell))}, '-') AS number_text,
               {is_number(cell)} AS numeric,
-              coalesce(CAST(nullif({number(cell)}, 0) AS INTEGER), -1) AS whole,
+              coalesce(TRY_CAST(nullif({number(cell)}, 0) AS INTEGER), -1) AS whole,
               coalesce(strftime({date(cell)}, '%Y-%m-%d'), '-') AS date
             FROM raw, unnest(range(1, len(cells) + 1)) AS u(i) WHERE {cell} IS NOT NULL""",
         ),
@@ -376,26 +405,15 @@ def _oracle():
                UNION ALL
                SELECT table_id, 0, 'ignore', 'value_col_0', '' FROM meta WHERE NOT has_columns""",
         ),
-        "mapping_requests": query(
-            [
-                RAW,
-                KINDS,
-                HEADERS,
-                META,
-                PARAGRAPHS,
-                "texts AS (SELECT table_id AS id, col_idx AS pos, coalesce(header, '') AS h FROM heads)",
-                COMPACT,
-            ],
-            f"""SELECT h.table_id, {template(
-                TABLE_PROMPT,
-                "t.source_document",
-                f"coalesce(c.context, {quoted(NOT_SPECIFIED)})",
-                "h.headers",
-                "coalesce(s.sample_rows, '[]')",
-            )} AS prompt
-            FROM (SELECT id AS table_id, headers FROM compacted) h
-              JOIN tables t USING (table_id) LEFT JOIN samples s USING (table_id)
-              LEFT JOIN (SELECT {report} AS source_document, context FROM contexts) c USING (source_document)""",
+        "mapping_requests": requests,
+        "pending_requests": f"""SELECT r.* FROM ({requests}) r
+            WHERE split_part(table_id, '#', 2)::INTEGER % 3 = 0 OR table_id LIKE '%#5'""",
+        "mapping_rejects": query(
+            [META],
+            """SELECT table_id, 'unreadable reply' AS reason FROM tables WHERE t % 13 = 12
+            UNION ALL
+            SELECT table_id, CASE WHEN stated_column < 0 THEN 'no entity column' ELSE 'no value column' END
+            FROM meta WHERE NOT has_columns""",
         ),
         "domain_requests": query(
             [PARAGRAPHS],
@@ -422,31 +440,32 @@ def _oracle():
         "normalize_observations": query(RULES, f"SELECT {OBS_COLUMNS} FROM obs"),
         "validate_observations": query(CHECKED, f"SELECT {OBS_COLUMNS} FROM validated"),
         "process_tables": query(CHECKED, f"SELECT {OBS_COLUMNS} FROM validated"),
+        "not_null_rejects": query(
+            RULES, "SELECT table_id, row_idx, col_idx, 'missing year' AS reason FROM obs WHERE year IS NULL"
+        ),
         "obs_datasets": query(
-            RULES, "SELECT source_document, extraction_method, count(*) AS row_count FROM obs GROUP BY ALL"
+            STORED, "SELECT source_document, extraction_method, count(*) AS row_count FROM stored GROUP BY ALL"
         ),
         "obs_entity": query(
-            CHECKED,
-            f"""SELECT {OBS_COLUMNS} FROM validated
+            STORED,
+            f"""SELECT {OBS_COLUMNS} FROM stored
             WHERE entity_name = 'Shivamogga' AND year = 1997 AND NOT validation_flag""",
         ),
         "obs_query": query(
-            CHECKED,
-            f"""SELECT {OBS_COLUMNS} FROM validated
+            STORED,
+            f"""SELECT {OBS_COLUMNS} FROM stored
             WHERE indicator = 'area' AND entity_type = 'district' AND domain = 'health'
               AND value BETWEEN 0 AND 400000 AND NOT validation_flag""",
         ),
-        "obs_query_count": query(
-            CHECKED, "SELECT count(*) AS count FROM validated WHERE date = DATE '1997-05-28'"
-        ),
+        "obs_query_count": query(STORED, "SELECT count(*) AS count FROM stored WHERE date = DATE '1997-05-28'"),
         "table_quality": query(
-            CHECKED,
+            STORED,
             """SELECT table_id, count(*) AS rows, count(*) FILTER (validation_flag) AS flagged
-            FROM validated GROUP BY table_id""",
+            FROM stored GROUP BY table_id""",
         ),
         "domain_consistency": query(
-            RULES,
-            """SELECT source_document, indicator, count(DISTINCT domain) AS domains FROM obs
+            STORED,
+            """SELECT source_document, indicator, count(DISTINCT domain) AS domains FROM stored
             GROUP BY ALL HAVING count(DISTINCT domain) > 1""",
         ),
         "chunk_documents": query([PARAGRAPHS, CHUNKS], "SELECT * FROM chunks LEFT JOIN domains USING (source_document)"),
@@ -464,15 +483,15 @@ def _oracle():
               row_number() OVER (PARTITION BY l_orderkey
                 ORDER BY l_linenumber, l_partkey::VARCHAR, l_quantity::INTEGER::VARCHAR) - 1 AS row_idx,
               CAST(to_json([l_partkey::VARCHAR, l_quantity::INTEGER::VARCHAR]) AS VARCHAR) AS cells
-            FROM lineitem WHERE l_orderkey % 7 <> 0""",
+            FROM lineitem""",
         "document_context": query([PARAGRAPHS], "SELECT source_document, context FROM contexts"),
         "document_domains": query([PARAGRAPHS], "SELECT * FROM domains"),
         "document_counts": query(
             [PAGES, CHUNKS],
             """SELECT source_document, coalesce(p, 0) AS paragraphs, coalesce(t, 0) AS tables, coalesce(c, 0) AS chunks
             FROM (SELECT source_document, count(*) AS p FROM pages_kept GROUP BY 1)
-              FULL JOIN (SELECT 'conv-' || (o_orderkey // 200) AS source_document, count(*) AS t
-                         FROM orders WHERE o_orderkey % 20 = 0 GROUP BY 1) USING (source_document)
+              FULL JOIN (SELECT 'conv-' || (o_orderkey // 200) AS source_document, count(DISTINCT o_orderkey // 20) AS t
+                         FROM orders GROUP BY 1) USING (source_document)
               FULL JOIN (SELECT source_document, count(*) AS c FROM chunks GROUP BY 1) USING (source_document)""",
         ),
         "text_dump": query([PARAGRAPHS], "SELECT source_document, array_to_string(paragraphs, chr(10)) AS text FROM docs"),

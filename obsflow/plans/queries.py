@@ -1,5 +1,7 @@
 """The registered queries: each operator over whole given tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date
@@ -12,7 +14,8 @@ from ..operators import mapping as M
 from ..operators import normalize as N
 from ..operators import query as Q
 from ..operators.validate import validate_observations
-from ..sinks.store import text_dump
+from ..session import ensure_checkpoint_dir
+from ..sinks import store
 from ..sources import pages as P
 from . import derived as D
 from .batch import process_tables
@@ -113,6 +116,11 @@ def compact_headers(spark, sf_dir):
     return M.compact_headers(headers).select("l_orderkey", F.to_json("headers").alias("headers"))
 
 
+def mapping_rejects(spark, sf_dir):
+    """Tables that yield nothing because of their reply, with the reason."""
+    return M.mapping_rejects(D.replies(spark, sf_dir))
+
+
 def mapping_metadata(spark, sf_dir):
     return M.reply_metadata(D.replies(spark, sf_dir)).withColumn(
         "entity_column", F.coalesce("entity_column", F.lit(-1))
@@ -148,6 +156,16 @@ def mapping_requests(spark, sf_dir):
     return M.mapping_requests(headers, H.table_samples(rows, starts), tables, _contexts(spark, sf_dir))
 
 
+def pending_requests(spark, sf_dir):
+    """What a second run asks when the replies of every table but each third are stored: by prompt, not by table."""
+    requests = stage(mapping_requests(spark, sf_dir))
+    answered = D.replies(spark, sf_dir).where("substring_index(table_id, '#', -1) % 3 <> 0")
+    stored = requests.join(answered, "table_id").select("table_id", M.prompt_hash(), "reply")
+    outdated = F.col("table_id").endswith("#5")
+    stored = stored.withColumn("prompt_hash", F.when(outdated, F.lit("of an older prompt")).otherwise(F.col("prompt_hash")))
+    return M.pending_requests(requests, stored).select("table_id", "prompt")
+
+
 def domain_requests(spark, sf_dir):
     return M.domain_requests(_contexts(spark, sf_dir))
 
@@ -183,8 +201,8 @@ def fuzzy_resolve(spark, sf_dir):
 
 
 def observations(spark, sf_dir):
-    """As in a batch, raw rows and filled rows are written once and read by the steps that need them."""
-    rows = stage(D.raw_rows(spark, sf_dir))
+    """As in a batch, filled rows are written once and read by the steps that need them."""
+    rows = D.raw_rows(spark, sf_dir)
     starts = stage(H.data_starts(rows))
     meta, columns = M.read_replies(D.replies(spark, sf_dir))
     tables = D.raw_tables(spark, sf_dir)
@@ -207,7 +225,7 @@ def validate(spark, sf_dir):
 def processed_tables(spark, sf_dir):
     """Raw tables to validated observations in one call, replies at hand."""
     done = process_tables(
-        stage(D.raw_rows(spark, sf_dir)),
+        D.raw_rows(spark, sf_dir),
         D.raw_tables(spark, sf_dir),
         _contexts(spark, sf_dir),
         D.replies(spark, sf_dir),
@@ -217,31 +235,75 @@ def processed_tables(spark, sf_dir):
     return _iso(done.drop("extracted_at"), "date")
 
 
+_stored = {}
+
+
+def _table_path(spark, sf_dir, name, write):
+    """Where a table made from sf_dir is stored: written by the first query of the session that reads it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        write(path)
+        _stored[key] = path
+    return _stored[key]
+
+
+def stored_observations(spark, sf_dir):
+    """The fact table as a batch leaves it: accepted rows, by domain, sorted; read back with its fixed schema."""
+
+    def write(path):
+        rows = validated(spark, sf_dir).withColumn("document_id", F.col("source_document"))
+        store.append_observations(rows, path)
+
+    path = _table_path(spark, sf_dir, "observations", write)
+    return store.read_observations(spark, path).drop("extracted_at", "document_id")
+
+
+def stored_chunks(spark, sf_dir):
+    path = _table_path(
+        spark, sf_dir, "document_chunks", lambda path: store.append_chunks(chunk_documents(spark, sf_dir), path)
+    )
+    return store.read_chunks(spark, path).drop("document_id")
+
+
+def not_null_rejects(spark, sf_dir):
+    """Observations that the store turns away for want of a required value."""
+    rows = store.not_null_rejects(observations(spark, sf_dir))
+    return rows.select("table_id", "row_idx", "col_idx", "reason")
+
+
 def obs_datasets(spark, sf_dir):
-    return Q.list_datasets(observations(spark, sf_dir))
+    return Q.list_datasets(stored_observations(spark, sf_dir))
 
 
 def obs_entity(spark, sf_dir):
-    return _iso(Q.get_entity(validated(spark, sf_dir), "Shivamogga", year=1997), "date")
+    return _iso(Q.get_entity(stored_observations(spark, sf_dir), "Shivamogga", year=1997), "date")
 
 
 def obs_query(spark, sf_dir):
     found = Q.query_observations(
-        validated(spark, sf_dir), indicator="area", entity_type="district", domain="health", min_value=0, max_value=4e5
+        stored_observations(spark, sf_dir),
+        indicator="area",
+        entity_type="district",
+        domain="health",
+        min_value=0,
+        max_value=4e5,
     )
     return _iso(found, "date")
 
 
 def obs_query_count(spark, sf_dir):
-    return Q.result_count(Q.query_observations(validated(spark, sf_dir), date="1997-05-28", include_flagged=True))
+    return Q.result_count(
+        Q.query_observations(stored_observations(spark, sf_dir), date="1997-05-28", include_flagged=True)
+    )
 
 
 def table_quality(spark, sf_dir):
-    return Q.table_quality(validated(spark, sf_dir))
+    return Q.table_quality(stored_observations(spark, sf_dir))
 
 
 def domain_consistency(spark, sf_dir):
-    return Q.domain_consistency(observations(spark, sf_dir))
+    return Q.domain_consistency(stored_observations(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- text
@@ -267,7 +329,7 @@ def chunk_documents(spark, sf_dir):
 
 
 def chunks_by_domain(spark, sf_dir):
-    return Q.get_chunks(chunk_documents(spark, sf_dir), domain="health")
+    return Q.get_chunks(stored_chunks(spark, sf_dir), domain="health")
 
 
 def chunk_paragraphs(spark, sf_dir):
@@ -307,7 +369,7 @@ def document_counts(spark, sf_dir):
 
 
 def dump_text(spark, sf_dir):
-    return text_dump(D.documents(spark, sf_dir).withColumn("paragraphs", C.texts_of("paragraphs")))
+    return store.text_dump(D.documents(spark, sf_dir).withColumn("paragraphs", C.texts_of("paragraphs")))
 
 
 QUERIES = {
@@ -319,10 +381,12 @@ QUERIES = {
     "forward_fill_entities": forward_fill_entities,
     "sticky_period": sticky_period,
     "compact_headers": compact_headers,
+    "mapping_rejects": mapping_rejects,
     "mapping_metadata": mapping_metadata,
     "map_columns": map_columns,
     "dedupe_indicators": dedupe_indicators,
     "mapping_requests": mapping_requests,
+    "pending_requests": pending_requests,
     "domain_requests": domain_requests,
     "gazetteer": gazetteer,
     "normalize_names": normalise_names,
@@ -331,6 +395,7 @@ QUERIES = {
     "normalize_observations": normalize_observations,
     "validate_observations": validate,
     "process_tables": processed_tables,
+    "not_null_rejects": not_null_rejects,
     "obs_datasets": obs_datasets,
     "obs_entity": obs_entity,
     "obs_query": obs_query,

@@ -44,6 +44,13 @@ COLUMN_MAP = _struct(
 
 REPLIES = _struct(("table_id", S), ("reply", S))
 
+STORED_REPLIES = _struct(("table_id", S), ("prompt_hash", S), ("reply", S))
+
+# What was not loaded: a path or table, the step that turned it away, and why.
+REJECTS = _struct(("item", S), ("step", S), ("reason", S))
+
+DOCUMENTS = _struct(("document_id", S), ("source_document", S))
+
 OBSERVATIONS = _struct(
     ("entity_name", S),
     ("entity_type", S),
@@ -62,8 +69,10 @@ OBSERVATIONS = _struct(
     ("extracted_at", T.TimestampType()),
     ("validation_flag", T.BooleanType()),
     ("validation_reason", S),
+    ("table_id", S),
+    ("document_id", S),
 )
 
 OBSERVATIONS_NOT_NULL = ("entity_name", "entity_type", "year", "indicator")
 
-CHUNKS = _struct(("source_document", S), ("domain", S), ("chunk_text", S), ("chunk_index", L))
+CHUNKS = _struct(("source_document", S), ("domain", S), ("chunk_text", S), ("chunk_index", L), ("document_id", S))

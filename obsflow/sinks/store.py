@@ -32,9 +32,20 @@ def split_not_null(df, required=OBSERVATIONS_NOT_NULL):
     return df.where(complete), df.where(~complete)
 
 
-def append_observations(df, path):
-    """Append; rows lacking a required value are left to split_not_null. A domain holding most rows is split over tasks."""
-    accepted, _ = split_not_null(conform(clean_doubles(df)))
+def not_null_rejects(df, required=OBSERVATIONS_NOT_NULL):
+    """Rows that lack a required value, with the reason."""
+    missing = F.array_join(F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required])), ", ")
+    return split_not_null(df, required)[1].withColumn("reason", F.concat(F.lit("missing "), missing))
+
+
+def append_observations(df, path, rejected_path=None):
+    """Append. Rows lacking a required value go to `rejected_path` with the reason, by default beside the table.
+
+    A domain holding most rows is split over tasks.
+    """
+    rows = conform(clean_doubles(df))
+    accepted, _ = split_not_null(rows)
+    not_null_rejects(rows).write.mode("append").parquet(rejected_path or f"{path.rstrip('/')}_rejected")
     (
         accepted.hint("rebalance", "domain")
         .sortWithinPartitions("domain", *SORT_KEYS)
@@ -45,7 +56,7 @@ def append_observations(df, path):
 
 
 def append_chunks(df, path):
-    """Append (source_document, domain, chunk_text, chunk_index)."""
+    """Append (source_document, domain, chunk_text, chunk_index, document_id)."""
     (
         conform(df, CHUNKS)
         .hint("rebalance", "domain")
@@ -71,11 +82,17 @@ def merge_versions(old, new):
 
 
 def write_text(paragraphs, path):
-    """Plain text, one paragraph after another: files follow (document, paragraph) order, long documents span several."""
+    """Plain text, one paragraph after another: a folder per document, which a later load of the document replaces.
+
+    Files follow paragraph order; long documents span several.
+    """
     (
-        paragraphs.repartitionByRange("source_document", "para_idx")
+        paragraphs.select("source_document", "para_idx", "text")
+        .repartitionByRange("source_document", "para_idx")
         .sortWithinPartitions("source_document", "para_idx")
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("source_document")
         .parquet(path)
     )
 

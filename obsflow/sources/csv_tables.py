@@ -88,11 +88,9 @@ def read_csv_tables(spark, paths, multiline=True, max_columns=None):
     )
     table_id = F.concat("path", F.lit("#0")).alias("table_id")
     row_idx = F.col("position") - F.col("first") + F.col("offset") - 1
-    # Rows are as wide as the widest file; the header row is cut to the columns its own file uses.
+    # The reader gives rows as wide as the widest file; each is cut to the columns its own file uses.
     numbered = rows.join(offsets, ["path", "split"]).select(
-        table_id,
-        row_idx.alias("row_idx"),
-        F.when(row_idx == -1, F.slice("cells", 1, F.col("width"))).otherwise(F.col("cells")).alias("cells"),
+        table_id, row_idx.alias("row_idx"), F.slice("cells", 1, F.col("width")).alias("cells")
     )
     tables = (
         splits.groupBy("path")

@@ -17,10 +17,17 @@ def list_files(spark, paths):
     return files.select("path", extension.alias("extension"), extension.isin(*SUPPORTED).alias("supported"))
 
 
-def rejects(files):
-    """Files no reader takes, with the reason."""
+def rejects(files, paged=None):
+    """Files no reader takes, with the reason. A PDF is taken only if `paged` (doc) names it by path or base name: its
+    pages must come from an external extractor."""
     reason = F.concat(F.lit("Unsupported file format: "), "extension")
-    return files.where(~F.col("supported")).select("path", reason.alias("reason"))
+    out = files.where(~F.col("supported")).select("path", reason.alias("reason"))
+    pdf = files.where("extension = '.pdf'").select("path")
+    if paged is not None:
+        named = paged.select("doc").distinct()
+        pdf = pdf.join(named, F.col("path") == F.col("doc"), "left_anti")
+        pdf = pdf.join(named, base_name(F.col("path")) == F.col("doc"), "left_anti")
+    return out.unionByName(pdf.withColumn("reason", F.lit("PDF pages were not supplied as page tables")))
 
 
 def base_name(path):
