@@ -22,7 +22,7 @@ from ..schemas import DOCUMENTS, PARAGRAPHS, RAW_ROWS, RAW_TABLES, REJECTS
 from ..sinks import store
 from ..sources.csv_tables import read_csv_tables
 from ..sources.files import base_name, binary_files, list_files, rejects
-from ..sources.ooxml import docx_media, docx_paragraphs, docx_tables, parse_docx, parse_xlsx, xlsx_tables
+from ..sources.ooxml import broken_files, docx_media, docx_paragraphs, docx_tables, parse_docx, parse_xlsx, xlsx_tables
 from ..sources.pages import page_paragraphs, page_tables
 from .staging import stage
 
@@ -91,7 +91,7 @@ def extract(spark, paths, staging, page_text=None, page_grids=None, csv_multilin
     """
     files = stage(list_files(spark, paths), f"{staging}/files")
     present = {r.extension for r in files.where("supported").select("extension").distinct().collect()}
-    paragraphs, tables, rows = [], [], []
+    paragraphs, tables, rows, broken = [], [], [], []
 
     def add(pair, header_known):
         tables.append(pair[0])
@@ -100,10 +100,13 @@ def extract(spark, paths, staging, page_text=None, page_grids=None, csv_multilin
     if ".docx" in present:
         parts = stage(parse_docx(binary_files(spark, paths, ".docx")), f"{staging}/docx")
         paragraphs.append(docx_paragraphs(parts))
+        broken.append(broken_files(parts))
         add(docx_tables(parts), False)
         stage(docx_media(parts), f"{staging}/media")
     if ".xlsx" in present:
-        add(xlsx_tables(stage(parse_xlsx(binary_files(spark, paths, ".xlsx")), f"{staging}/xlsx")), True)
+        sheets = stage(parse_xlsx(binary_files(spark, paths, ".xlsx")), f"{staging}/xlsx")
+        broken.append(broken_files(sheets))
+        add(xlsx_tables(sheets), True)
     if ".csv" in present:
         add(read_csv_tables(spark, paths, csv_multiline), True)
     if page_text is not None:
@@ -112,8 +115,9 @@ def extract(spark, paths, staging, page_text=None, page_grids=None, csv_multilin
         add(page_tables(page_grids), False)
     paged = [p.select("doc") for p in (page_text, page_grids) if p is not None]
     paged = reduce(lambda a, b: a.unionByName(b), paged) if paged else None
+    unread = reduce(lambda a, b: a.unionByName(b), [rejects(files, paged), *broken])
     return (
-        rejects(files, paged).select(F.col("path").alias("item"), F.lit("reading").alias("step"), "reason"),
+        unread.select(F.col("path").alias("item"), F.lit("reading").alias("step"), "reason"),
         stage(_union(paragraphs, PARAGRAPHS, spark), f"{staging}/paragraphs"),
         stage(_union(tables, RAW_TABLES, spark), f"{staging}/raw_tables"),
         stage(_union(rows, RAW_ROWS, spark), f"{staging}/raw_rows"),

@@ -13,6 +13,8 @@ from xml.etree import ElementTree as ET
 import pandas as pd
 from pyspark.sql import functions as F
 
+from .csv_tables import MISSING
+
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 _X = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -26,8 +28,12 @@ _DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 
 
 def _paragraph_text(p):
+    """Text of the paragraph's runs, those in links included; its properties and text boxes hold none of it."""
+    runs = []
+    for node in p:
+        runs += [node] if node.tag == _W + "r" else node.findall(_W + "r") if node.tag == _W + "hyperlink" else []
     parts = []
-    for node in p.iter():
+    for node in (node for run in runs for node in run):
         if node.tag == _W + "t":
             parts.append(node.text or "")
         elif node.tag in _BREAKS:
@@ -157,13 +163,23 @@ _BATCH = 4096
 
 
 def _parse(parts, columns):
-    """mapInPandas function over (path, content): parse each file and emit its parts in bounded batches."""
+    """mapInPandas function over (path, content): parse each file and emit its parts in bounded batches.
+
+    A file that cannot be read gives one row with the error, beside the parts read before it.
+    """
+
+    def safely(content):
+        try:
+            for part in parts(content):
+                yield (*part, None)
+        except Exception as broken:
+            yield (*[None] * (len(columns) - 2), f"unreadable file: {broken}"[:500])
 
     def run(batches):
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 rows = []
-                for part in parts(content):
+                for part in safely(content):
                     rows.append((path, *part))
                     if len(rows) == _BATCH:
                         yield pd.DataFrame(rows, columns=columns)
@@ -175,9 +191,10 @@ def _parse(parts, columns):
 
 
 DOCX_PARTS = (
-    "path string, kind string, table_no long, idx long, text string, cells array<string>, name string, content binary"
+    "path string, kind string, table_no long, idx long, text string, cells array<string>, name string, content binary, "
+    "error string"
 )
-XLSX_PARTS = "path string, sheet string, sheet_no long, idx long, cells array<string>"
+XLSX_PARTS = "path string, sheet string, sheet_no long, idx long, cells array<string>, error string"
 
 
 def _names(schema):
@@ -218,6 +235,11 @@ def docx_tables(parts):
     return tables, rows.select(_table_id("table_no"), F.col("idx").alias("row_idx"), "cells")
 
 
+def broken_files(parts):
+    """(path, reason) of files that could not be read to their end."""
+    return parts.where("error IS NOT NULL").select("path", F.col("error").alias("reason"))
+
+
 def docx_media(parts):
     """(source_document, name, content) of the files embedded in DOCX files."""
     return parts.where("kind = 'media'").select(F.col("path").alias("source_document"), "name", "content")
@@ -231,4 +253,6 @@ def xlsx_tables(parts):
         F.concat(F.lit("sheet-"), F.col("sheet")).alias("source_page"),
         F.lit("xlsx").alias("extraction_method"),
     )
-    return tables, parts.select(_table_id("sheet_no"), (F.col("idx") - 1).alias("row_idx"), "cells")
+    cells = F.transform("cells", lambda c: F.when(~c.isin(*MISSING), c)).alias("cells")
+    read = parts.where("sheet_no IS NOT NULL")
+    return tables, read.select(_table_id("sheet_no"), (F.col("idx") - 1).alias("row_idx"), cells)

@@ -1,5 +1,6 @@
 """File readers, writers and the whole batch on files made here."""
 
+import uuid
 import zipfile
 
 import pytest
@@ -163,13 +164,102 @@ def test_batch(spark, folder, tmp_path):
     assert rain.date.isoformat() == "2025-07-25" and rain.source_page == "sheet-S1" and rain.extraction_method == "xlsx"
     read = get_chunks(chunks, "Kharif 26.docx", "agriculture").collect()
     assert [(r.chunk_index, r.chunk_text) for r in read] == [(0, "Kharif report a b c d e f"), (1, "tail")]
-    text = spark.read.parquet(f"{out}/text").orderBy("para_idx").collect()
+    text = spark.read.parquet(f"{out}/text").orderBy("source_document", "para_idx").collect()
     assert [r.text for r in text] == ["Kharif report", "a b c d e f", "tail"]
     assert spark.read.parquet(f"{out}/staging/media").count() == 1
     plan = query_observations(obs, domain="agriculture", indicator="sown")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(domain" in plan and "EqualTo(indicator,sown)" in plan
 
 
+def test_widths_do_not_meet(spark, tmp_path):
+    (tmp_path / "two.csv").write_text("District,Beds\nKolar,1\n")
+    alone = [r.cells for r in read_csv_tables(spark, [str(tmp_path)])[1].orderBy("row_idx").collect()]
+    (tmp_path / "six.csv").write_text("a,b,c,d,e,f\n1,2,3,4,5,6\n")
+    _, rows = read_csv_tables(spark, [str(tmp_path)])
+    beside = rows.where(F.col("table_id").contains("two.csv")).orderBy("row_idx").collect()
+    assert [r.cells for r in beside] == alone == [["District", "Beds"], ["Kolar", "1"]]
+
+
+def test_docx_runs_only():
+    tabs = '<w:pPr><w:tabs><w:tab w:val="left" w:pos="720"/></w:tabs></w:pPr>'
+    link = "<w:hyperlink><w:r><w:t>link</w:t></w:r></w:hyperlink>"
+    p = ooxml.ET.fromstring(f"<w:p {W}>{tabs}<w:r><w:t>a</w:t><w:tab/><w:t>b</w:t></w:r>{link}</w:p>")
+    assert ooxml._paragraph_text(p) == "a\tblink"
+
+
+def rejected(spark, out):
+    return {(r.item.split("/")[-1], r.step, r.reason) for r in spark.read.parquet(f"{out}/rejects").collect()}
+
+
+def test_nothing_is_lost(spark, tmp_path):
+    """A PDF without pages, a broken archive, an unreadable reply, a failing provider, a year beyond any calendar."""
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a.pdf").write_bytes(b"%PDF")
+    (source / "broken.docx").write_bytes(b"no archive")
+    (source / "odd.csv").write_text("District,Rain\nKolar,NA\n")
+    (source / "fails.csv").write_text("District,Hail\nKolar,3\n")
+    (source / "years.csv").write_text("District,Year,Sown\nKolar,99999999999,1\nKolar,2024,2\nKolar,,3\n")
+
+    def provider(prompt):
+        if "Rain" in prompt:
+            return "no json here"
+        if "Hail" in prompt:
+            raise ValueError("quota")
+        return (
+            '{"_entity_column": 0, "_entity_type": "district", "_domain": "agriculture", "0": {"field": "entity_name"}, '
+            '"1": {"field": "year"}, "2": {"field": "value", "indicator": "sown"}}'
+        )
+
+    obs, _ = run_batch(spark, [str(source)], out, 2025, provider, lambda p: "{}")
+    found = rejected(spark, out)
+    assert ("a.pdf", "reading", "PDF pages were not supplied as page tables") in found
+    assert any(item == "broken.docx" and reason.startswith("unreadable file") for item, _, reason in found)
+    assert ("odd.csv#0", "mapping", "unreadable reply") in found
+    assert ("fails.csv#0", "mapping", "provider failed: quota") in found and len(found) == 4
+    lost = spark.read.parquet(f"{out}/observations_rejected").collect()
+    assert [(r.value, r.reason) for r in lost] == [(1.0, "missing year")]
+    assert sorted((r.value, r.year) for r in obs.collect()) == [(2.0, 2024), (3.0, 2025)]
+
+
+def test_supplied_pdf_is_no_reject(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"%PDF")
+    files = S.list_files(spark, [str(tmp_path)])
+    paged = spark.createDataFrame([("a.pdf",)], "doc string")
+    assert S.rejects(files).count() == 1 and S.rejects(files, paged).count() == 0
+
+
+def test_second_run_asks_nothing(spark, folder, tmp_path):
+    out, calls = str(tmp_path / "out"), tmp_path / "calls"
+    calls.mkdir()
+    answer = answering()
+
+    def provider(prompt):
+        (calls / uuid.uuid4().hex).write_text("")
+        return answer(prompt)
+
+    first, _ = run_batch(spark, [folder], out, 2025, provider, lambda p: "{}")
+    n, asked = first.count(), len(list(calls.iterdir()))
+    assert asked == 4
+    again, _ = run_batch(spark, [folder], out, 2025, provider, lambda p: "{}")
+    assert len(list(calls.iterdir())) == asked and again.count() == 2 * n
+    assert spark.read.parquet(f"{out}/text").count() == 3  # replaced, not doubled
+    skipped, _ = run_batch(spark, [folder], out, 2025, provider, lambda p: "{}", skip_loaded=True)
+    assert skipped.count() == 2 * n and len(list(calls.iterdir())) == asked
+
+
+def test_equal_names_stay_apart(spark, tmp_path):
+    for name in ("x", "y"):
+        (tmp_path / "in" / name).mkdir(parents=True)
+        write_docx(tmp_path / "in" / name / "report.docx")
+    out = str(tmp_path / "out")
+    obs, chunks = run_batch(spark, [str(tmp_path / "in")], out, 2025, answering(), lambda p: "{}")
+    read = get_chunks(chunks, "report.docx").collect()
+    assert [(r.document_id.split("/")[-2], r.chunk_index) for r in read] == [("x", 0), ("x", 1), ("y", 0), ("y", 1)]
+    assert obs.select("document_id").distinct().count() == obs.select("table_id").distinct().count() == 2
+    assert spark.read.parquet(f"{out}/documents").count() == 2
+
+
 def test_store(spark, tmp_path):
     rows = [("KIMS", "hospital", None, 2025, "beds", 500.0), ("Q", "hospital", "health", 2025, "beds", float("nan"))]
     rows.append((None, "hospital", "health", 2025, "beds", 1.0))
@@ -187,5 +277,6 @@ def test_store(spark, tmp_path):
         ("KIMS", None, 500.0, False),
         ("Q", "health", None, False),
     ]
+    assert [r.reason for r in spark.read.parquet(f"{path}_rejected").collect()] == ["missing entity_name"]
     old = df.drop("domain")
     assert store.merge_versions(old, df).where("domain IS NULL").count() == 4
