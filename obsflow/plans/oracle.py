@@ -4,6 +4,7 @@ from ..functions.names import WORD_FIXES
 from ..operators.gazetteer import spellings
 from ..operators.mapping import DEFAULT_REASON, DOCUMENT_PROMPT, NOT_SPECIFIED, TABLE_PROMPT
 from .derived import DOCUMENT_REPLIES, SPELLINGS
+from .fuzzy_sql import PAIRS
 
 
 def quoted(text):
@@ -180,23 +181,55 @@ def key(x):
 
 ALIASES = f"""
 aliases AS (
-  SELECT alias_key, max_by(canonical, ord) AS canonical FROM (
+  SELECT alias_key, max_by(canonical, ord) AS canonical, min(ord) AS alias_ord FROM (
     SELECT ord, canonical, {key('spelling')} AS alias_key
     FROM (VALUES {", ".join(f"({i}, {quoted(n)}, {quoted(c)})" for i, (n, c) in enumerate(spellings()))})
          AS v(ord, spelling, canonical))
   GROUP BY alias_key)"""
 
-# Fuzzy outcomes of the spellings in use, worked out by hand: 'shivamoga' against 'shivamogga' has ratio 94.7.
-RESOLVED = f"""
-spelt AS (SELECT DISTINCT s AS name FROM (SELECT unnest({listed(SPELLINGS)}) AS s)),
+
+def resolved(names):
+    """CTEs from a query of distinct names to resolved (name, canonical, confidence, method): exact alias first, then
+    the best of three scores among the five aliases with the best weighted score."""
+    return f"""
+keyed_names AS (
+  SELECT name, clean, key, length(regexp_replace(key, '[^a-z]', '', 'g')) AS letters
+  FROM (SELECT name, clean, {key('clean')} AS key FROM (SELECT name, {cleaned('name')} AS clean FROM ({names}))) ),
+looked_up AS (SELECT n.*, a.canonical AS exact FROM keyed_names n LEFT JOIN aliases a ON a.alias_key = n.key),
+pairs AS (
+  SELECT DISTINCT l.key AS a, a.alias_key AS b FROM looked_up l, aliases a WHERE l.exact IS NULL AND l.letters >= 5),
+{PAIRS.strip()},
+ranked AS (
+  SELECT s.a, x.canonical, x.alias_ord, weighted, greatest(plain, weighted, token_set) AS best,
+    row_number() OVER (PARTITION BY s.a ORDER BY weighted DESC, x.alias_ord) AS nth
+  FROM scored s JOIN aliases x ON x.alias_key = s.b),
+picked AS (
+  SELECT a, arg_min(canonical, place) AS canonical, max(best) AS best FROM (
+    SELECT a, canonical, best, row_number() OVER (PARTITION BY a ORDER BY best DESC, weighted DESC, alias_ord) AS place
+    FROM ranked WHERE nth <= 5) GROUP BY a),
+judged AS (
+  SELECT l.*, p.canonical AS near, p.best,
+    CASE WHEN clean = '' THEN 'empty_input' WHEN exact IS NOT NULL THEN 'exact_alias'
+         WHEN letters < 5 THEN 'unresolved_short_input'
+         WHEN p.best >= (CASE WHEN letters <= 6 THEN 90 ELSE 80 END) THEN 'fuzzy_match' ELSE 'unresolved' END AS method
+  FROM looked_up l LEFT JOIN picked p ON p.a = l.key),
 resolved AS (
-  SELECT name,
-    CASE WHEN a.canonical IS NOT NULL THEN a.canonical WHEN name = 'Shivamoga' THEN 'Shivamogga' END AS canonical,
-    CASE WHEN a.canonical IS NOT NULL THEN 1.0 WHEN name = 'Shivamoga' THEN 0.95 ELSE 0.0 END::DOUBLE AS confidence,
-    CASE WHEN a.canonical IS NOT NULL THEN 'exact_alias'
-         WHEN length(regexp_replace({key(cleaned('name'))}, '[^a-z]', '', 'g')) < 5 THEN 'unresolved_short_input'
-         WHEN name = 'Shivamoga' THEN 'fuzzy_match' ELSE 'unresolved' END AS method
-  FROM spelt LEFT JOIN aliases a ON a.alias_key = {key(cleaned('name'))})"""
+  SELECT name, method,
+    CASE method WHEN 'exact_alias' THEN exact WHEN 'fuzzy_match' THEN near END AS canonical,
+    CASE method WHEN 'exact_alias' THEN 1.0 WHEN 'fuzzy_match' THEN round_even(best / 100, 2) ELSE 0.0 END::DOUBLE
+      AS confidence
+  FROM judged)"""
+
+
+RESOLVED = resolved(f"SELECT DISTINCT unnest({listed(SPELLINGS)}) AS name")
+
+KNOWN = [name for name, _ in spellings()]
+MISSPELT = f"""
+misspelt AS (
+  SELECT id, left(whole, gap) || substr(whole, gap + 2) AS name FROM (
+    SELECT o_orderkey AS id, {listed(KNOWN)}[o_orderkey % {len(KNOWN)} + 1] AS whole,
+      (o_orderkey // {len(KNOWN)}) % len(whole) AS gap
+    FROM orders))"""
 
 # ---------------------------------------------------------------- observations
 
@@ -437,6 +470,11 @@ def _oracle():
             f"""SELECT o_orderkey AS id, canonical, confidence AS resolution_confidence, method AS resolution_method
             FROM orders JOIN resolved ON name = {listed(SPELLINGS)}[o_orderkey % 12 + 1]""",
         ),
+        "fuzzy_resolve": query(
+            [MISSPELT, ALIASES, resolved("SELECT DISTINCT name FROM misspelt")],
+            """SELECT id, name, canonical, confidence AS resolution_confidence, method AS resolution_method
+            FROM misspelt JOIN resolved USING (name)""",
+        ),
         "normalize_observations": query(RULES, f"SELECT {OBS_COLUMNS} FROM obs"),
         "validate_observations": query(CHECKED, f"SELECT {OBS_COLUMNS} FROM validated"),
         "process_tables": query(CHECKED, f"SELECT {OBS_COLUMNS} FROM validated"),
