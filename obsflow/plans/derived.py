@@ -1,7 +1,7 @@
 """Raw report tables, replies, names and paragraphs derived from the given tables, row for row.
 
-Twenty consecutive orders make one report table: a banner, two header rows, an index row, then sixteen data rows with
-blanks, dashes, odd dates and mixed spellings set by moduli of the order key. Ten tables make one document.
+Twenty consecutive orders make one report table: a banner, two header rows and an index row, then a data row per order
+with blanks, dashes, odd dates and mixed spellings set by moduli of the order key. Ten tables make one document.
 """
 
 from pyspark.sql import functions as F
@@ -81,15 +81,17 @@ CASE WHEN k % 13 = 0 THEN '-'
 
 SHARE = "CASE WHEN k % 19 = 0 THEN '107%' ELSE CAST(o_custkey % 320 AS STRING) END"
 
-CELLS = f"""
+HEADER_CELLS = """
 CASE WHEN r = 0 AND t % 7 = 0 THEN array(NULL, NULL, NULL, NULL, NULL)
      WHEN r = 0 THEN array_repeat('Report ' || t, 5)
      WHEN r = 1 THEN array('District', 'Year', ' Date\nof record', 'Crop', 'Crop')
      WHEN r = 2 THEN array('District', NULL, '', 'Sown ' || t % 4, IF(t % 5 = 0, '129|', 'Percent'))
      WHEN r = 3 AND t % 2 = 0 THEN array(NULL, NULL, NULL, NULL, NULL)
      WHEN r = 3 AND t % 3 = 0 THEN array('೧', '೨', '೩', '೪', '೫')
-     WHEN r = 3 THEN array('1', '2', '3', '4', '5')
-     WHEN t % 11 = 0 THEN array(entity, 'year', dated, 'none yet', 'see ' || r)
+     ELSE array('1', '2', '3', '4', '5') END"""
+
+CELLS = f"""
+CASE WHEN t % 11 = 0 THEN array(entity, 'year', dated, 'none yet', 'see ' || r)
      WHEN k % 29 = 0 THEN array(entity, {YEAR}, dated, {AREA})
      ELSE array(entity, {YEAR}, dated, {AREA}, {SHARE}) END"""
 
@@ -99,11 +101,14 @@ def raw_rows(spark, sf_dir):
     orders = split_enough(table(spark, sf_dir, "orders").drop("o_orderstatus", "o_orderpriority"))
     orders = orders.selectExpr(*KEYED, "o_custkey", "o_totalprice", "o_orderdate")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (
+    data = (
         orders.join(nation, F.expr("o_custkey % 25 = n_nationkey"))
         .selectExpr("*", f"{ENTITY} AS entity", f"{DATE} AS dated")
-        .selectExpr(f"{TABLE_ID} AS table_id", "r AS row_idx", f"{CELLS} AS cells", "FALSE AS header_known")
+        .selectExpr(f"{TABLE_ID} AS table_id", f"r + {HEADER_ROWS} AS row_idx", f"{CELLS} AS cells")
     )
+    above = _tables(spark, sf_dir).selectExpr("t", f"explode(sequence(0L, {HEADER_ROWS - 1}L)) AS r")
+    heads = above.selectExpr(f"{TABLE_ID} AS table_id", "r AS row_idx", f"{HEADER_CELLS} AS cells")
+    return data.unionByName(heads).withColumn("header_known", F.lit(False))
 
 
 # What a mapping provider might answer, good and bad, by moduli of the table number.

@@ -49,17 +49,20 @@ written AS (
     CASE WHEN k % 19 = 0 THEN '107%' ELSE CAST(o_custkey % 320 AS VARCHAR) END AS share
   FROM keyed),
 raw AS (
-  SELECT k, t, r, 'report-' || (t // 10) || '.docx#' || (t % 10) AS table_id,
+  SELECT t, r, 'report-' || (t // 10) || '.docx#' || (t % 10) AS table_id,
     CASE WHEN r = 0 AND t % 7 = 0 THEN [NULL, NULL, NULL, NULL, NULL]
          WHEN r = 0 THEN ['Report ' || t, 'Report ' || t, 'Report ' || t, 'Report ' || t, 'Report ' || t]
          WHEN r = 1 THEN ['District', 'Year', ' Date' || chr(10) || 'of record', 'Crop', 'Crop']
          WHEN r = 2 THEN ['District', NULL, '', 'Sown ' || (t % 4), CASE WHEN t % 5 = 0 THEN '129|' ELSE 'Percent' END]
          WHEN r = 3 AND t % 2 = 0 THEN [NULL, NULL, NULL, NULL, NULL]
          WHEN r = 3 AND t % 3 = 0 THEN ['೧', '೨', '೩', '೪', '೫']
-         WHEN r = 3 THEN ['1', '2', '3', '4', '5']
-         WHEN t % 11 = 0 THEN [entity, 'year', dated, 'none yet', 'see ' || r]
+         ELSE ['1', '2', '3', '4', '5'] END AS cells
+  FROM (SELECT DISTINCT o_orderkey // 20 AS t FROM orders), range(0, 4) AS u(r)
+  UNION ALL
+  SELECT t, r + 4, 'report-' || (t // 10) || '.docx#' || (t % 10),
+    CASE WHEN t % 11 = 0 THEN [entity, 'year', dated, 'none yet', 'see ' || r]
          WHEN k % 29 = 0 THEN [entity, yeared, dated, areaed]
-         ELSE [entity, yeared, dated, areaed, share] END AS cells
+         ELSE [entity, yeared, dated, areaed, share] END
   FROM (SELECT *, CASE WHEN k % 13 = 0 THEN '-' WHEN k % 17 = 0 THEN 'n/a'
                        WHEN k % 3 = 0 THEN format('{{:,}}', area) ELSE CAST(area AS VARCHAR) END AS areaed
         FROM written))"""

@@ -151,3 +151,27 @@ def test_ratios():
     assert partial_ratio("kannada", "uttara kannada") == 100.0
     assert weighted_ratio("bengaluru", "bengaluru rural") == pytest.approx(90.0)
     assert weighted_ratio("kannada uttara", "uttara kannada") == pytest.approx(95.0)
+
+
+def test_whole_and_float_of_replies(spark):
+    assert applied(spark, ["3", " -1 ", "1.5", "0.5d", "x", None, "99999999999"], numbers.parse_whole) == [
+        3, -1, None, None, None, None, None,
+    ]
+    assert applied(spark, ["0.5", "0.5d", "1e-1", "nan", "high", None], numbers.parse_float) == [
+        0.5, None, 0.1, None, None, None,
+    ]
+
+
+def test_year_or_default(spark):
+    given = ["2024", "0", "2024-25", None, "99999999999"]
+    assert applied(spark, given, lambda c: numbers.year_or(c, 2025)) == [2024, 2025, 2025, 2025, None]
+
+
+def test_general_format_rounds_ties_to_even(spark):
+    ties = [12345.25, 123456.5, 123457.5, 1234565.0, 1.015625, 0.5, 100000.5, 1e15 + 0.5, 2.5e-5, 999999.5]
+    values = ties + [RNG.uniform(-1, 1) * 10 ** RNG.randint(-12, 18) for _ in range(2000)]
+    assert applied(spark, values, numbers.format_g, "double") == [f"{v:g}" for v in values]
+
+
+def test_serials_in_native_digits(spark):
+    assert applied(spark, ["೧. Kolar", "12| Kolar", "٣: Kolar"], names.clean_name) == ["Kolar"] * 3
