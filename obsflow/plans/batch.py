@@ -24,7 +24,7 @@ from ..sources.csv_tables import read_csv_tables
 from ..sources.files import base_name, binary_files, list_files, rejects
 from ..sources.ooxml import broken_files, docx_media, docx_paragraphs, docx_tables, parse_docx, parse_xlsx, xlsx_tables
 from ..sources.pages import page_paragraphs, page_tables
-from .staging import stage
+from .staging import release, scratch_mark, stage
 
 
 def table_layout(raw_rows):
@@ -146,9 +146,9 @@ def run_batch(spark, paths, out_dir, default_year, table_provider, domain_provid
     documents, replies, rejects (a row per file or table that was not loaded, with the reason).
 
     Every stage is written to shared storage before the next one reads it, so lost executors cost one stage at most.
-    With `skip_loaded` documents that an earlier run loaded, by full path, are left out.
+    Scratch tables are removed at the end. With `skip_loaded` documents that an earlier run loaded, by full path, are left out.
     """
-    staging = f"{out_dir}/staging"
+    staging, mark = f"{out_dir}/staging", scratch_mark(spark)
     turned_away, paragraphs, raw_tables, raw_rows = extract(spark, paths, staging, **options)
     turned_away.select(*REJECTS.names).write.mode("append").parquet(f"{out_dir}/rejects")
     if skip_loaded:
@@ -174,6 +174,7 @@ def run_batch(spark, paths, out_dir, default_year, table_provider, domain_provid
     store.append_observations(_identified(observations), f"{out_dir}/observations")
     seen = paragraphs.select("source_document").union(raw_tables.select("source_document")).distinct()
     _identified(seen).select(*DOCUMENTS.names).write.mode("append").parquet(f"{out_dir}/documents")
+    release(spark, mark)
     return store.read_observations(spark, f"{out_dir}/observations"), store.read_chunks(
         spark, f"{out_dir}/document_chunks"
     )

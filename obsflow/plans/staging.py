@@ -5,15 +5,36 @@ import uuid
 from ..session import ensure_checkpoint_dir
 
 
+_scratch = {}
+
+
 def stage(df, path=None):
     """Write once, read back. With file sizes known, a join against a small staged table is broadcast and a large one
-    is shuffled, without anyone asserting a size."""
+    is shuffled, without anyone asserting a size.
+
+    Without a path the table is scratch: it belongs to the session and goes when `release` is called."""
     spark = df.sparkSession
-    path = path or f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    if path is None:
+        path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+        _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_mark(spark):
+    """How many scratch tables the session has; `release(spark, mark)` removes those made since."""
+    return len(_scratch.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark, mark=0):
+    """Remove the session's scratch tables from `mark` on. Results that read them must have been written by then."""
+    made = _scratch.get(spark.sparkContext.applicationId, [])
+    for path in made[mark:]:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    del made[mark:]
+
+
 def spread_out(df, *keys):
     """One task per shuffle partition for rows that are few but slow to work on; small size alone would merge them."""
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from obsflow.operators.headers import known_headers
 from obsflow.operators.query import get_chunks, query_observations
 from obsflow.plans.batch import run_batch
+from obsflow.plans.staging import scratch_mark
 from obsflow.sinks import store
 from obsflow.sources import files as S
 from obsflow.sources import ooxml
@@ -153,7 +154,7 @@ def answering():
 
 
 def test_batch(spark, folder, tmp_path):
-    out = str(tmp_path / "out")
+    out, before = str(tmp_path / "out"), scratch_mark(spark)
     obs, chunks = run_batch(spark, [folder], out, 2025, answering(), lambda p: '{"domain": "Agriculture"}')
     got = {(r.source_document, r.entity_name, r.indicator, r.value) for r in obs.collect()}
     assert ("Kharif 26.docx", "Shivamogga", "sown", 1000.0) in got
@@ -167,6 +168,7 @@ def test_batch(spark, folder, tmp_path):
     text = spark.read.parquet(f"{out}/text").orderBy("source_document", "para_idx").collect()
     assert [r.text for r in text] == ["Kharif report", "a b c d e f", "tail"]
     assert spark.read.parquet(f"{out}/staging/media").count() == 1
+    assert scratch_mark(spark) == before
     plan = query_observations(obs, domain="agriculture", indicator="sown")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(domain" in plan and "EqualTo(indicator,sown)" in plan
 
