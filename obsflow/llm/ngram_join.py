@@ -4,16 +4,19 @@ Sets. Words are runs without space after lower-casing A-Z; a text's set holds it
 sequence where it is shorter. Texts with equal sets are one class, named by a 64-bit hash of the set (one expected clash
 at six billion different sets); a text without words is in no class and linked with nothing.
 
-Order. Shingles are ordered by how frequent they are, rarest first, then by hash. Frequency comes from counts over all
-documents in 2^18 hash buckets, a table of fixed size that is sent to all tasks: a bucket's count bounds those of its
-shingles, and any order gives exact results as long as all sets use the same.
+Order. Shingles are ordered by the number of documents that have them, rarest first, then by hash. The counts are exact
+(but for copies a task recognises, which count once; any order gives exact results as long as all sets use the same):
+shingles are dealt out by hash in packed form, counted, and those that stand in two documents or more are sent back.
+A shingle of one document is first in the order and cannot meet another, so it goes no further, and a document with
+enough of them has no candidates at all.
 
 Candidates. Two linked sets share one of their first n - ceil(0.75 n) + 1 shingles. These prefixes are dealt out by
-shingle, packed by target part. Sizes (length filter) and places (positional filter) discard most pairs. A shingle that
-three or more classes share gives no pairs among all of them, which would be quadratic in a group of near copies: first
-its smallest class is paired with the others, and once verified links have been joined into components, then one class
-per component, and at last all pairs across components. So nothing is lost and no pair inside a component is made that
-is not needed. A shingle in more classes than a task should hold is dealt over all parts and treated the same way.
+shingle. Sizes (length filter) and places (positional filter) discard most pairs. A shingle that three or more classes
+share gives no pairs among all of them, which would be quadratic in a group of near copies: first the class with the
+fewest shingles before this one, the least altered copy, is paired with the others; links found are joined into
+components, and one class per component is paired; at last all pairs across components are. So nothing is lost, and few
+pairs inside a component are made. A shingle in more classes than a task should hold is dealt over all parts and treated
+the same way.
 
 Verification. Each pair is verified once, on whole sets (48-bit hashes), after a suffix filter: quartiles of one set
 bound the difference between the two.
@@ -24,6 +27,8 @@ rows. Other columns of the input are not read.
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from ..plans.skew import attach
@@ -34,12 +39,13 @@ from .texts import pairs
 
 WORDS = 5
 PERCENT = 75
-BUCKETS = 1 << 18
 STEPS = 8  # frequency classes per doubling
-PART_ENTRIES = 1_500_000  # prefix entries a task sorts at a time
+PART_ENTRIES = 2_000_000  # shingles a task counts at a time
 LEAST_PARTS = 12
-HELD_ENTRIES = 300_000  # that a task packs at a time
+HELD_ENTRIES = 1_500_000  # shingles a task deals out at a time
 KNOWN_SETS = 1_000_000  # whose copies a task recognises
+CENTRES = 4  # ways of choosing among equally good classes to pair the others of a dense group with first
+TURNS = 1  # of pairing components by one class each, before all pairs across components
 HOT_ROWS = 1_000
 MARKS = 1 << 22  # bits that tell which sets are needed for verification
 
@@ -89,78 +95,68 @@ def least_overlap(n, m, percent=PERCENT):
     return (percent * (n + m) + 99 + percent) // (100 + percent)
 
 
-# first pass: sizes, class names, frequencies
+# first pass: sizes and class names
 
 
 def _summaries(source, size):
-    """Per document (doc_id, d, n) with a null bucket; per task and bucket (bucket, n)."""
+    """Per document (doc_id, d, n)."""
+    from pyspark.sql.pandas.types import to_arrow_type
 
     def run(batches):
-        seen = np.zeros(BUCKETS, np.int64)
         for ids, texts in blocks(batches):
-            names, sizes = [], []
-            for tokens in shingle_sets(texts, size):
-                np.add.at(seen, (tokens & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
-                names.append(set_hash(tokens))
-                sizes.append(len(tokens))
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(len(names), pa.int32())],
-                names=["doc_id", "d", "n", "bucket"],
-            )
-        used = np.flatnonzero(seen)
-        if len(used):
-            none = pa.nulls(len(used), id_type)
-            yield pa.RecordBatch.from_arrays(
-                [none, pa.nulls(len(used), pa.int64()), pa.array(seen[used]), pa.array(used.astype(np.int32))],
-                names=["doc_id", "d", "n", "bucket"],
-            )
-
-    from pyspark.sql.pandas.types import to_arrow_type
+            found = [(set_hash(s), len(s)) for s in shingle_sets(texts, size)]
+            arrays = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([ids.cast(id_type), *arrays], names=["doc_id", "d", "n"])
 
     kind = source.schema["doc_id"].dataType
     id_type = to_arrow_type(kind)
-    return source.mapInArrow(run, f"doc_id {kind.simpleString()}, d bigint, n bigint, bucket int")
+    return source.mapInArrow(run, f"doc_id {kind.simpleString()}, d bigint, n bigint")
+
+
+# second pass: shingles dealt out, counted, sent back, and prefixes dealt out
 
+DEALT = "part bigint, batch bigint, counts binary, tokens binary, ranks binary, names binary, sizes binary"
+POSTED = "part bigint, names binary, sizes binary, entries binary, tokens binary, places binary"
 
-def _frequencies(counted):
-    """(frequency class per bucket, mean count per bucket): a table of fixed size, on the driver."""
-    found = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(BUCKETS)
-    counts[found["bucket"].to_numpy()] = found["n"].to_numpy()
-    return np.minimum(np.log2(np.maximum(counts, 1)) * STEPS, 255).astype(np.uint8), counts.mean()
 
+def _table(schema, rows):
+    fields = [f.split() for f in schema.split(", ")]
+    kinds = {"bigint": pa.int64(), "binary": pa.binary()}
+    columns = list(zip(*rows)) if rows else [[] for _ in fields]
+    return pa.table({name: pa.array(c, type=kinds[kind]) for (name, kind), c in zip(fields, columns)})
 
-# second pass: prefixes, dealt out by shingle
 
+def _numbers(column, kind):
+    return [np.frombuffer(data, kind) for data in column.to_pylist()]
 
-def _prefixes(source, size, percent, parts, classes, hot_class):
-    """Packed prefix entries per block and part: heads (class, set size, entries), shingles, places."""
 
-    kinds = [pa.int32()] + [pa.binary()] * 5
+def _splits(part):
+    """(part, positions) for every part that occurs, positions in order."""
+    order = np.argsort(part, kind="stable")
+    used, first = np.unique(part[order], return_index=True)
+    return zip(used.tolist(), np.split(order, first[1:]))
 
-    def packed(heads):
-        names, sizes, firsts = zip(*heads)
-        names, sizes = np.array(names, np.int64), np.array(sizes, np.uint32)
-        counts = [len(f) for f in firsts]
-        token, head = np.concatenate(firsts), np.repeat(np.arange(len(heads)), counts)
-        place = np.concatenate([np.arange(c, dtype=np.uint32) for c in counts])
-        hot = token >> np.uint64(48) >= np.uint64(hot_class)
-        token &= HASH
-        spread = np.where(hot, mixed(names.view(np.uint64))[head], np.uint64(0))
-        part = (mixed(token ^ spread) % np.uint64(parts)).astype(np.int64)
-        place |= np.where(hot, HOT, np.uint32(0))
-        order = np.argsort(part, kind="stable")
-        used, first = np.unique(part[order], return_index=True)
+
+def _dealt(source, size, parts):
+    """Every set's shingles, packed by part and batch of documents; and a row per batch that names its classes.
+
+    A part is a range of hashes; 32 further bits tell its shingles apart. Batches are numbered by task, which gives the
+    same numbers when a lost task runs again.
+    """
+
+    def packed(number, names, sets):
+        token, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        part = ((token >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
         rows = []
-        for p, at in zip(used, np.split(order, first[1:])):
-            own, entries = np.unique(head[at], return_counts=True)
-            columns = (names[own], sizes[own], entries.astype(np.uint32))
-            rows.append((p, *(c.tobytes() for c in columns), pack(token[at]), place[at].tobytes()))
-        arrays = [pa.array(c, type=t) for c, t in zip(zip(*rows), kinds)]
-        return pa.RecordBatch.from_arrays(arrays, names=["part", "names", "sizes", "entries", "tokens", "places"])
+        for p, at in _splits(part):
+            counts = np.bincount(owner[at], minlength=len(sets)).astype("<u4").tobytes()
+            rows.append((p, number, counts, token[at].astype("<u4").tobytes(), None, None, None))
+        sizes = np.array([len(s) for s in sets], "<u4").tobytes()
+        rows.append((parts + number % parts, number, None, None, None, np.array(names, "<i8").tobytes(), sizes))
+        return _table(DEALT, rows).to_batches()
 
     def run(batches):
-        known, done, heads, held = classes.value, set(), [], 0
+        number, done, names, sets, held = TaskContext.get().partitionId() << 32, set(), [], [], 0
         for _, texts in blocks(batches):
             for s in shingle_sets(texts, size):
                 name = set_hash(s)
@@ -169,18 +165,69 @@ def _prefixes(source, size, percent, parts, classes, hot_class):
                 if len(done) >= KNOWN_SETS:
                     done.clear()
                 done.add(name)
-                rank = known[(s & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.uint64)
-                first = np.sort(rank << np.uint64(48) | s)[: prefix_size(len(s), percent)]
-                heads.append((name, len(s), first))
-                held += len(first)
+                names.append(name)
+                sets.append(s)
+                held += len(s)
             if held >= HELD_ENTRIES:
-                yield packed(heads)
-                heads, held = [], 0
-        if heads:
-            yield packed(heads)
-
-    schema = "part int, names binary, sizes binary, entries binary, tokens binary, places binary"
-    return source.select("doc_id", "text").mapInArrow(run, schema)
+                yield from packed(number, names, sets)
+                number, names, sets, held = number + 1, [], [], 0
+        if sets:
+            yield from packed(number, names, sets)
+
+    return source.select("doc_id", "text").mapInArrow(run, DEALT)
+
+
+def _shared(table):
+    """Of one part, the shingles that occur twice or more, with their frequency class, for the batches they came from."""
+    if table["names"][0].is_valid:
+        return table
+    counts, tokens = _numbers(table["counts"], "<u4"), _numbers(table["tokens"], "<u4")
+    every = np.concatenate(tokens)
+    order = np.argsort(every, kind="stable")
+    ordered = every[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    run = np.diff(np.append(first, len(ordered)))
+    rank = np.empty(len(every), np.uint8)
+    rank[order] = np.repeat(np.minimum(np.log2(run) * STEPS, 255).astype(np.uint8), run)
+    rows, at = [], 0
+    for part, batch, count, token in zip(table["part"].to_pylist(), table["batch"].to_pylist(), counts, tokens):
+        ranks = rank[at : at + len(token)]
+        at += len(token)
+        keep = ranks > 0
+        if keep.any():
+            owner = np.repeat(np.arange(len(count)), count)
+            kept = np.bincount(owner[keep], minlength=len(count)).astype("<u4")
+            rows.append((part, batch, kept.tobytes(), token[keep].tobytes(), ranks[keep].tobytes(), None, None))
+    return _table(DEALT, rows)
+
+
+def _prefixes(table, percent, parts, hot_class):
+    """Of one batch of documents, the shared shingles within the prefixes, packed by shingle."""
+    named = table.filter(pc.is_valid(table["names"]))
+    shared = table.filter(pc.is_null(table["names"]))
+    if not shared.num_rows:
+        return _table(POSTED, [])
+    names, sizes = _numbers(named["names"], "<i8")[0], _numbers(named["sizes"], "<u4")[0].astype(np.int64)
+    counts, tokens = _numbers(shared["counts"], "<u4"), _numbers(shared["tokens"], "<u4")
+    owner = np.concatenate([np.repeat(np.arange(len(c)), c) for c in counts])
+    token = np.concatenate([t | np.uint64(p << 32) for t, p in zip(tokens, shared["part"].to_pylist())])
+    rank = np.concatenate(_numbers(shared["ranks"], np.uint8))
+    order = np.lexsort((token, rank, owner))
+    owner, token, rank = owner[order], token[order], rank[order]
+    held = np.bincount(owner, minlength=len(names))
+    place = np.arange(len(owner)) - (np.cumsum(held) - held)[owner] + (sizes - held)[owner]
+    keep = place < prefix_size(sizes, percent)[owner]
+    owner, token, rank, place = owner[keep], token[keep], rank[keep], place[keep].astype(np.uint32)
+    hot = rank >= hot_class
+    spread = np.where(hot, mixed(names.view(np.uint64))[owner], np.uint64(0))
+    part = (mixed(token ^ spread) % np.uint64(parts)).astype(np.int64)
+    place |= np.where(hot, HOT, np.uint32(0))
+    rows = []
+    for p, at in _splits(part):
+        own, entries = np.unique(owner[at], return_counts=True)
+        columns = (names[own], sizes[own].astype("<u4"), entries.astype("<u4"), token[at], place[at])
+        rows.append((p, *(c.tobytes() for c in columns)))
+    return _table(POSTED, rows)
 
 
 def may_link(n, m, i, j, percent):
@@ -194,14 +241,15 @@ def _candidates(table, percent, every):
     column = lambda name, kind: np.frombuffer(b"".join(table[name].to_pylist()), kind)
     entries = column("entries", "<u4")
     names, sizes = np.repeat(column("names", "<i8"), entries), np.repeat(column("sizes", "<u4").astype(np.int64), entries)
-    token, place = unpack(b"".join(table["tokens"].to_pylist())), column("places", "<u4")
+    token, place = column("tokens", "<u8"), column("places", "<u4")
     hot, place = (place & HOT) > 0, (place & ~HOT).astype(np.int64)
 
     order = np.flatnonzero(repeated(token) | hot)
-    order = order[np.lexsort((names[order], sizes[order], token[order]))]
+    pick = mixed(names.view(np.uint64) ^ mixed(token % np.uint64(CENTRES)))
+    order = order[np.lexsort((names[order], pick[order], place[order], token[order]))]
     token, names, sizes, place, hot = (c[order] for c in (token, names, sizes, place, hot))
     fresh = np.ones(len(token), bool)  # tasks may have dealt out the same class twice
-    fresh[1:] = (token[1:] != token[:-1]) | (names[1:] != names[:-1]) | (sizes[1:] != sizes[:-1])
+    fresh[1:] = (token[1:] != token[:-1]) | (names[1:] != names[:-1])
     token, names, sizes, place, hot = (c[fresh] for c in (token, names, sizes, place, hot))
     first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, int)
     run = np.diff(np.append(first, len(token)))
@@ -312,23 +360,37 @@ def _labelled(entries, edges):
     return stage(known.join(mixed_up.select("token"), "token", "left_semi"))
 
 
-def _between_components(known):
-    """One class per component and shingle, paired with the shingle's first."""
-    entry = F.struct("n", "d", "place")
+def _between_components(known, turn):
+    """One class per component and shingle, the least altered, paired with the least altered of them all."""
+    pick = F.xxhash64("d", F.pmod("token", F.lit(CENTRES)), F.lit(turn)).alias("pick")
+    entry = F.struct("place", pick, "n", "d")
     one = known.groupBy("token", "label").agg(F.min(entry).alias("e"))
     first = one.groupBy("token").agg(F.min("e").alias("f"))
     return one.join(first, "token").where("e <> f").select(*_sides("f", "e"))
 
 
-def _across_components(known):
-    """All pairs of entries of one shingle that stand in different components, component by component."""
-    groups = known.select("token", "label").distinct()
+def _across_components(known, percent):
+    """All pairs of entries of one shingle that stand in different components, component by component.
+
+    Two components meet only if their bounds leave room for a pair that `may_link`: sizes, and what follows the shingle.
+    """
+    rest = F.max(F.col("n") - F.col("place") - 1)
+    bounds = F.struct(F.min("n").alias("least"), F.max("n").alias("most"), rest.alias("rest"))
+    groups = known.groupBy("token", "label").agg(bounds.alias("x"))
     left = groups.withColumnRenamed("label", "low")
-    meet = left.join(groups.withColumnRenamed("label", "high"), "token").where("low < high")
+    right = groups.select("token", F.col("label").alias("high"), F.col("x").alias("y"))
+    x, y = F.col("x"), F.col("y")
+    near = (100 * x["most"] >= percent * y["least"]) & (100 * y["most"] >= percent * x["least"])
+    room = 1 + F.least(x["rest"], y["rest"]) >= _need(x["least"], y["least"], percent)
+    meet = left.join(right, "token").where((F.col("low") < F.col("high")) & near & room).drop("x")
     entry = F.struct("n", "d", "place")
     low = known.select("token", F.col("label").alias("low"), entry.alias("e"))
     high = known.select("token", F.col("label").alias("high"), entry.alias("f"))
-    return meet.join(low, ["token", "low"]).join(high, ["token", "high"]).select(*_sides("e", "f"))
+    e = F.col("e")
+    fits = (100 * e["n"] >= percent * y["least"]) & (100 * y["most"] >= percent * e["n"])
+    fits &= 1 + F.least(e["n"] - e["place"] - 1, y["rest"]) >= _need(e["n"], y["least"], percent)
+    some = meet.join(low, ["token", "low"]).where(fits).drop("y")
+    return some.join(high, ["token", "high"]).select(*_sides("e", "f"))
 
 
 def _sides(e, f):
@@ -341,33 +403,32 @@ def _sides(e, f):
 def _filtered(met, percent):
     """Length and positional filter as in `may_link`."""
     n, m, i, j = (F.col(c) for c in "nmij")
-    need = F.floor((percent * (n + m) + 99 + percent) / (100 + percent))
     near = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    return met.where(near & (1 + F.least(n - i - 1, m - j - 1) >= need)).select("a", "b")
+    return met.where(near & (1 + F.least(n - i - 1, m - j - 1) >= _need(n, m, percent))).select("a", "b")
+
+
+def _need(n, m, percent):
+    """`least_overlap` of two columns."""
+    return F.floor((percent * (n + m) + 99 + percent) / (100 + percent))
 
 
 class Join:
-    """The join of one table: `classes` (doc_id, d, n) and, by `links` or `components`, what is linked."""
+    """The join of one table: `classes` (doc_id, d, n) and, by `links` or `edges`, what is linked."""
 
     def __init__(self, docs, id_col="doc_id", text_col="text", size=WORDS, percent=PERCENT, part_entries=PART_ENTRIES):
         self.spark, self.size, self.percent = docs.sparkSession, size, percent
         self.source = pairs(docs, id_col, text_col)
-        summaries = stage(_summaries(self.source, size))
-        self.classes = summaries.where("bucket IS NULL").select("doc_id", "d", "n")
-        classes, mean = _frequencies(summaries.where("bucket IS NOT NULL"))
-        self.frequency = self.spark.sparkContext.broadcast(classes)
-        n_prefix = F.sum(F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1)
-        entries = self.classes.where("n > 0").agg(n_prefix).first()[0] or 0
+        self.classes = stage(_summaries(self.source, size))
+        entries = self.classes.agg(F.sum("n")).first()[0] or 0
         self.parts = max(LEAST_PARTS, -(-entries // part_entries))
-        hot = 2 * mean + part_entries / 10
-        self.hot_class = int(np.log2(hot) * STEPS) + 1 if hot > 1 else 1
+        self.hot_class = int(np.log2(max(part_entries / 10, 2)) * STEPS)
 
     def _shared(self, every):
-        dealt = _prefixes(self.source, self.size, self.percent, self.parts, self.frequency, self.hot_class)
-        percent = self.percent
-        found = dealt.groupBy("part").applyInArrow(
-            lambda table: _candidates(table, percent, every),
-            "a bigint, b bigint, token bigint, d bigint, n bigint, place bigint",
+        percent, hot_class, parts = self.percent, self.hot_class, max(LEAST_PARTS, self.parts // 4)
+        shared = _dealt(self.source, self.size, self.parts).groupBy("part").applyInArrow(_shared, DEALT)
+        posted = shared.groupBy("batch").applyInArrow(lambda t: _prefixes(t, percent, parts, hot_class), POSTED)
+        found = posted.groupBy("part").applyInArrow(
+            lambda t: _candidates(t, percent, every), "a bigint, b bigint, token bigint, d bigint, n bigint, place bigint"
         )
         found = stage(found)
         return stage(_ordered(found.where("a IS NOT NULL"))), found.where("d IS NOT NULL").drop("a", "b")
@@ -388,10 +449,12 @@ class Join:
         tried, entries = self._shared(every=False)
         sets = self._whole(tried, entries)
         edges = stage(_verified(tried, sets, self.percent))
-        for pair_up in (_between_components, _across_components):
+        for turn in range(TURNS + 1):
             known = _labelled(entries, edges)
-            met = _ordered(_filtered(pair_up(known), self.percent)).join(tried, ["a", "b"], "left_anti")
-            new = stage(met)
+            met = _between_components(known, turn) if turn < TURNS else _across_components(known, self.percent)
+            new = stage(_ordered(_filtered(met, self.percent)).join(tried, ["a", "b"], "left_anti"))
+            if new.isEmpty():
+                continue
             edges = stage(edges.unionByName(_verified(new, sets, self.percent)))
             tried = stage(tried.unionByName(new))
         return edges
