@@ -8,15 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SCORES = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("weighted", T.DoubleType()),
-            T.StructField("alias_ord", T.IntegerType()),
-            T.StructField("best", T.DoubleType()),
-        ]
-    )
-)
+BEST = T.StructType([T.StructField("alias_ord", T.IntegerType()), T.StructField("score", T.DoubleType())])
 
 
 def _lcs(a, b):
@@ -90,24 +82,23 @@ def weighted_ratio(a, b):
     return max(best, scale * partial_ratio(a, b), scale * 0.95 * tokens)
 
 
-def alias_scorer(alias_keys):
-    """Pandas UDF: key -> (weighted, alias_ord, best of three) for each gazetteer key, in gazetteer order."""
-
-    def scores(key):
-        out = []
-        for i, alias in enumerate(alias_keys):
-            weighted = weighted_ratio(key, alias)
-            out.append(
-                {
-                    "weighted": weighted,
-                    "alias_ord": i,
-                    "best": max(ratio(key, alias), weighted, token_set_ratio(key, alias)),
-                }
-            )
-        return out
-
-    @F.pandas_udf(SCORES)
-    def score(keys: pd.Series) -> pd.Series:
-        return keys.map(lambda k: None if k is None else scores(k))
+def alias_scorer(alias_keys, candidates):
+    """Pandas UDF: key -> (alias_ord, score), the alias with the best of three scores among the `candidates` with the
+    best weighted score; ties go to the better weighted score, then to gazetteer order."""
+
+    def chosen(key):
+        top = sorted((-weighted_ratio(key, alias), i) for i, alias in enumerate(alias_keys))[:candidates]
+        best = min((-max(ratio(key, alias_keys[i]), -w, token_set_ratio(key, alias_keys[i])), w, i) for w, i in top)
+        return {"alias_ord": best[2], "score": -best[0]}
+
+    @F.pandas_udf(BEST)
+    def score(keys: pd.Series) -> pd.DataFrame:
+        found = [None if k is None else chosen(k) for k in keys]
+        return pd.DataFrame(
+            {
+                "alias_ord": pd.array([None if f is None else f["alias_ord"] for f in found], dtype="Int32"),
+                "score": [None if f is None else f["score"] for f in found],
+            }
+        )
 
     return score

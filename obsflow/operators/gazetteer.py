@@ -117,26 +117,17 @@ def normalise_names(df, name, spread):
     return attach(df, stage(with_keys(_distinct(df, name), name)), [name], spread)
 
 
-def best_alias(keys, gazetteer=GAZETTEER):
-    """For each key: the alias with the best of three scores among the five with the best weighted score.
+def best_alias(keys, gazetteer=GAZETTEER, candidates=CANDIDATES):
+    """For each key: the alias with the best of three scores among the `candidates` with the best weighted score.
 
-    Ranks are taken inside each row over the fixed gazetteer, so no pairs are shuffled. Adds alias_key and score.
+    The gazetteer is small and fixed, so no pairs are shuffled. Adds alias_key and score.
     """
     aliases = [key for _, key, _ in alias_rows(keys.sparkSession, gazetteer)]
-    ranked = F.transform(
-        "_scores",
-        lambda s: F.struct((-s["weighted"]).alias("w"), s["alias_ord"].alias("ord"), s["best"].alias("best")),
-    )
-    top = F.slice(F.array_sort(ranked), 1, CANDIDATES)
-    best = F.array_min(
-        F.transform(top, lambda s: F.struct((-s["best"]).alias("b"), s["w"].alias("w"), s["ord"].alias("ord")))
-    )
     return (
-        keys.withColumn("_scores", alias_scorer(aliases)("fuzzy_key"))
-        .withColumn("_best", best)
-        .withColumn("alias_key", F.element_at(F.array(*[F.lit(a) for a in aliases]), F.col("_best.ord") + 1))
-        .withColumn("score", -F.col("_best.b"))
-        .drop("_scores", "_best")
+        keys.withColumn("_best", alias_scorer(aliases, candidates)("fuzzy_key"))
+        .withColumn("alias_key", F.element_at(F.array(*[F.lit(a) for a in aliases]), F.col("_best.alias_ord") + 1))
+        .withColumn("score", F.col("_best.score"))
+        .drop("_best")
     )
 
 
