@@ -27,7 +27,7 @@ LEAF_BYTES = 64
 SHORT_BYTES = 24
 NONE = 1 << 60
 KEPT_CHARS = 64
-KEPT_PIECES = 300_000
+KEPT_PIECES = 100_000
 LOOKAHEAD = 3  # no match of the pattern reads more than two characters past its end
 
 # Fixed value: the pattern's meaning on ASCII text, where Python's own engine is quicker.
