@@ -27,7 +27,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 KEY = re.compile(
-    r"(?<![A-Za-z0-9+/=])(?=[A-Za-z0-9+/]*[A-Z])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z+/]*[0-9])[A-Za-z0-9+/]{32,}={0,2}"
+    r"(?<![A-Za-z0-9+/])(?=[A-Za-z0-9+/]*[A-Z])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z+/]*[0-9])[A-Za-z0-9+/]{32,}={0,2}"
 )
 LOGIN = re.compile(
     r"\b(?:user(?:name)?|login|account|client_?id|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?[\w.@-]{3,}",

@@ -115,6 +115,18 @@ def test_weak_parts_need_complements():
     assert secret_scan.summary("token=abcdef0123 host 10.1.2.3")[4] == "assign:0:16,endpoint:22:30"
 
 
+def test_keys_after_a_name():
+    """A key stands after '=', ':' or in a query as well as after a space; padding is part of it."""
+    key, access = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzEXAMPLE1", "AKIA" + "A1" * 8
+    forms = [f"AWS_SECRET_ACCESS_KEY={key}", f"sk:{key}", f"SK = {key}", f'"sk":"{key}"', f"GET /x?sig={key}&v=1"]
+    for form in forms:
+        text = f"AWS_ACCESS_KEY_ID={access}\n{form}"
+        at = text.index(key)
+        assert secret_scan.summary(text)[4] == f"access:18:38,key:{at}:{at + 40}", form
+        assert secret_scan.summary(form)[4] == ""
+    assert secret_scan.summary(f"{access} k={key}==")[4] == "access:0:20,key:23:65"
+
+
 def test_links_like_all_pairs():
     rng = random.Random(6)
     for _ in range(500):
