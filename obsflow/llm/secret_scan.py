@@ -4,15 +4,18 @@ Strong kinds are reported wherever they stand: assign (a secret given to a name)
 long hexadecimal string). Weak kinds are `key` (a long random-looking token), `login` (a user or client name given to a
 field) and `endpoint` (an address). Weak ones are joined with all parts of the same text whose interval comes within
 `SCOPE` characters: a key is reported near an identifier or an endpoint, a login near a secret, an endpoint near an
-identifier or a secret. The join is a sweep over starts kept in order; only the nearest part of each role on either side
-matters, so its cost is that of sorting, whatever the number of parts.
+identifier or a secret. A weak part that overlaps a strong one still complements others in its own role; it is not
+reported itself where it lies wholly within a strong one, as that span is reported already. The join is a sweep over
+starts kept in order; only the nearest part of each role on either side matters, so its cost is that of sorting,
+whatever the number of parts.
 
 Offsets are code points, ends exclusive. Null and empty texts have no parts; repeated rows are scanned each.
 """
 
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 from hashlib import sha256
+from itertools import accumulate
 
 from .texts import map_texts
 
@@ -58,8 +61,8 @@ def strong_parts(text):
     return parts
 
 
-def weak_parts(text, strong):
-    """(start, end, kind) of the weak patterns, without those that overlap a strong part."""
+def weak_parts(text):
+    """(start, end, kind) of the weak patterns, also where they overlap a strong part."""
     found = []
     if LONG.search(text):
         found += [(*m.span(), "key") for m in KEY.finditer(text)]
@@ -68,21 +71,14 @@ def weak_parts(text, strong):
         found += [(*m.span(), "login") for m in LOGIN.finditer(text)]
     if "://" in text or "." in text:
         found += [(*m.span(), "endpoint") for m in ENDPOINT.finditer(text)]
-    if not found or not strong:
-        return found
-    spans = _merged(strong)
-    starts, ends = [s for s, _ in spans], [e for _, e in spans]
-    return [p for p in found if bisect_right(ends, p[0]) >= bisect_left(starts, p[1])]
+    return found
 
 
-def _merged(parts):
-    spans = []
-    for start, end, _ in sorted(parts):
-        if spans and start < spans[-1][1]:
-            spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
-        else:
-            spans.append((start, end))
-    return spans
+def outside(weak, strong):
+    """The weak parts that do not lie wholly within one strong part."""
+    spans = sorted(strong)
+    starts, ends = [start for start, _, _ in spans], list(accumulate((end for _, end, _ in spans), max, initial=-1))
+    return [p for p in weak if ends[bisect_right(starts, p[0])] < p[1]]
 
 
 def linked(weak, strong, scope=SCOPE):
@@ -113,8 +109,8 @@ def spans_text(parts):
 
 def summary(text, scope=SCOPE):
     strong = strong_parts(text)
-    weak = weak_parts(text, strong)
-    kept = linked(weak, strong, scope) if weak else []
+    weak = weak_parts(text)
+    kept = outside(linked(weak, strong, scope), strong) if weak else []
     kinds = [kind for _, _, kind in strong]
     digest = sha256(spans_text(strong).encode()).hexdigest()
     return *(kinds.count(k) for k in KINDS[:3]), digest, spans_text([*strong, *kept])

@@ -127,6 +127,26 @@ def test_keys_after_a_name():
     assert secret_scan.summary(f"{access} k={key}==")[4] == "access:0:20,key:23:65"
 
 
+def test_overlapped_parts_complement():
+    """A login or endpoint that holds a strong part is reported and complements a key; one within a strong part is not."""
+    key, number = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzEXAMPLE1", "0a" * 16
+    spans = lambda text: secret_scan.summary(text)[4]
+    assert spans(f"client_id={number} {key}") == "login:0:42,hex:10:42,key:43:83"
+    assert spans(f"https://a.example/x?token=abcdef0 {key}") == "endpoint:0:33,assign:20:33,key:34:74"
+    access = "AKIA" + "A1" * 8
+    assert spans(f"https://a.example/x?sig={key}&id={access}") == "endpoint:0:88,key:24:64,access:68:88"
+    assert spans(f"secret={key}") == "assign:0:47"
+    assert spans(f"password=user=alice {key}") == "assign:0:19,key:20:60"
+
+
+def test_outside_like_all_pairs():
+    rng = random.Random(7)
+    for _ in range(300):
+        weak, strong = ([(a := rng.randint(0, 60), a + rng.randint(1, 20), k) for _ in range(6)] for k in ("key", "hex"))
+        want = [p for p in weak if not any(q[0] <= p[0] and p[1] <= q[1] for q in strong)]
+        assert secret_scan.outside(weak, strong) == want
+
+
 def test_links_like_all_pairs():
     rng = random.Random(6)
     for _ in range(500):
