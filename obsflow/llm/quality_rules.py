@@ -22,6 +22,7 @@ LEAST_WORDS, REPEAT_PERCENT, WINDOW = 20, 30, 8
 STEPS = 50
 PRIOR, ON_BAD, ON_GOOD = 0.85, 0.3, 0.995  # where EM starts: share of good, votes bad on bad, votes good on good
 STRONG = 10  # prior votes on good texts
+GUARD = 1e-3  # keeps estimates off 0 and 1, where logarithms end
 
 _SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
 _UPPER = (np.arange(256) >= 65) & (np.arange(256) <= 90)
@@ -93,7 +94,8 @@ def estimate(patterns, counts, steps=STEPS):
     """(posterior of good per pattern, share of good, accuracies) by EM over vote patterns and their counts.
 
     A rule has two accuracies, as a bad text passes most rules but a good one fails hardly any: how often it votes bad on
-    a bad text, and good on a good one. Abstaining says nothing. Prior counts keep both defined when a rule never votes.
+    a bad text, and good on a good one. Abstaining says nothing. Prior counts keep both defined when a rule never votes;
+    nothing else bounds them, so a rule may turn out to fail many good texts, and the share of good may be small.
     """
     table = np.array([[{"1": 1, "0": 0, "-": -1}[v] for v in p] for p in patterns])
     weight = np.asarray(counts, float)
@@ -107,8 +109,8 @@ def estimate(patterns, counts, steps=STEPS):
         as_good, as_bad = weight * posterior, weight * (1 - posterior)
         on_bad = (as_bad @ says_bad + ON_BAD) / (as_bad @ said + 1)
         on_good = (as_good @ (said & ~says_bad) + ON_GOOD * STRONG) / (as_good @ said + STRONG)
-        on_bad, on_good = np.clip(on_bad, 0.05, 0.95), np.clip(on_good, 0.97, 0.999)
-        good = np.clip((as_good.sum() + PRIOR) / (weight.sum() + 1), 0.5, 0.99)
+        good = (as_good.sum() + PRIOR) / (weight.sum() + 1)
+        on_bad, on_good, good = (np.clip(x, GUARD, 1 - GUARD) for x in (on_bad, on_good, good))
     return posterior, float(good), (on_bad, on_good)
 
 

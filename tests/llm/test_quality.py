@@ -118,6 +118,26 @@ def test_rule_accuracies_are_recovered():
     assert abs(share - 0.8) < 0.03 and np.abs(on_bad - bad_on_bad).max() < 0.06 and (on_good > 0.98).all()
 
 
+def test_source_that_fails_one_rule_is_kept():
+    """A third of all rows are clean but for one rule, as tables have no full stops."""
+    for rule in range(8):
+        one = "".join("0" if k == rule else "1" for k in range(8))
+        seen = {"1" * 8: 60_000, one: 33_000, "10011000": 4_000, "0-000000": 3_000}
+        posterior, share, (_, on_good) = quality_rules.estimate(list(seen), list(seen.values()))
+        assert (posterior[:2] > 0.95).all() and (posterior[2:] < 0.05).all(), (rule, posterior)
+        assert abs(share - 0.93) < 0.01 and abs(on_good[rule] - 60 / 93) < 0.01
+
+
+def test_share_of_good_may_be_small():
+    rng = np.random.default_rng(6)
+    good = rng.random(20_000) < 0.2
+    bad_on_bad = np.array([0.6, 0.5, 0.7, 0.4, 0.6])
+    votes = np.where(rng.random((20_000, 5)) < np.where(good[:, None], 0.05, bad_on_bad), "0", "1")
+    texts, counts = np.unique(["".join(v) for v in votes], return_counts=True)
+    _, share, (on_bad, on_good) = quality_rules.estimate(list(texts), list(counts))
+    assert abs(share - 0.2) < 0.03 and np.abs(on_bad - bad_on_bad).max() < 0.05 and np.abs(on_good - 0.95).max() < 0.05
+
+
 def test_rules_edges(odd, none):
     rows = quality_rules.judge(odd).collect()
     assert len(rows) == 8 and quality_rules.judge(none).count() == 0
