@@ -16,7 +16,8 @@ share gives no pairs among all of them, which would be quadratic in a group of n
 fewest shingles before this one, the least altered copy, is paired with the others; links found are joined into
 components, and one class per component is paired; at last all pairs across components are. So nothing is lost, and few
 pairs inside a component are made. A shingle in more classes than a task should hold is dealt over all parts and treated
-the same way.
+the same way. `Join.links` makes all pairs: of such a shingle's classes block by block, each pair of blocks a group of
+its own.
 
 Verification. Each pair is verified once, on whole sets (48-bit hashes), after a suffix filter: quartiles of one set
 bound the difference between the two.
@@ -237,7 +238,10 @@ def may_link(n, m, i, j, percent):
 
 
 def _candidates(table, percent, every):
-    """Pairs of one part, and the entries of shingles that more than two classes share (`every`: all pairs instead)."""
+    """Pairs of one part, and the entries of shingles that more than two classes share.
+
+    `every`: all pairs instead, and the entries of hot shingles, whose classes stand in many parts.
+    """
     column = lambda name, kind: np.frombuffer(b"".join(table[name].to_pylist()), kind)
     entries = column("entries", "<u4")
     names, sizes = np.repeat(column("names", "<i8"), entries), np.repeat(column("sizes", "<u4").astype(np.int64), entries)
@@ -257,8 +261,9 @@ def _candidates(table, percent, every):
 
     left, right = [], []
     if every:
-        for k in range(1, int(run.max(initial=1))):
-            at = np.flatnonzero(start + length > np.arange(len(token)) + k)
+        inside = np.where(hot, 1, length)
+        for k in range(1, int(inside.max(initial=1))):
+            at = np.flatnonzero(start + inside > np.arange(len(token)) + k)
             at = at[may_link(sizes[at], sizes[at + k], place[at], place[at + k], percent)]
             left.append(names[at])
             right.append(names[at + k])
@@ -270,7 +275,7 @@ def _candidates(table, percent, every):
         right.append(names[at[ok]])
     left, right = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (left, right))
     both = np.unique(np.stack([left, right], axis=1), axis=0) if len(left) else np.zeros((0, 2), np.int64)
-    more = np.flatnonzero((length > 2) | hot) if not every else np.zeros(0, np.int64)
+    more = np.flatnonzero(hot if every else (length > 2) | hot)
     none = lambda k, kind=pa.int64(): pa.nulls(k, kind)
     return pa.table(
         {
@@ -393,6 +398,20 @@ def _across_components(known, percent):
     return some.join(high, ["token", "high"]).select(*_sides("e", "f"))
 
 
+def _all_pairs(entries, block):
+    """All pairs of classes that share a shingle, which are dealt out by shingle and pair of blocks of about `block`."""
+    sizes = entries.groupBy("token").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    at = F.pmod(F.xxhash64("d"), F.col("blocks"))
+    entry = F.struct("n", "d", "place")
+    known = entries.join(sizes, "token").select("token", "blocks", at.alias("at"), entry.alias("e"))
+    low = known.select("token", F.col("at").alias("low"), F.explode(F.expr("sequence(at, blocks - 1)")).alias("high"), "e")
+    high = known.select(
+        "token", F.explode(F.expr("sequence(0L, at)")).alias("low"), F.col("at").alias("high"), F.col("e").alias("f")
+    )
+    both = low.join(high, ["token", "low", "high"]).where("low < high OR e.d < f.d")
+    return both.select(*_sides("e", "f"))
+
+
 def _sides(e, f):
     return (
         *(F.col(f"{e}.{c}").alias(k) for c, k in (("d", "a"), ("n", "n"), ("place", "i"))),
@@ -421,6 +440,7 @@ class Join:
         self.classes = stage(_summaries(self.source, size))
         entries = self.classes.agg(F.sum("n")).first()[0] or 0
         self.parts = max(LEAST_PARTS, -(-entries // part_entries))
+        self.block = max(2, part_entries // 200)
         self.hot_class = int(np.log2(max(part_entries / 10, 2)) * STEPS)
 
     def _shared(self, every):
@@ -442,6 +462,8 @@ class Join:
     def links(self):
         """All linked pairs of classes (a, b), a < b."""
         candidates, entries = self._shared(every=True)
+        far = _filtered(_all_pairs(entries, self.block), self.percent)
+        candidates = stage(_ordered(candidates.unionByName(far)))
         return stage(_verified(candidates, self._whole(candidates, entries), self.percent))
 
     def edges(self):

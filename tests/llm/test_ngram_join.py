@@ -81,6 +81,18 @@ def test_links(spark):
     assert ngram_join.Join(docs).links().count() == plain_components(rows)[1]
 
 
+def test_links_of_hot_shingles(spark):
+    """part_entries=40: as in test_components; a third of the rows are near copies that share hot shingles only."""
+    rng = random.Random(10)
+    base = [f"b{i}" for i in range(60)]
+    near = [(2000 + i, " ".join([*base[:50], *(f"x{i}" for _ in range(rng.randint(0, 3)))])) for i in range(45)]
+    rows = corpus(6, 90) + near
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = ngram_join.Join(docs, part_entries=40).links().collect()
+    assert len(set(map(tuple, found))) == len(found) == plain_components(rows)[1] > 500
+    assert ngram_join.Join(docs.where("false"), part_entries=40).links().count() == 0
+
+
 def test_documents(spark, documents):
     rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
     got = sorted(map(tuple, ngram_join.component_rows(documents).collect()), key=repr)
