@@ -11,6 +11,7 @@ labels it says allow. Repeated rows are judged each.
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .texts import lower_ascii, whole
@@ -104,15 +105,22 @@ def train(labelled, max_labelled=MAX_LABELLED):
 
 
 def rule_labels(pages, url_col="url", rules=RULES, rows=MAX_LABELLED):
-    """A small labelled table where none is given: URLs that rules judge, the first by a hash of the URL."""
-    url = F.col(url_col)
-    _, verdict = rule_columns(*host_path(url), rules)
-    return (
-        pages.select(url.alias("url"), (verdict == "allow").cast("int").alias("label"))
-        .where("label IS NOT NULL")
-        .orderBy(F.xxhash64("url"), "url")
-        .limit(rows)
-    )
+    """A small labelled table where none is given: different hosts and paths that rules judge, the first by their hash.
+
+    Each label gives every other row as long as it has any, so that both are there however rare one is.
+    """
+    host, path = host_path(F.col(url_col))
+    parts = pages.select(F.col(url_col).alias("url"), host.alias("host"), path.alias("path"))
+    _, verdict = rule_columns(F.col("host"), F.col("path"), rules)
+    place = F.xxhash64("host", "path")
+
+    def first(label, says):
+        found = parts.where(verdict == says).groupBy("host", "path").agg(F.min("url").alias("url"))
+        return found.orderBy(place, "host", "path").limit(rows).withColumn("label", F.lit(label))
+
+    turn = F.row_number().over(Window.partitionBy("label").orderBy(place, "host", "path"))
+    both = first(1, "allow").unionByName(first(0, "block"))
+    return both.withColumn("turn", turn).orderBy("turn", "label").limit(rows).select("url", "label")
 
 
 def judge(pages, labelled, id_col="page_id", url_col="url", rules=RULES):

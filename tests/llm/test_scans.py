@@ -200,6 +200,21 @@ def test_urls(spark):
     assert all(r.verdict == "allow" for r in unlabelled if r.rule is None)
 
 
+def test_labels_of_repeated_urls(spark):
+    """One URL holds a third of the rows, the others are there 50 times each, and one label is rare."""
+    block = [f"https://s{i}.com/de/{i}?q={k}" for i in range(60) for k in range(50)]
+    allow = ["https://a.org/fr/hot"] * 1500 + ["https://a.org/fr/other"] * 50
+    asked = ["https://b.net/de/7", "https://c.net/fr/hot"]
+    pages = spark.createDataFrame(list(enumerate([*block, *allow, *asked])), "page_id long, url string")
+    labelled = url_filter.rule_labels(pages, rows=40).collect()
+    assert sorted(r.label for r in labelled) == [0] * 38 + [1] * 2
+    assert len({r.url.split("?")[0] for r in labelled}) == 40
+    got = {r.page_id: r.verdict for r in url_filter.judge(pages, url_filter.rule_labels(pages, rows=40)).collect()}
+    assert [got[len(block) + len(allow) + k] for k in (0, 1)] == ["block", "allow"]
+    many = url_filter.rule_labels(pages)
+    assert many.count() == 62 and many.groupBy("label").count().count() == 2
+
+
 def test_url_model_learns(spark):
     rng = random.Random(8)
     rows = []
