@@ -4,10 +4,11 @@ A line with a word has features of its own (symbols, bars, capitals, repeats, se
 neighbours; a chain links the labels of adjacent lines. Forward-backward gives each line's marginal probability of good;
 their mean, weighted by line length, is the document's goodness, which a fitted logistic curve turns into the score.
 
-Fitting: at most `SAMPLE` labelled documents, the first by a hash of the id, none of the held-out fold, and at most
-`SAMPLE_LINES` lines of each, cut into chains of `CHAIN` lines. Line labels start as the document's; then lines of bad
-documents that look good are labelled so, except each one's worst, and the field is fitted again. Labels, language,
-source and id are no inputs of a score.
+Fitting: at most `SAMPLE` labelled documents, the first by a hash of the id, none of the held-out fold, one row of each
+(the least text of a repeated id). A document is cut into chains of `CHAIN` lines; of one with more than `SAMPLE_LINES`
+lines that many are taken, in whole chains spread by hash over all of it. Line labels start as the document's; then lines
+of bad documents that look good are labelled so, except each one's worst, and the field is fitted again. The curve is
+fitted to the goodness of the whole texts. Labels, language, source and id are no inputs of a score.
 
 Scoring reads whole texts, many at once. A text without a word (null, empty or blank) scores 0. Without labelled rows of
 both kinds every score is 0.5. Ids without a label, repeated rows and null ids are scored like any other; null and
@@ -17,7 +18,8 @@ conflicting labels count as the lower one. An empty table gives no rows.
 import numpy as np
 from pyspark.sql import functions as F
 
-from .arrays import Block, blocks, filter_blocks, later_copies, map_blocks, repeat_words
+from ..plans.staging import stage
+from .arrays import Block, blocks, filter_blocks, later_copies, map_blocks, mixed, repeat_words
 from .texts import pairs
 
 SAMPLE = 3_000
@@ -167,7 +169,7 @@ def fit_curve(g, y):
 
 
 def fit(examples):
-    """The model, from (lines' lengths, lines' features, label) per labelled document; None without both labels."""
+    """The field, from (lines' lengths, lines' features, label) per labelled document; None without both labels."""
     examples = [e for e in examples if len(e[0])]
     if len({label for *_, label in examples}) < 2:
         return None
@@ -186,9 +188,7 @@ def fit(examples):
     _, marginal = goodness(owner, length, x, len(label), model)
     worst = np.minimum.reduceat(marginal, first)[owner]
     y = np.where((label[owner] == 0) & (marginal > 0.5) & (marginal > worst), 1.0, y)
-    model = fit_chains(x, y, starts, chains)
-    g, _ = goodness(owner, length, x, len(label), model)
-    return (*model, fit_curve(g, label))
+    return fit_chains(x, y, starts, chains)
 
 
 def score_block(block, model):
@@ -204,7 +204,7 @@ def held_out(doc_id):
 
 
 def sample(docs, labels, rows=SAMPLE, id_col="doc_id", text_col="text"):
-    """Lines of a bounded sample of labelled documents, on the driver: (lengths, features, label)."""
+    """(label, text) of a bounded sample of labelled documents, one row per id."""
     chosen = (
         labels.select(F.col("doc_id").alias("_id"), "quality")
         .where("_id IS NOT NULL AND quality IS NOT NULL")
@@ -215,6 +215,21 @@ def sample(docs, labels, rows=SAMPLE, id_col="doc_id", text_col="text"):
         .limit(rows)
     )
     found = pairs(docs, id_col, text_col).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    return found.groupBy("_id").agg(F.min(F.col("label").cast("int")).alias("label"), F.min("text").alias("text")).drop("_id")
+
+
+def spread(n):
+    """Places of the lines taken of a document's n: all, or whole chains, the first by a hash, in order."""
+    if n <= SAMPLE_LINES:
+        return np.arange(n)
+    chains = -(-n // CHAIN)
+    first = np.argsort(mixed(np.arange(chains, dtype=np.uint64) ^ np.uint64(n << 32)), kind="stable")
+    places = np.sort(first[: SAMPLE_LINES // CHAIN])[:, None] * CHAIN + np.arange(CHAIN)
+    return places[places < n]
+
+
+def sample_lines(found):
+    """Lines of the sampled documents, on the driver: (lengths, features, label)."""
 
     def lines(batches):
         import pyarrow as pa
@@ -222,18 +237,32 @@ def sample(docs, labels, rows=SAMPLE, id_col="doc_id", text_col="text"):
         for marks, texts in blocks(batches):
             owner, length, x = line_features(Block(texts))
             firsts = np.searchsorted(owner, np.arange(len(texts) + 1))
-            cut = [slice(a, min(b, a + SAMPLE_LINES)) for a, b in zip(firsts[:-1], firsts[1:])]
+            cut = [a + spread(int(b - a)) for a, b in zip(firsts[:-1], firsts[1:])]
             arrays = [marks, *(pa.array([part[c].astype("<f8").tobytes() for c in cut]) for part in (length, x))]
             yield pa.RecordBatch.from_arrays(arrays, names=["label", "length", "x"])
 
-    schema = "label int, length binary, x binary"
-    labelled = found.select(F.col("label").cast("int"), "text").mapInArrow(lines, schema).limit(2 * rows)
+    labelled = found.mapInArrow(lines, "label int, length binary, x binary")
     ordered = sorted((r.label, bytes(r.length), bytes(r.x)) for r in labelled.toLocalIterator())
     return [(np.frombuffer(n), np.frombuffer(x).reshape(-1, WIDTH), label) for label, n, x in ordered]
 
 
+def whole_goodness(found, field):
+    """(goodness, label) of the whole sampled texts that have lines."""
+
+    def run(block):
+        owner, length, x = line_features(block)
+        return (goodness(owner, length, x, block.n, field)[0],)
+
+    rows = map_blocks(found.select(F.col("label").alias("doc_id"), "text"), "int", run, "g double").collect()
+    known = sorted((r.g, r.doc_id) for r in rows if r.g is not None and not np.isnan(r.g))
+    return np.array([g for g, _ in known]), np.array([label for _, label in known], float)
+
+
 def trained(docs, labels, id_col="doc_id", text_col="text"):
-    return docs.sparkSession.sparkContext.broadcast(fit(sample(docs, labels, SAMPLE, id_col, text_col)))
+    found = stage(sample(docs, labels, SAMPLE, id_col, text_col))
+    field = fit(sample_lines(found))
+    model = None if field is None else (*field, fit_curve(*whole_goodness(found, field)))
+    return docs.sparkSession.sparkContext.broadcast(model)
 
 
 def keep_good(docs, labels, id_col="doc_id", text_col="text", threshold=THRESHOLD):

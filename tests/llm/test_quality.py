@@ -64,6 +64,25 @@ def test_classifier_on_held_out_rows(spark, sf_dir):
     assert all(abs(again[r.doc_id] - r.score) < 1e-9 for r in rows)
 
 
+def test_sample_reads_whole_documents(spark):
+    """Long documents give whole chains of all their parts, the curve their whole goodness; an id counts once."""
+    for n in (0, 5, 512, 513, 5_000, 100_000):
+        at = quality_crf.spread(n)
+        assert len(at) <= 512 and (np.diff(at) > 0).all() and (n > 512 or len(at) == n)
+        assert n < 5_000 or (at.max() > n / 2 and (at[::64] % 64 == 0).all())
+    good, bad = "Plain words stand here in a line.\n", "$$$ ### %%% BUY!!! | | |\n"
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    texts = {i: good * 520 + bad * 5_000 if i % 2 else good * 30 for i in ids}
+    rows = [(i, texts[i]) for i in ids] + [(ids[0], texts[ids[0]])] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in ids], "doc_id long, quality int")
+    assert quality_crf.sample(docs, labels).count() == len(ids)
+    weights, stay, _ = quality_crf.trained(docs, labels).value
+    bad_line, good_line = (quality_crf.line_features(arrays.Block([t.encode() * 9]))[2][4] for t in (bad, good))
+    assert bad_line @ weights < 0 < good_line @ weights
+    assert all(r.predicted == 1 - r.doc_id % 2 for r in quality_crf.classify(docs, labels).collect())
+
+
 def test_classifier_edges(spark, odd, none, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     nothing = quality_crf.classify(odd, labels.where("false")).collect()
