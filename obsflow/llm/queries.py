@@ -6,6 +6,7 @@ from . import (
     license_scan,
     mixing,
     ngram_join,
+    periodic_runs,
     quality_crf,
     quality_rules,
     secret_scan,
@@ -59,6 +60,10 @@ def op10_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(_documents(spark, sf_dir))
 
 
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.run_report(periodic_runs.with_loops(_documents(spark, sf_dir)))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,6 +77,7 @@ QUERIES = {
         op8_secret_scans,
         op9_mixing,
         op10_byte_bpe,
+        op13_periodic_runs,
     )
 }
 
