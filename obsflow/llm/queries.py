@@ -1,8 +1,12 @@
 """The operators applied to whole tables, and their SQL where SQL can express them."""
 
+from pyspark.sql import functions as F
+
 from . import (
     byte_bpe,
     exact_dedup,
+    fingerprints,
+    hard_negatives,
     license_scan,
     mixing,
     ngram_join,
@@ -60,6 +64,16 @@ def op10_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(_documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op12_fingerprints(spark, sf_dir):
+    return fingerprints.edit_report(_documents(spark, sf_dir))
+
+
 def op13_periodic_runs(spark, sf_dir):
     return periodic_runs.run_report(periodic_runs.with_loops(_documents(spark, sf_dir)))
 
@@ -77,6 +91,8 @@ QUERIES = {
         op8_secret_scans,
         op9_mixing,
         op10_byte_bpe,
+        op11_hard_negatives,
+        op12_fingerprints,
         op13_periodic_runs,
     )
 }
@@ -84,4 +100,6 @@ QUERIES = {
 ORACLE = {
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op9_mixing": mixing.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
+    "op12_fingerprints": fingerprints.ORACLE,
 }
