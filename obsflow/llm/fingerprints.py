@@ -29,7 +29,7 @@ BINS = 256
 BITS = 4
 A_WORD = 64 // BITS  # stored values in a long
 
-# The hash of a shingle: its words' 32-bit codes times these, modulo a prime below 2^44; then mixed once more.
+# The hash of a shingle: its words' checksums times these, modulo a prime below 2^44; then mixed once more.
 FACTORS = (179424673, 198491317, 217645177, 236887691, 256203161)
 PRIME = 2**44 - 17
 MIX = 198733
@@ -45,45 +45,48 @@ def _bin_numbers():
     return [(d[0], d[1] | 1, int.from_bytes(d[2:5]) + 1) for d in digests]
 
 
+def _no_longs():
+    return F.array().cast("array<bigint>")
+
+
 def _longs(values):
     return F.expr(f"array({', '.join(f'{v}L' for v in values)})")
 
 
 def shingle_hashes(text):
-    """One 44-bit hash for each place of a shingle in the text; no shingle, no hash."""
-    words = F.regexp_extract_all(lower_ascii(text), F.lit(WORD), F.lit(0))
-    code = lambda w: F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("bigint") + 1
+    """One 44-bit hash for each place of a shingle in the text; no shingle, no hash.
 
-    def hashed(codes):
-        parts = lambda i: [F.coalesce(F.get(codes, i + k), F.lit(0)) * F.lit(f) for k, f in enumerate(FACTORS)]
-        last = F.greatest(F.size(codes) - SHINGLE, F.lit(0))
-        return F.when(F.size(codes) > 0, F.transform(F.sequence(F.lit(0), last), lambda i: _mixed(sum(parts(i)[1:], parts(i)[0]))))
-
-    return F.coalesce(let(F.transform(words, code), hashed), F.array().cast("array<bigint>"))
+    A value used twice is worked out in a step of its own: inside lambdas nothing else keeps it from being worked out
+    again."""
+    words = F.regexp_extract_all(lower_ascii(text), F.lit(WORD), F.lit(0))
+    codes = F.transform(words, lambda w: F.crc32(w.cast("binary")) + 1)
+    filled = let(codes, lambda c: F.concat(c, F.array_repeat(F.lit(0).cast("bigint"), SHINGLE - F.size(c))))
 
+    def sums(codes):
+        at = lambda i, k: F.get(codes, i + k) * F.lit(FACTORS[k])
+        summed = lambda i: (at(i, 0) + at(i, 1) + at(i, 2) + at(i, 3) + at(i, 4)) % F.lit(PRIME)
+        none = F.get(codes, F.lit(0)) == 0
+        return F.when(~none, F.transform(F.sequence(F.lit(0), F.size(codes) - SHINGLE), summed)).otherwise(_no_longs())
 
-def _mixed(x):
-    x = x % F.lit(PRIME)
-    return x.bitwiseXOR(F.shiftright(x, 21)) * F.lit(MIX) % F.lit(PRIME)
+    return F.transform(let(filled, sums), lambda x: x.bitwiseXOR(F.shiftright(x, 21)) * F.lit(MIX) % F.lit(PRIME))
 
 
 def fingerprint(text):
     """The packed fingerprint of a text: array of longs, or an empty array."""
     mask = (1 << BIN_SHIFT) - 1
     marks = _longs([(j << BIN_SHIFT) | EMPTY for j in range(BINS)])
-    numbers = _bin_numbers()
-    starts, steps, factors = (_longs(v) for v in zip(*numbers))
-    keyed = lambda h: F.shiftleft(h % BINS, BIN_SHIFT) + F.shiftright(h, 8)
+    starts, steps, factors = (_longs(v) for v in zip(*_bin_numbers()))
+    every_bin = F.sequence(F.lit(0), F.lit(BINS - 1))
+    keyed = lambda h: F.shiftleft(h.bitwiseAND(F.lit(BINS - 1)), BIN_SHIFT) + F.shiftright(h, 8)
 
     def smallest(ordered):
         """One value for each bin, in order of bins; null where it has none."""
         new = lambda x, i: (i == 0) | (F.shiftright(x, BIN_SHIFT) != F.shiftright(F.get(ordered, i - 1), BIN_SHIFT))
-        value = lambda x: x.bitwiseAND(F.lit(mask))
-        return F.transform(F.filter(ordered, new), lambda x: F.when(value(x) != EMPTY, value(x)))
+        return F.transform(F.filter(ordered, new), lambda x: F.nullif(x.bitwiseAND(F.lit(mask)), F.lit(EMPTY)))
 
     def dense(bins):
         def asked(j, t):
-            return F.get(bins, ((F.get(starts, j) + F.get(steps, j) * t) % BINS).cast("int"))
+            return F.get(bins, (F.get(starts, j) + F.get(steps, j) * t).bitwiseAND(F.lit(BINS - 1)).cast("int"))
 
         def of(j):
             walk = F.aggregate(
@@ -91,9 +94,10 @@ def fingerprint(text):
             )
             return F.coalesce(F.get(bins, j), *[asked(j, t) for t in range(TRIES)], walk)
 
-        mixed = lambda v: v.bitwiseXOR(F.shiftright(v, 18))
-        stored = lambda j: (mixed(of(j)) * F.get(factors, j) % F.lit(STORED_PRIME)) % (1 << BITS)
-        return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), stored)
+        return F.transform(every_bin, of)
+
+    def stored(v, j):
+        return v.bitwiseXOR(F.shiftright(v, 18)) * F.get(factors, j) % F.lit(STORED_PRIME) % (1 << BITS)
 
     def packed(values):
         word = lambda w: F.aggregate(
@@ -103,8 +107,8 @@ def fingerprint(text):
 
     def of_hashes(hashes):
         ordered = F.sort_array(F.concat(F.transform(hashes, keyed), marks))
-        bits = let(let(let(ordered, smallest), dense), packed)
-        return F.when(F.size(hashes) > 0, bits).otherwise(F.array().cast("array<bigint>"))
+        bits = let(F.transform(let(let(ordered, smallest), dense), stored), packed)
+        return F.when(F.size(hashes) > 0, bits).otherwise(_no_longs())
 
     return let(shingle_hashes(text), of_hashes)
 
@@ -140,58 +144,63 @@ def fingerprints(docs, id_col="doc_id", text_col="text"):
     return docs.select(F.col(id_col).alias("doc_id"), fingerprint(whole(F.col(text_col))).alias("fingerprint"))
 
 
-def successors(keys):
-    """key, next_key, n_chars: who follows whom by ascending id (nulls last; equal ids by key), the first after the last.
+def successors(keys, values):
+    """Each row of `keys` with `next_` columns: key and values of the row that follows it by ascending id (nulls last;
+    equal ids by key); the first follows the last.
 
-    keys: key (unique), id, n_chars. Keys are dealt out by ranges; what follows the last of a range is the first of the
+    keys: key (unique), id and values. Keys are dealt out by ranges; what follows the last of a range is the first of the
     next, from a table with one row for each range."""
     order = [F.col("id").asc_nulls_last(), F.col("key")]
     placed = stage(keys.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
-    firsts = placed.groupBy("part").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key"))["key"].alias("first"))
+    row = F.struct(F.col("id").isNull().alias("no_id"), "id", "key", *[v for v in values if v != "id"])
+    firsts = placed.groupBy("part").agg(F.min(row).alias("first"))
     parts = W.partitionBy().orderBy("part")
     every = parts.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    firsts = firsts.withColumn("then", F.coalesce(F.lead("first").over(parts), F.first("first").over(every)))
-    inside = F.lead("key").over(W.partitionBy("part").orderBy(*order))
-    return (
-        placed.withColumn("inside", inside)
-        .join(firsts, "part")
-        .select("key", F.coalesce("inside", "then").alias("next_key"), "n_chars")
-    )
+    firsts = firsts.select("part", F.coalesce(F.lead("first").over(parts), F.first("first").over(every)).alias("then"))
+    inside = F.lead(row).over(W.partitionBy("part").orderBy(*order))
+    found = placed.withColumn("next", inside).join(firsts, "part").withColumn("next", F.coalesce("next", "then"))
+    return found.select(*keys.columns, *[F.col(f"next.{c}").alias(f"next_{c}") for c in ("key", *values)])
 
 
 def edit_report(docs, id_col="doc_id", text_col="text"):
     """One row per document: its fingerprint, that of an edited text, and how like they are.
 
     The edited text has the last quarter of the characters replaced by the beginning of the next document. Columns:
-    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (hex), near_edited, near_next. Documents follow each
-    other by ascending id (null last; equal ids by a hash of id and text); a repeated row is the same document, and has
-    the same result each time. Texts are shuffled once, to their key; from there each sends the characters that its
-    predecessor needs.
+    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (hex), near_edited, near_next, and next_id, which
+    names the next document. Documents follow each other by ascending id (null last; equal ids by a hash of id and text);
+    a repeated row is the same document, and has the same result each time. Texts are shuffled once, to their key; from
+    there each sends the characters that its predecessor needs. (Both uses of `texts` take the same columns, so that
+    Spark plans one exchange for them.)
     """
     text = whole(F.col(text_col))
     name = F.concat(F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("")), F.lit(" "), sha256_hex(text))
-    rows = docs.select(F.unhex(sha256_hex(name)).alias("key"), F.col(id_col).alias("id"), text.alias("text"))
-    keys = rows.groupBy("key").agg(F.first("id").alias("id"), F.max(F.length("text")).alias("n_chars"))
-    follow = stage(successors(keys))
-    texts = rows.withColumn("bits", fingerprint(F.col("text")))
+    texts = docs.select(F.unhex(sha256_hex(name)).alias("key"), F.col(id_col).alias("id"), text.alias("text"))
+    keys = texts.groupBy("key").agg(
+        F.first("id").alias("id"),
+        F.max(F.length("text")).cast("long").alias("n_chars"),
+        F.first(fingerprint(F.col("text"))).alias("bits"),
+    )
+    follow = stage(successors(keys, ["id", "bits"]))
+    texts = texts.select("key", "text")
     wanted = follow.select(F.col("next_key").alias("key"), F.col("key").alias("before"), F.expr("n_chars div 4").alias("give"))
     given = (
         texts.join(wanted, "key")
         .groupBy(F.col("before").alias("key"))
-        .agg(F.first(F.expr("left(text, int(give))")).alias("tail"), F.first("bits").alias("next_bits"))
+        .agg(F.first(F.expr("left(text, int(give))")).alias("tail"))
     )
-    n = F.length("text")
-    edited = F.concat(F.expr("left(text, length(text) - length(text) div 4)"), "tail")
-    both = texts.join(given, "key").withColumn("edited", edited)
+    edited = F.concat(F.expr("left(text, int(n_chars - n_chars div 4))"), "tail")
+    known = follow.drop("next_key")
+    both = texts.join(given, "key").join(known, "key").select(known.columns + [edited.alias("edited")])
     both = both.withColumn("edited_bits", fingerprint(F.col("edited")))
     return both.select(
         F.col("id").alias("doc_id"),
-        n.cast("long").alias("n_chars"),
+        "n_chars",
         sha256_hex(F.col("edited")).alias("edited_sha256"),
         as_hex(F.col("bits")).alias("fingerprint"),
         as_hex(F.col("edited_bits")).alias("edited_fingerprint"),
         likeness(F.col("bits"), F.col("edited_bits")).alias("near_edited"),
         likeness(F.col("bits"), F.col("next_bits")).alias("near_next"),
+        "next_id",
     )
 
 
@@ -203,30 +212,38 @@ WITH d AS (
 ), k AS (
   SELECT key, any_value(doc_id) AS id, any_value(text) AS text FROM d GROUP BY key
 ), f AS (
-  SELECT key, text,
-    coalesce(lead(text) OVER o, first_value(text) OVER o) AS next_text
+  SELECT key, text, coalesce(lead(text) OVER o, first_value(text) OVER o) AS next_text,
+    CASE WHEN row_number() OVER o = count(*) OVER o THEN first_value(id) OVER o ELSE lead(id) OVER o END AS next_id
   FROM k WINDOW o AS (ORDER BY id NULLS LAST, key ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
 ), e AS (
-  SELECT key, text, next_text,
-    left(text, length(text) - length(text) // 4) || left(next_text, length(text) // 4) AS edited
-  FROM f
+  SELECT *, left(text, length(text) - length(text) // 4) || left(next_text, length(text) // 4) AS edited FROM f
 ), t AS (
-  SELECT text FROM e UNION SELECT edited FROM e
-), w AS (
-  SELECT text, list_transform(
-    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'),
-    lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT + 1) AS c
+  SELECT DISTINCT md5_number(text) AS tid, text FROM (SELECT text FROM e UNION ALL SELECT edited FROM e)
+), listed AS (
+  SELECT tid, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
   FROM t
-), g AS (
-  SELECT text, c, unnest(range(0, greatest(len(c) - 5, 0) + 1)) AS i FROM w WHERE len(c) > 0
+), w AS (
+  SELECT tid, unnest(words) AS word, unnest(range(len(words))) AS i, len(words) AS n FROM listed
+), crc_table AS (
+  SELECT list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS crcs
+  FROM range(256) AS r(b)
+), codes AS (
+  SELECT word, 1 + xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(word))),
+      lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]))) AS c
+  FROM (SELECT DISTINCT word FROM w), crc_table
+), coded AS (
+  SELECT tid, i, n, c * 179424673 + coalesce(lead(c, 1) OVER o, 0) * 198491317 + coalesce(lead(c, 2) OVER o, 0) * 217645177
+    + coalesce(lead(c, 3) OVER o, 0) * 236887691 + coalesce(lead(c, 4) OVER o, 0) * 256203161 AS x
+  FROM w JOIN codes USING (word) WINDOW o AS (PARTITION BY tid ORDER BY i)
 ), x AS (
-  SELECT text, (coalesce(c[i + 1], 0) * 179424673 + coalesce(c[i + 2], 0) * 198491317 + coalesce(c[i + 3], 0) * 217645177
-    + coalesce(c[i + 4], 0) * 236887691 + coalesce(c[i + 5], 0) * 256203161) % 17592186044399 AS x
-  FROM g
+  SELECT tid, x % 17592186044399 AS x FROM coded WHERE i <= greatest(n - 5, 0)
 ), h AS (
-  SELECT text, xor(x, x >> 21) * 198733 % 17592186044399 AS h FROM x
-), b AS (
-  SELECT text, h % 256 AS bin, min(h >> 8) AS value FROM h GROUP BY ALL
+  SELECT tid, xor(x, x >> 21) * 198733 % 17592186044399 AS h FROM x
+), b AS MATERIALIZED (
+  SELECT tid, h % 256 AS bin, min(h >> 8) AS value FROM h GROUP BY ALL
 ), n AS (
   SELECT j, ('0x' || substr(md5(j::VARCHAR), 1, 2))::BIGINT AS start, ('0x' || substr(md5(j::VARCHAR), 3, 2))::BIGINT | 1 AS step,
     ('0x' || substr(md5(j::VARCHAR), 5, 6))::BIGINT + 1 AS factor
@@ -234,29 +251,30 @@ WITH d AS (
 ), asks AS (
   SELECT j, t, (start + step * t) % 256 AS bin FROM n, range(256) AS r(t)
 ), gaps AS (
-  SELECT a.text, n.j FROM (SELECT DISTINCT text FROM b) a, n
-  WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.text = a.text AND b.bin = n.j)
+  SELECT a.tid, n.j FROM (SELECT DISTINCT tid FROM b) a, n ANTI JOIN b ON b.tid = a.tid AND b.bin = n.j
 ), filled AS (
-  SELECT text, bin AS j, value FROM b
+  SELECT tid, bin AS j, value FROM b
   UNION ALL
-  SELECT gaps.text, gaps.j, arg_min(value, t) FROM gaps JOIN asks USING (j) JOIN b ON b.text = gaps.text AND b.bin = asks.bin
-  GROUP BY gaps.text, gaps.j
-), bits AS (
-  SELECT text, j, (xor(value, value >> 18) * factor % 2147483647) % 16 AS v FROM filled JOIN n USING (j)
-), p AS (
-  SELECT text, string_agg(substr('0123456789abcdef', v::INT + 1, 1), '' ORDER BY j) AS print FROM bits GROUP BY text
+  SELECT gaps.tid, gaps.j, arg_min(value, t) FROM gaps JOIN asks USING (j) JOIN b ON b.tid = gaps.tid AND b.bin = asks.bin
+  GROUP BY gaps.tid, gaps.j
+), bits AS MATERIALIZED (
+  SELECT tid, j, (xor(value, value >> 18) * factor % 2147483647) % 16 AS v FROM filled JOIN n USING (j)
+), p AS MATERIALIZED (
+  SELECT tid, string_agg(substr('0123456789abcdef', v::INT + 1, 1), '' ORDER BY j) AS print FROM bits GROUP BY tid
+), ids AS (
+  SELECT *, md5_number(text) AS tid, md5_number(edited) AS edited_tid, md5_number(next_text) AS next_tid FROM e
 ), pairs AS (
-  SELECT text AS a, edited AS b FROM e UNION SELECT text, next_text FROM e
+  SELECT tid AS a, edited_tid AS b FROM ids UNION SELECT tid, next_tid FROM ids
 ), agree AS (
-  SELECT a, b, count(*) FILTER (x.v = y.v) AS n FROM pairs JOIN bits x ON x.text = a JOIN bits y ON y.text = b AND y.j = x.j
+  SELECT a, b, count(*) FILTER (x.v = y.v) AS n FROM pairs JOIN bits x ON x.tid = a JOIN bits y ON y.tid = b AND y.j = x.j
   GROUP BY a, b
-), like_ AS (
+), nearness AS (
   SELECT a, b, CASE WHEN n IS NOT NULL THEN greatest(0.0, (n - 16) / 240.0::DOUBLE)
     ELSE ((pa.print IS NULL) = (pb.print IS NULL))::INT::DOUBLE END AS near
-  FROM pairs LEFT JOIN agree USING (a, b) LEFT JOIN p pa ON pa.text = a LEFT JOIN p pb ON pb.text = b
+  FROM pairs LEFT JOIN agree USING (a, b) LEFT JOIN p pa ON pa.tid = a LEFT JOIN p pb ON pb.tid = b
 )
 SELECT d.doc_id, length(d.text) AS n_chars, sha256(edited) AS edited_sha256, coalesce(p1.print, '') AS fingerprint,
-  coalesce(p2.print, '') AS edited_fingerprint, l1.near AS near_edited, l2.near AS near_next
-FROM d JOIN e USING (key) LEFT JOIN p p1 ON p1.text = e.text LEFT JOIN p p2 ON p2.text = edited
-JOIN like_ l1 ON l1.a = e.text AND l1.b = edited JOIN like_ l2 ON l2.a = e.text AND l2.b = next_text
+  coalesce(p2.print, '') AS edited_fingerprint, l1.near AS near_edited, l2.near AS near_next, next_id
+FROM d JOIN ids USING (key) LEFT JOIN p p1 ON p1.tid = ids.tid LEFT JOIN p p2 ON p2.tid = edited_tid
+JOIN nearness l1 ON l1.a = ids.tid AND l1.b = edited_tid JOIN nearness l2 ON l2.a = ids.tid AND l2.b = next_tid
 """
