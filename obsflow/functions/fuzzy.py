@@ -1,4 +1,4 @@
-"""Similarity of a name key to every key of the (small, fixed) gazetteer.
+"""Similarity of a name key to keys of the gazetteer.
 
 The published definitions are used: an indel ratio from the longest common subsequence, token-sort and token-set
 variants, best-window partial ratios, and their weighted combination.
@@ -82,23 +82,25 @@ def weighted_ratio(a, b):
     return max(best, scale * partial_ratio(a, b), scale * 0.95 * tokens)
 
 
-def alias_scorer(alias_keys, candidates):
-    """Pandas UDF: key -> (alias_ord, score), the alias with the best of three scores among the `candidates` with the
-    best weighted score; ties go to the better weighted score, then to gazetteer order."""
+def chosen(key, alias_keys, places, candidates):
+    """(place, score): of the aliases at `places` that with the best of three scores among the `candidates` with the best
+    weighted score; ties go to the better weighted score, then to gazetteer order."""
+    top = sorted((-weighted_ratio(key, alias_keys[i]), i) for i in places)[:candidates]
+    best = min((-max(ratio(key, alias_keys[i]), -w, token_set_ratio(key, alias_keys[i])), w, i) for w, i in top)
+    return best[2], -best[0]
+
 
-    def chosen(key):
-        top = sorted((-weighted_ratio(key, alias), i) for i, alias in enumerate(alias_keys))[:candidates]
-        best = min((-max(ratio(key, alias_keys[i]), -w, token_set_ratio(key, alias_keys[i])), w, i) for w, i in top)
-        return {"alias_ord": best[2], "score": -best[0]}
+def alias_scorer(alias_keys, candidates):
+    """Pandas UDF: (key, places of the aliases to score) -> (alias_ord, score); null where there are none."""
 
     @F.pandas_udf(BEST)
-    def score(keys: pd.Series) -> pd.DataFrame:
-        found = [None if k is None else chosen(k) for k in keys]
+    def score(keys: pd.Series, places: pd.Series) -> pd.DataFrame:
+        found = [
+            (None, None) if k is None or p is None or not len(p) else chosen(k, alias_keys, p, candidates)
+            for k, p in zip(keys, places)
+        ]
         return pd.DataFrame(
-            {
-                "alias_ord": pd.array([None if f is None else f["alias_ord"] for f in found], dtype="Int32"),
-                "score": [None if f is None else f["score"] for f in found],
-            }
+            {"alias_ord": pd.array([i for i, _ in found], dtype="Int32"), "score": [score for _, score in found]}
         )
 
     return score

@@ -1,10 +1,9 @@
 """Cleaning and normalising place names."""
 
 import unicodedata
+from functools import cache
 
-import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .text import collapse_ws, is_ascii, strip
 
@@ -37,6 +36,9 @@ WORD_FIXES = {
 
 # Fixed value: a serial number before a name, in digits of any script.
 _SERIAL = r"^\s*\p{Nd}+\s*[|.\-:\]]\s*"
+# Characters that a key does not keep, and the word that a name may end with.
+_OUTSIDE = r"[^\w\s.&-]"
+_ENDING = r"\s+(district|dist\.?)$"
 
 
 def clean_name(c):
@@ -45,21 +47,37 @@ def clean_name(c):
     return F.btrim(F.regexp_replace(text, rf"(?i)^(?:nan|none|null)$|{_SERIAL}", ""), F.lit(" .,:;|[]"))
 
 
-@F.pandas_udf(T.StringType())
-def fold_accents(names: pd.Series) -> pd.Series:
-    """Closest ASCII form of each name; Spark has no Unicode decomposition."""
-    return names.map(
-        lambda n: None if n is None else unicodedata.normalize("NFKD", n).encode("ascii", "ignore").decode()
-    )
+@cache
+def _ascii_forms():
+    """Characters and their closest ASCII forms by Unicode's compatibility decomposition: those with a form of one
+    character, as two strings, and those with a longer one, as pairs."""
+    forms = {}
+    for code in range(0x80, 0x20000):
+        form = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
+        if form:
+            forms[chr(code)] = form
+    one = {c: f for c, f in forms.items() if len(f) == 1}
+    return "".join(one), "".join(one.values()), [(c, f) for c, f in forms.items() if len(f) > 1]
+
+
+def fold_accents(c):
+    """Closest ASCII form of a text: accents go, ligatures are written out, other characters are left out."""
+    plain, form, long = _ascii_forms()
+    expanded = "".join(x for x, _ in long)
+    forms = F.split(F.lit("\n".join(f for _, f in long)), "\n")  # two literals plan faster than a map of them
+    at = lambda x: F.instr(F.lit(expanded), x)
+    written = F.array_join(F.transform(F.split(c, ""), lambda x: F.when(at(x) > 0, F.get(forms, at(x) - 1)).otherwise(x)), "")
+    some = F.length(F.translate(c, expanded, "")) < F.length(c)
+    return F.regexp_replace(F.translate(F.when(some, written).otherwise(c), plain, form), r"[^\x00-\x7F]+", "")
 
 
 def normalise_ascii(c):
     """Matching key of an ASCII name: lower case, no serial, punctuation, brackets or 'district', words repaired."""
     s = strip(F.lower(c))
     s = F.regexp_replace(s, _SERIAL, "")
-    s = F.regexp_replace(s, r"[^\w\s.&-]", " ")
+    s = F.regexp_replace(s, _OUTSIDE, " ")
     s = strip(collapse_ws(s))
-    s = F.regexp_replace(s, r"\s+(district|dist\.?)$", "")
+    s = F.regexp_replace(s, _ENDING, "")
     fixes = F.create_map(*[F.lit(x) for pair in WORD_FIXES.items() for x in pair])
     words = F.transform(F.split(s, " "), lambda w: F.coalesce(F.try_element_at(fixes, w), w))
     return F.array_join(words, " ")

@@ -90,6 +90,24 @@ def _exponent(text):
     return F.regexp_extract(text, r"e([+-][0-9]+)$", 1).try_cast("int")
 
 
+def _halves(x):
+    """A double as the sum of two with half as many digits each."""
+    high = x * 134217729.0 - (x * 134217729.0 - x)
+    return high, x - high
+
+
+def _lost(a, b, product):
+    """What rounding took from the product of two doubles, exactly."""
+    (ah, al), (bh, bl) = _halves(a), _halves(b)
+    return ((ah * bh - product) + ah * bl + al * bh) + al * bl
+
+
+def _rounded(x, rest):
+    """x + rest as a whole number: only where x lies half way between two does the rest decide, and then the even one."""
+    half = x - F.floor(x) == 0.5
+    return F.when(half & (rest > 0), F.floor(x) + 1.0).when(half & (rest < 0), F.floor(x).cast("double")).otherwise(F.rint(x))
+
+
 def format_g(c):
     """Six significant digits, trailing zeros dropped, as C's %g prints a finite double."""
 
@@ -99,9 +117,17 @@ def format_g(c):
         scientific = F.concat(mantissa, F.regexp_extract(text, r"(e.*)$", 1))
         return F.when(_exponent(text).between(-4, 5), fixed).otherwise(scientific)
 
-    # The formatter rounds halves up; settle them to even first. Powers of ten up to the 22nd are exact doubles.
+    # The formatter rounds the shortest decimal form, halves up: round the double itself first, exact halves to even.
+    # Powers of ten up to the 22nd are exact doubles.
     places = (5 - _exponent(F.format_string("%.5e", c))).cast("double")
     power = F.pow(F.lit(10.0), F.abs(places))
-    even = F.when(places >= 0, let(power, lambda s: F.rint(c * s) / s)).otherwise(let(power, lambda s: F.rint(c / s) * s))
+
+    def rounded(s):
+        up = _rounded(c * s, _lost(c, s, c * s))
+        below = F.floor(c / s) + 0.5
+        down = _rounded(c / s, (c - below * s) - _lost(below, s, below * s))
+        return F.when(places >= 0, up / s).otherwise(down * s)
+
+    even = let(power, rounded)
     settled = F.when((F.abs(c) >= 1e-17) & (F.abs(c) < 1e27), even).otherwise(c)
     return F.when(c == 0, "0").when(c.isNotNull(), let(F.format_string("%.5e", settled), shown))

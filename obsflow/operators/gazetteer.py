@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.alias_index import AliasIndex
 from ..functions.fuzzy import alias_scorer
 from ..functions.names import clean_name, fold_accents, letters_in, needs_folding, normalise_ascii
 from ..functions.numbers import round2
@@ -57,6 +58,7 @@ SHORT_LETTERS = 6
 FUZZY_LETTERS = 5
 CANDIDATES = 5
 MOST_SPELLINGS = 10_000
+SCORED_WHOLE = 500
 
 
 def spellings(gazetteer=GAZETTEER):
@@ -100,7 +102,7 @@ def alias_table(spark, gazetteer=GAZETTEER):
 
 
 def with_keys(names, name):
-    """Adds clean_name and name_key. Accents are folded in Python, for the names that have any."""
+    """Adds clean_name and name_key."""
     cleaned = names.withColumn("clean_name", clean_name(F.col(name)))
     accented = F.when(needs_folding(F.col("clean_name")), F.col("clean_name"))
     folded = cleaned.withColumn("_folded", fold_accents(accented))
@@ -117,17 +119,34 @@ def normalise_names(df, name, spread):
     return attach(df, stage(with_keys(_distinct(df, name), name)), [name], spread)
 
 
-def best_alias(keys, gazetteer=GAZETTEER, candidates=CANDIDATES):
+_indexes = {}
+
+
+def alias_index(spark, gazetteer=GAZETTEER):
+    keys = tuple(key for _, key, _ in alias_rows(spark, gazetteer))
+    if keys not in _indexes:
+        _indexes[keys] = AliasIndex(spark, keys)
+    return _indexes[keys]
+
+
+def best_alias(keys, gazetteer=GAZETTEER, candidates=CANDIDATES, min_score=MIN_SCORE):
     """For each key: the alias with the best of three scores among the `candidates` with the best weighted score.
 
-    The gazetteer is small and fixed, so no pairs are shuffled. Adds alias_key and score.
+    The gazetteer is bounded and fixed, so no pairs are shuffled. Of a long one only the aliases are scored that can reach
+    `min_score` by the bounds of the index; a short one is scored whole, as the bounds cost more to plan than they save.
+    Adds alias_key and score, null where no alias can reach it.
     """
     aliases = [key for _, key, _ in alias_rows(keys.sparkSession, gazetteer)]
+    if len(aliases) > SCORED_WHOLE:
+        places = alias_index(keys.sparkSession, gazetteer).candidates(F.col("fuzzy_key"), min(min_score, MIN_SCORE_SHORT))
+        keys = stage(keys.withColumn("_places", places))
+    else:
+        keys = keys.withColumn("_places", F.sequence(F.lit(0), F.lit(len(aliases) - 1)))
     return (
-        keys.withColumn("_best", alias_scorer(aliases, candidates)("fuzzy_key"))
-        .withColumn("alias_key", F.element_at(F.array(*[F.lit(a) for a in aliases]), F.col("_best.alias_ord") + 1))
+        keys.withColumn("_best", alias_scorer(aliases, candidates)("fuzzy_key", "_places"))
+        .withColumn("alias_key", F.element_at(F.split(F.lit("\n".join(aliases)), "\n"), F.col("_best.alias_ord") + 1))
         .withColumn("score", F.col("_best.score"))
-        .drop("_best")
+        .drop("_best", "_places")
     )
 
 
@@ -140,7 +159,8 @@ def resolve_names(names, name, gazetteer=GAZETTEER, min_score=MIN_SCORE):
     letters = letters_in(F.col("name_key"))
     found = with_keys(spread_out(names, name), name).join(exact, "name_key", "left").withColumn("letters", letters)
     unmatched = F.col("exact").isNull() & (F.col("letters") >= FUZZY_LETTERS)
-    scored = best_alias(found.withColumn("fuzzy_key", F.when(unmatched, F.col("name_key"))), gazetteer)
+    found = found.withColumn("fuzzy_key", F.when(unmatched, F.col("name_key")))
+    scored = best_alias(found, gazetteer, min_score=min_score)
     needed = F.when(F.col("letters") <= SHORT_LETTERS, MIN_SCORE_SHORT).otherwise(min_score)
     method = (
         F.when(F.col("clean_name") == "", "empty_input")

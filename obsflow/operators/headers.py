@@ -8,6 +8,7 @@ from ..plans.skew import attach
 from ..plans.staging import stage
 
 SAMPLE_ROWS = 5
+SHALLOW_ROWS = 64
 _INTEGER = rf"^[{WS}]*0*([0-9]+)[{WS}]*$"
 _FRAGMENT = r"^[|\]})]*\p{Nd}+(\.\p{Nd}+)?[|\]})]*$"
 
@@ -51,14 +52,20 @@ def data_starts(raw_rows):
     )
 
 
-def _top_rows(raw_rows, starts, extra):
+def _top_rows(raw_rows, starts, extra, shallow=SHALLOW_ROWS):
     """Rows up to `extra` rows past their table's data start.
 
-    The largest data start bounds the scan; tables usually start within a few rows, so most rows are never shuffled.
+    Tables usually start within a few rows: only the first `shallow` rows of all tables are joined. Tables that start
+    deeper are few; they are written out, so that a few of them are broadcast by size and choose their own rows before
+    any row of another table is shuffled.
     """
-    deepest = starts.agg(F.coalesce(F.max("data_start"), F.lit(0)) + extra).scalar()
-    near = raw_rows.where((F.col("row_idx") >= 0) & (F.col("row_idx") <= deepest))
+    deepest = starts.agg(F.coalesce(F.max("data_start"), F.lit(0)) + extra).first()[0]
+    near = raw_rows.where((F.col("row_idx") >= 0) & (F.col("row_idx") <= min(deepest, shallow)))
     joined = attach(near, starts, ["table_id"], ["row_idx"])
+    if deepest > shallow:
+        deep = stage(starts.where(F.col("data_start") + extra > shallow).drop("n_rows"))
+        below = raw_rows.where(F.col("row_idx") > shallow).join(deep, "table_id")
+        joined = joined.unionByName(below.select(*joined.columns))
     return joined.where(F.col("row_idx") <= F.col("data_start") + extra)
 
 

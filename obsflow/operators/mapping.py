@@ -1,15 +1,15 @@
 """Column mapping: prompts out, replies in, and the checks between."""
 
 import time
+from functools import reduce
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numbers import clamp01, parse_float, parse_whole, round2
 from ..functions.text import null_like, strip
-from ..plans.staging import spread_out, stage
+from ..plans.staging import read_or_empty, spread_out, stage
 from ..schemas import STORED_REPLIES
 from ..sources.files import base_name
 
@@ -72,10 +72,37 @@ Answer with one JSON object with the key domain; its value is null if the text d
 # ---------------------------------------------------------------- requests
 
 
+def _frequent(parts):
+    """At most three texts, among them every one that makes up over a quarter of the parts: three counters, one pass. A
+    part that has no counter takes a free one, or takes one off each."""
+    slots = ("a", "b", "c")
+
+    def step(s, x):
+        held = [s[k].eqNullSafe(x) for k in slots]
+        free = [s["n" + k] == 0 for k in slots]
+        known, room = held[0] | held[1] | held[2], free[0] | free[1] | free[2]
+        fields = []
+        for k, (mine, empty) in enumerate(zip(held, free)):
+            taken = ~known & empty
+            for earlier in free[:k]:
+                taken = taken & ~earlier
+            n = s["n" + slots[k]]
+            fields.append(F.when(taken, x).otherwise(s[slots[k]]).alias(slots[k]))
+            fields.append(
+                F.when(mine & known, n + 1).when(taken, 1).when(known | room, n).otherwise(n - 1).alias("n" + slots[k])
+            )
+        return F.struct(*fields)
+
+    none = F.struct(*[x for k in slots for x in (F.lit(None).cast("string").alias(k), F.lit(0).alias("n" + k))])
+    # Free counters hold a text too; they are told from it by their count, so none is held twice.
+    return F.aggregate(parts, none, step, lambda s: F.array(*[F.when(s["n" + k] > 0, s[k]) for k in slots]))
+
+
 def _most_common(parts, enough):
-    """The most frequent text, smallest first among equals, if it occurs often enough."""
+    """The most frequent text, smallest first among equals, if it occurs often enough: `enough` is at least 2 and half of
+    the parts, so the candidates of one pass are counted in another."""
     counted = F.transform(
-        F.array_distinct(parts),
+        F.array_compact(_frequent(parts)),
         lambda t: F.struct((-F.size(F.filter(parts, lambda x: x == t))).alias("n"), t.alias("text")),
     )
     best = F.array_min(counted)
@@ -157,45 +184,61 @@ TRIES = 6
 WAIT_SECONDS = 5
 
 
-def _ask(provider, prompt, wait, tries=TRIES):
-    for attempt in range(1, tries + 1):
-        try:
-            return provider(prompt)
-        except RateLimited:
-            if attempt == tries:
-                raise
-            time.sleep(wait * attempt)
-
+def _ask_once(requests, key, provider, calls):
+    """(key, prompt, reply, error, limited): one call for each request; `limited` ones were asked to come later."""
 
-def _replies(requests, key, provider, wait, tries, calls):
     def answer(batches):
         for batch in batches:
-            replies, errors = [], []
+            rows = []
             for prompt in batch["prompt"]:
                 try:
-                    replies.append(_ask(provider, prompt, wait, tries))
-                    errors.append(None)
+                    rows.append((provider(prompt), None, False))
+                except RateLimited as later:
+                    rows.append((None, f"provider failed: {later}"[:500], True))
                 except Exception as failure:  # one failed call is one rejected request, not a failed batch
-                    replies.append(None)
-                    errors.append(f"provider failed: {failure}"[:500])
-            yield pd.DataFrame({key: batch[key], "reply": replies, "error": errors})
+                    rows.append((None, f"provider failed: {failure}"[:500], False))
+            reply, error, limited = zip(*rows) if rows else ((), (), ())
+            yield pd.DataFrame(
+                {key: batch[key], "prompt": batch["prompt"], "reply": reply, "error": error, "limited": limited}
+            )
 
     spread = requests.repartition(calls, key) if calls else spread_out(requests, key)
-    return spread.mapInPandas(answer, f"{key} string, reply string, error string")
+    schema = f"{key} string, prompt string, reply string, error string, limited boolean"
+    return stage(spread.select(key, "prompt").mapInPandas(answer, schema))
 
 
-def map_tables(requests, provider, wait=WAIT_SECONDS, tries=TRIES, calls=None):
-    """(table_id, reply, error): asks the caller's provider (prompt -> text) once per table, retrying on RateLimited.
+def ask(requests, key, provider, wait, tries, calls, keep=lambda answers: None):
+    """(key, reply, error) of all requests, asked in rounds: who is turned away for now is asked again in the next.
+
+    The pause before a round is the job's, not a task's: no executor waits. Each round's answers are written, and given
+    to `keep`, before the next begins, so a failure costs the calls under way. After `tries` rounds being turned away
+    counts as a failure.
+    """
+    rounds, pending = [], requests
+    for attempt in range(1, tries + 1):
+        asked = _ask_once(pending, key, provider, calls)
+        done = asked if attempt == tries else asked.where("NOT limited")
+        rounds.append(done.select(key, "reply", "error"))
+        keep(rounds[-1])
+        pending = asked.where("limited")
+        if attempt == tries or pending.isEmpty():
+            break
+        time.sleep(wait * attempt)
+    return reduce(lambda a, b: a.unionByName(b), rounds)
+
+
+def map_tables(requests, provider, wait=WAIT_SECONDS, tries=TRIES, calls=None, keep=lambda answers: None):
+    """(table_id, reply, error): asks the caller's provider (prompt -> text) once per table, again on RateLimited.
 
     A call that fails for good has no reply and says why. `calls` is how many requests may be under way at once; by
     default one per shuffle partition.
     """
-    return _replies(requests, "table_id", provider, wait, tries, calls)
+    return ask(requests, "table_id", provider, wait, tries, calls, keep)
 
 
 def map_documents(requests, provider, wait=WAIT_SECONDS, tries=TRIES, calls=None):
     """(source_document, domain): asks once per document; a failed or unreadable reply leaves the domain null."""
-    replies = _replies(requests, "source_document", provider, wait, tries, calls)
+    replies = ask(requests, "source_document", provider, wait, tries, calls)
     return replies.select("source_document", document_domain(F.col("reply")).alias("domain"))
 
 
@@ -211,25 +254,24 @@ def pending_requests(requests, stored):
 
 def stored_replies(spark, path):
     """(table_id, prompt_hash, reply) at the path; empty where nothing has been stored yet."""
-    try:
-        return spark.read.schema(STORED_REPLIES).parquet(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing.getCondition()):
-            raise
-        return spark.createDataFrame([], STORED_REPLIES)
+    return read_or_empty(spark, path, STORED_REPLIES)
 
 
 def replay_tables(requests, provider, path, **options):
     """(table_id, reply, error) of the requests: replies stored at the path are used again, only the rest is asked.
 
-    New replies are appended before they are used, so that neither a later step's failure nor a second run asks twice.
+    New replies are appended round by round, before they are used, so that neither a later step's failure nor a second
+    run asks twice.
     """
     spark = requests.sparkSession
     asked = stage(requests.select("table_id", "prompt", prompt_hash()))
     pending = stage(pending_requests(asked, stored_replies(spark, path)))
-    answers = stage(map_tables(pending, provider, **options))
-    new = answers.where("error IS NULL").join(pending.select("table_id", "prompt_hash"), "table_id")
-    new.select(*STORED_REPLIES.names).write.mode("append").parquet(path)
+
+    def keep(answers):
+        new = answers.where("error IS NULL").join(pending.select("table_id", "prompt_hash"), "table_id")
+        new.select(*STORED_REPLIES.names).write.mode("append").parquet(path)
+
+    answers = map_tables(pending, provider, keep=keep, **options)
     known = stored_replies(spark, path).join(asked.select("table_id", "prompt_hash"), ["table_id", "prompt_hash"], "left_semi")
     used = known.dropDuplicates(["table_id"]).select("table_id", "reply", F.lit(None).cast("string").alias("error"))
     return used.unionByName(answers.where("error IS NOT NULL"))

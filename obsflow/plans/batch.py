@@ -1,8 +1,10 @@
 """Whole-batch jobs: many files in, observations and chunks out."""
 
+import hashlib
+import json
+import re
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..operators.chunks import chunk_paragraphs, document_context
@@ -18,8 +20,8 @@ from ..operators.mapping import (
 )
 from ..operators.normalize import normalize_tables
 from ..operators.validate import validate_observations
-from ..schemas import DOCUMENTS, PARAGRAPHS, RAW_ROWS, RAW_TABLES, REJECTS
-from ..sinks import store
+from ..schemas import CHUNKS, PARAGRAPHS, RAW_ROWS, RAW_TABLES
+from ..sinks import batches, store
 from ..sources.csv_tables import read_csv_tables
 from ..sources.files import base_name, binary_files, list_files, rejects
 from ..sources.ooxml import broken_files, docx_media, docx_paragraphs, docx_tables, parse_docx, parse_xlsx, xlsx_tables
@@ -54,22 +56,19 @@ def table_replies(raw_rows, raw_tables, contexts, provider, starts, headers, rep
 
 
 def process_tables(
-    raw_rows, raw_tables, contexts, provider, default_year, replies_path=None, staged=False, rejects_path=None, **normalize
+    raw_rows, raw_tables, contexts, provider, default_year, replies_path=None, staged=False, reject=None, **normalize
 ):
     """Validated observations of raw tables: headers, one mapping request per table, normalisation, checks.
 
     `provider` is a callable (prompt -> reply text) or a table (table_id, reply) of replies already in hand. Tables
-    whose reply is missing, unreadable or names no entity or value column are written to `rejects_path`.
+    whose reply is missing, unreadable or names no entity or value column are given to `reject` (item, step, reason).
     """
     starts, headers = table_layout(raw_rows)
     replies = provider
     if callable(provider):
         replies = table_replies(raw_rows, raw_tables, contexts, provider, starts, headers, replies_path)
-    if rejects_path:
-        turned_away = mapping_rejects(replies).select(
-            F.col("table_id").alias("item"), F.lit("mapping").alias("step"), "reason"
-        )
-        turned_away.write.mode("append").parquet(rejects_path)
+    if reject:
+        reject(mapping_rejects(replies).select(F.col("table_id").alias("item"), F.lit("mapping").alias("step"), "reason"))
     table_meta, column_map = read_replies(replies)
     keep = stage if staged else (lambda df: df)
     observations = normalize_tables(
@@ -83,13 +82,22 @@ def _union(frames, schema, spark):
     return reduce(lambda a, b: a.unionByName(b), [f.select(*schema.names) for f in frames], empty)
 
 
-def extract(spark, paths, staging, page_text=None, page_grids=None, csv_multiline=True):
-    """Read every supported file under the paths into staged paragraphs, raw tables and raw rows, parsing each once.
+def literal_path(path):
+    """A path as a pattern that stands for itself."""
+    return re.sub(r"([\\{}\[\]*?,])", r"\\\1", path)
+
+
+def extract(spark, paths, staging, page_text=None, page_grids=None, without=None):
+    """Read every supported file under the paths into staged paragraphs, raw tables and raw rows, parsing each once. Files
+    named in `without` (path) are not opened.
 
     PDF content comes as tables made by an external extractor: page_text (doc, page, text) and page_grids
     (doc, page, table_no, rows).
     """
-    files = stage(list_files(spark, paths), f"{staging}/files")
+    listed = list_files(spark, paths)
+    files = stage(listed if without is None else listed.join(without, "path", "left_anti"), f"{staging}/files")
+    if without is not None:
+        paths = [literal_path(r.path) for r in files.where("supported").select("path").collect()]
     present = {r.extension for r in files.where("supported").select("extension").distinct().collect()}
     paragraphs, tables, rows, broken = [], [], [], []
 
@@ -108,7 +116,7 @@ def extract(spark, paths, staging, page_text=None, page_grids=None, csv_multilin
         broken.append(broken_files(sheets))
         add(xlsx_tables(sheets), True)
     if ".csv" in present:
-        add(read_csv_tables(spark, paths, csv_multiline), True)
+        add(read_csv_tables(spark, paths), True)
     if page_text is not None:
         paragraphs.append(page_paragraphs(page_text))
     if page_grids is not None:
@@ -131,36 +139,47 @@ def _identified(df):
     )
 
 
-def loaded_documents(spark, path):
-    """(document_id, source_document) of what earlier runs loaded; none before the first run."""
+def run_batch(
+    spark, paths, out_dir, default_year, table_provider, domain_provider, skip_loaded=False, batch_name=None, **options
+):
+    """Files under `paths` to the store at `out_dir` (`sinks.batches`): observations, observations_rejected,
+    document_chunks, text, documents, rejects (a row per file or table that was not loaded, with the reason), summaries;
+    and the replies of the table provider. Returns (observations, chunks) as they can then be read.
+
+    Every stage is written to shared storage before the next one reads it, so lost executors cost one stage at most. All
+    tables of the run become visible together, at its end; a run that failed leaves nothing visible, and the same call
+    again replaces what it wrote. A named batch that was entered before is not run again. Scratch tables are removed at
+    the end. With `skip_loaded` files that an earlier run loaded, by full path, are not opened.
+    """
+    request = json.dumps([sorted(paths), default_year, skip_loaded])
+    batch = batches.open_batch(spark, out_dir, hashlib.sha256(request.encode()).hexdigest(), batch_name)
+    mark = scratch_mark(spark)
     try:
-        return spark.read.schema(DOCUMENTS).parquet(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing.getCondition()):
-            raise
-        return spark.createDataFrame([], DOCUMENTS)
+        if not batch.committed:
+            _load(batch, paths, default_year, table_provider, domain_provider, skip_loaded, options)
+    finally:
+        release(spark, mark)
+    return batches.read_table(spark, out_dir, "observations"), batches.read_table(spark, out_dir, "document_chunks")
 
 
-def run_batch(spark, paths, out_dir, default_year, table_provider, domain_provider, skip_loaded=False, **options):
-    """Files under `paths` to Parquet under `out_dir`: observations, observations_rejected, document_chunks, text,
-    documents, replies, rejects (a row per file or table that was not loaded, with the reason).
-
-    Every stage is written to shared storage before the next one reads it, so lost executors cost one stage at most.
-    Scratch tables are removed at the end. With `skip_loaded` documents that an earlier run loaded, by full path, are left out.
-    """
-    staging, mark = f"{out_dir}/staging", scratch_mark(spark)
-    turned_away, paragraphs, raw_tables, raw_rows = extract(spark, paths, staging, **options)
-    turned_away.select(*REJECTS.names).write.mode("append").parquet(f"{out_dir}/rejects")
+def _load(batch, paths, default_year, table_provider, domain_provider, skip_loaded, options):
+    spark, out_dir = batch.spark, batch.out_dir
+    staging = f"{out_dir}/staging"
+    loaded = None
     if skip_loaded:
-        loaded = stage(loaded_documents(spark, f"{out_dir}/documents").select(F.col("document_id").alias("source_document")))
-        paragraphs = paragraphs.join(loaded, "source_document", "left_anti")
-        raw_tables = raw_tables.join(loaded, "source_document", "left_anti")
+        loaded = stage(batches.read_table(spark, out_dir, "documents").select(F.col("document_id").alias("path")).distinct())
+    unread, paragraphs, raw_tables, raw_rows = extract(spark, paths, staging, without=loaded, **options)
+    if skip_loaded:  # page tables name their documents too
+        known = loaded.withColumnRenamed("path", "source_document")
+        paragraphs = paragraphs.join(known, "source_document", "left_anti")
+        raw_tables = raw_tables.join(known, "source_document", "left_anti")
         raw_rows = raw_rows.join(raw_tables.select("table_id"), "table_id", "left_semi")
+    version = F.lit(batch.version).alias("version")
     contexts = stage(document_context(paragraphs), f"{staging}/contexts")
-    store.write_text(_identified(paragraphs).withColumn("source_document", F.col("document_id")), f"{out_dir}/text")
+    batch.write(_identified(paragraphs).select("*", version), "text")
     domains = stage(map_documents(domain_requests(contexts), domain_provider), f"{staging}/domains")
-    chunks = chunk_paragraphs(paragraphs, domains=domains)
-    store.append_chunks(_identified(chunks), f"{out_dir}/document_chunks")
+    batch.write(store.conform(_identified(chunk_paragraphs(paragraphs, domains=domains)), CHUNKS), "document_chunks")
+    turned_away = [unread]
     observations = process_tables(
         raw_rows,
         raw_tables,
@@ -168,13 +187,14 @@ def run_batch(spark, paths, out_dir, default_year, table_provider, domain_provid
         table_provider,
         default_year,
         replies_path=f"{out_dir}/replies",
-        rejects_path=f"{out_dir}/rejects",
+        reject=turned_away.append,
         staged=True,
     )
-    store.append_observations(_identified(observations), f"{out_dir}/observations")
+    accepted, rejected = store.accepted_and_rejected(_identified(observations))
+    batch.write(accepted, "observations")
+    batch.write(rejected, "observations_rejected")
+    batches.write_summaries(batch, accepted)
+    batch.write(reduce(lambda a, b: a.unionByName(b), turned_away), "rejects")
     seen = paragraphs.select("source_document").union(raw_tables.select("source_document")).distinct()
-    _identified(seen).select(*DOCUMENTS.names).write.mode("append").parquet(f"{out_dir}/documents")
-    release(spark, mark)
-    return store.read_observations(spark, f"{out_dir}/observations"), store.read_chunks(
-        spark, f"{out_dir}/document_chunks"
-    )
+    batch.write(_identified(seen).select("*", version), "documents")
+    batch.commit()

@@ -114,7 +114,8 @@ def raw_rows(spark, sf_dir):
 # What a mapping provider might answer, good and bad, by moduli of the table number.
 REPLY_COLUMNS = """
 CASE WHEN t % 17 = 16 THEN '"0": {"field": "ignore"}'
-     ELSE '"0": {"field": "entity_name"}, "1": {"field": "year"}, "2": {"field": "date"}, '
+     ELSE '"0": {"field": "entity_name"}, "1": {"field": "year"}, "2": {"field": "'
+       || IF(t % 10 = 7, 'period', 'date') || '"}, '
        || '"3": {"field": "value", "indicator": "area", "unit": "ha"}, '
        || '"4": {"field": "value", "indicator": "' || IF(t % 3 = 0, 'area', 'pct_coverage') || '"'
        || IF(t % 9 = 0, '', ', "unit": "%"') || '}, "note": {"field": "value"}' END"""
@@ -146,11 +147,18 @@ def replies(spark, sf_dir):
     )
 
 
+EMPTY_NAMES = ("", " nan ", "12. ", "None", "null")
+
+NAME = f"""
+CASE WHEN o_orderkey % 101 = 0 THEN element_at({listed(EMPTY_NAMES)}, CAST(o_orderkey % 5 AS INT) + 1)
+     WHEN o_orderkey % 13 = 0 THEN 'Kodag\u016b ' || o_custkey % 100
+     WHEN o_orderkey % 7 = 0 THEN 'Mysuru ' || o_custkey DIV 5
+     ELSE element_at({listed(SPELLINGS)}, CAST(o_orderkey % 12 AS INT) + 1) END"""
+
+
 def names(spark, sf_dir):
-    """(id, name): one place spelling per order."""
-    return table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey AS id", f"element_at({listed(SPELLINGS)}, CAST(o_orderkey % 12 AS INT) + 1) AS name"
-    )
+    """(id, name): one place spelling per order; empty ones, accented ones, and a fifth as many as there are customers."""
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey AS id", f"{NAME} AS name")
 
 
 def misspelt_names(spark, sf_dir):
@@ -173,20 +181,31 @@ def documents(spark, sf_dir):
     return texts.selectExpr("'doc-' || doc_id AS source_document", "split(text, '\n') AS paragraphs")
 
 
-DOCUMENT_REPLIES = (
-    '{"domain": "Health"}',
-    '{"domain": null}',
-    "no idea",
-    '```json\n{"domain": " Finance "}\n```',
-    '{"domain": "None"}',
-)
-
-
 def document_replies(spark, sf_dir):
     """(source_document, reply): a domain answer per document, some of them useless."""
-    return table(spark, sf_dir, "documents").selectExpr(
-        "'doc-' || doc_id AS source_document",
-        f"element_at({listed(DOCUMENT_REPLIES)}, CAST(doc_id % 5 AS INT) + 1) AS reply",
+    reply = """element_at(array('{"domain": "Health"}', '{"domain": null}', 'no idea',
+      '```json\n{"domain": " ' || upper(source) || ' "}\n```', '{"domain": "None"}'), CAST(doc_id % 5 AS INT) + 1)"""
+    return table(spark, sf_dir, "documents").selectExpr("'doc-' || doc_id AS source_document", f"{reply} AS reply")
+
+
+def outside_observations(spark, sf_dir):
+    """Observations as another system might hand them over: blank types and domains, values that are no numbers, texts
+    in any case. One per line item."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "'lines-' || l_orderkey DIV 50 AS table_id",
+        "l_orderkey * 8 + l_linenumber AS row_idx",
+        "0 AS col_idx",
+        "IF(l_partkey % 5 = 0, 'UNRESOLVED:part ' || l_partkey % 9, 'part ' || l_partkey % 9) AS entity_name",
+        "element_at(array(' District', 'crop', '  ', 'district', ''), l_linenumber % 5 + 1) AS entity_type",
+        "element_at(array('Unresolved', 'exact_alias', 'empty_input'), CAST(l_suppkey % 3 AS INT) + 1) AS entity_resolution_method",
+        "element_at(array('trade', '', CAST(NULL AS STRING), ' '), CAST(l_orderkey % 4 AS INT) + 1) AS domain",
+        "year(l_shipdate) AS year",
+        "element_at(array('weight', ' PCT_coverage', 'price'), CAST(l_partkey % 3 AS INT) + 1) AS indicator",
+        """CASE WHEN l_partkey % 11 = 0 THEN double('NaN') WHEN l_partkey % 11 = 1 THEN double('Infinity')
+           WHEN l_partkey % 11 = 2 THEN NULL WHEN l_partkey % 11 = 3 THEN -l_quantity
+           WHEN l_partkey % 11 = 4 THEN l_extendedprice * 1000 ELSE l_extendedprice / 100 END AS value""",
+        "IF(l_suppkey % 4 = 0, 'Percent of area', 'kg') AS unit",
+        "l_linenumber / 10 AS confidence",
     )
 
 

@@ -2,8 +2,9 @@
 
 from ..functions.names import WORD_FIXES
 from ..operators.gazetteer import spellings
-from ..operators.mapping import DEFAULT_REASON, DOCUMENT_PROMPT, NOT_SPECIFIED, TABLE_PROMPT
-from .derived import DOCUMENT_REPLIES, SPELLINGS
+from ..operators.mapping import DEFAULT_REASON, DOCUMENT_PROMPT, ENTITY_TYPES, NOT_SPECIFIED, TABLE_PROMPT
+from ..sources.csv_tables import MISSING
+from .derived import EMPTY_NAMES, SPELLINGS
 from .fuzzy_sql import PAIRS
 
 
@@ -144,22 +145,71 @@ compacted AS (
   FROM parted q JOIN sized z USING (id) LEFT JOIN suffixes s USING (id) LEFT JOIN prefixes f USING (id)
   GROUP BY q.id)"""
 
-# ---------------------------------------------------------------- mapping replies, by the rule that made them
+# ---------------------------------------------------------------- mapping replies, as written, then parsed
+
+
+def json_object(reply):
+    """The JSON object inside a reply, null where there is none."""
+    inside = f"regexp_extract({reply}, '(?s)\\{{.*\\}}')"
+    return f"CASE WHEN json_valid({inside}) AND {inside} <> '' THEN {inside}::JSON END"
+
+
+def null_like(x):
+    return f"CASE WHEN lower({strip(x)}) NOT IN ('none', 'null', '') THEN lower({strip(x)}) END"
+
 
 META = f"""
 tables AS (
   SELECT t, 'report-' || (t // 10) || '.docx' AS source_document, 'report-' || (t // 10) || '.docx#' || (t % 10) AS table_id
   FROM (SELECT DISTINCT o_orderkey // 20 AS t FROM orders)),
+bodies AS (
+  SELECT *, CASE WHEN t % 13 = 12 THEN 'no mapping {{'
+    ELSE '{{' || ['"_entity_column": 0, ', '', '"_entity_column": "abc", ', '"_entity_column": -1, '][t % 8 % 4 + 1]
+      || '"_entity_type": "' || ['district', 'District ', 'hospital', 'Planet', 'state', 'district'][t % 6 + 1]
+      || '", "_entity_type_confidence": ' || ['0.95', '1.7', '"0.5"', '"high"', '0.84'][t % 5 + 1]
+      || ', "_domain": ' || ['"Agriculture"', 'null', '"none"', '" health "'][t % 4 + 1] || ', '
+      || CASE WHEN t % 17 = 16 THEN '"0": {{"field": "ignore"}}'
+         ELSE '"0": {{"field": "entity_name"}}, "1": {{"field": "year"}}, "2": {{"field": "'
+           || CASE WHEN t % 10 = 7 THEN 'period' ELSE 'date' END
+           || '"}}, "3": {{"field": "value", "indicator": "area", "unit": "ha"}}, "4": {{"field": "value", "indicator": "'
+           || CASE WHEN t % 3 = 0 THEN 'area' ELSE 'pct_coverage' END || '"'
+           || CASE WHEN t % 9 = 0 THEN '' ELSE ', "unit": "%"' END || '}}, "note": {{"field": "value"}}' END || '}}' END AS body
+  FROM tables),
+parsed AS (
+  SELECT *, {json_object("reply")} AS j FROM (
+    SELECT *, CASE t % 4 WHEN 0 THEN '```json' || chr(10) || body || chr(10) || '```'
+      WHEN 1 THEN 'Here is the mapping: ' || body || ' Done.' ELSE body END AS reply FROM bodies)),
+specs AS (
+  SELECT table_id, map_ord, key::INTEGER AS col_idx, j ->> ('$."' || key || '".field') AS field,
+    coalesce(j ->> ('$."' || key || '".indicator'), 'value_col_' || key) AS indicator,
+    coalesce(j ->> ('$."' || key || '".unit'), '') AS unit
+  FROM (SELECT table_id, j, unnest(json_keys(j)) AS key, generate_subscripts(json_keys(j), 1) AS map_ord FROM parsed
+        WHERE j IS NOT NULL)
+  WHERE regexp_matches(key, '^[0-9]+$')),
+columns_ AS (
+  SELECT * REPLACE (CASE WHEN field = 'value' AND nth > 1 THEN indicator || '_' || nth ELSE indicator END AS indicator)
+  FROM (SELECT *, row_number() OVER (PARTITION BY table_id, indicator, field ORDER BY col_idx) AS nth FROM specs)),
+roles AS (
+  SELECT table_id, max_by(col_idx, map_ord) FILTER (field = 'year') AS year_column,
+    max_by(col_idx, map_ord) FILTER (field = 'date') AS date_column,
+    max_by(col_idx, map_ord) FILTER (field = 'period') AS period_column,
+    min_by(col_idx, map_ord) FILTER (field = 'entity_name') AS named_column,
+    string_agg(col_idx || ':' || indicator || ':' || unit, '|' ORDER BY map_ord) FILTER (field = 'value') AS value_columns
+  FROM columns_ GROUP BY table_id),
 meta AS (
-  SELECT *,
-    CASE t % 8 % 4 WHEN 0 THEN 0 ELSE -1 END AS stated_column,
-    ['district', 'district', 'hospital', 'other', 'state', 'district'][t % 6 + 1] AS entity_type,
-    [0.95, 1.0, 0.5, 0.0, 0.84][t % 5 + 1]::DOUBLE AS entity_type_confidence,
-    ['agriculture', NULL, NULL, 'health'][t % 4 + 1] AS domain,
-    t % 17 <> 16 AS has_columns,
-    CASE WHEN t % 3 = 0 THEN 'area_2' ELSE 'pct_coverage' END AS second_indicator,
-    CASE WHEN t % 9 = 0 THEN '' ELSE '%' END AS second_unit
-  FROM tables WHERE t % 13 <> 12)"""
+  SELECT p.t, p.source_document, p.table_id,
+    CASE WHEN TRY_CAST(j ->> '$._entity_column' AS INTEGER) >= 0 THEN (j ->> '$._entity_column')::INTEGER ELSE -1 END
+      AS stated_column,
+    CASE WHEN lower(trim(j ->> '$._entity_type')) IN ({", ".join(quoted(x) for x in ENTITY_TYPES)})
+         THEN lower(trim(j ->> '$._entity_type')) ELSE 'other' END AS entity_type,
+    round_even(least(1.0, greatest(0.0, coalesce(TRY_CAST(j ->> '$._entity_type_confidence' AS DOUBLE), 0.0))), 2)::DOUBLE
+      AS entity_type_confidence,
+    {null_like("(j ->> '$._domain')")} AS domain,
+    coalesce(CASE WHEN TRY_CAST(j ->> '$._entity_column' AS INTEGER) >= 0 THEN (j ->> '$._entity_column')::INTEGER END,
+      named_column) AS entity_column,
+    r.* EXCLUDE (table_id, named_column)
+  FROM parsed p LEFT JOIN roles r USING (table_id) WHERE j IS NOT NULL),
+chosen AS (SELECT * FROM meta WHERE entity_column >= 0 AND value_columns IS NOT NULL)"""
 
 # ---------------------------------------------------------------- names
 
@@ -197,7 +247,7 @@ def resolved(names):
     return f"""
 keyed_names AS (
   SELECT name, clean, key, length(regexp_replace(key, '[^a-z]', '', 'g')) AS letters
-  FROM (SELECT name, clean, {key('clean')} AS key FROM (SELECT name, {cleaned('name')} AS clean FROM ({names}))) ),
+  FROM (SELECT name, clean, {key('strip_accents(clean)')} AS key FROM (SELECT name, {cleaned('name')} AS clean FROM ({names}))) ),
 looked_up AS (SELECT n.*, a.canonical AS exact FROM keyed_names n LEFT JOIN aliases a ON a.alias_key = n.key),
 pairs AS (
   SELECT DISTINCT l.key AS a, a.alias_key AS b FROM looked_up l, aliases a WHERE l.exact IS NULL AND l.letters >= 5),
@@ -226,6 +276,15 @@ resolved AS (
 
 RESOLVED = resolved(f"SELECT DISTINCT unnest({listed(SPELLINGS)}) AS name")
 
+NAMED = f"""
+named AS (
+  SELECT o_orderkey AS id,
+    CASE WHEN o_orderkey % 101 = 0 THEN {listed(EMPTY_NAMES)}[o_orderkey % 5 + 1]
+         WHEN o_orderkey % 13 = 0 THEN 'Kodag\u016b ' || (o_custkey % 100)
+         WHEN o_orderkey % 7 = 0 THEN 'Mysuru ' || (o_custkey // 5)
+         ELSE {listed(SPELLINGS)}[o_orderkey % 12 + 1] END AS name
+  FROM orders)"""
+
 KNOWN = [name for name, _ in spellings()]
 MISSPELT = f"""
 misspelt AS (
@@ -238,7 +297,11 @@ misspelt AS (
 
 SO_FAR = "(PARTITION BY table_id ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
-FILLED = f"""
+
+
+def filled(tables, date_cell, own_period="NULL", odd_default="NULL"):
+    """CTEs of rows with their entity, and of data rows with date and period. `tables` joins what the two cells need."""
+    return f"""
 filled AS (
   SELECT * FROM (
     SELECT *, last_value(CASE WHEN trim(cells[1]) <> '' THEN cells[1] END IGNORE NULLS) OVER {SO_FAR} AS entity FROM raw)
@@ -249,10 +312,15 @@ data_filled AS (
     FROM raw JOIN starts USING (table_id) WHERE r >= data_start)
   WHERE entity IS NOT NULL AND lower(trim(entity)) <> 'nan'),
 stuck AS (
-  SELECT *, {date('cells[3]')} AS date,
-    first_value(CASE WHEN trim(cells[3]) <> '' AND {date('cells[3]')} IS NULL THEN trim(cells[3]) END IGNORE NULLS)
-      OVER {SO_FAR} AS period
-  FROM data_filled)"""
+  SELECT f.*, {date(date_cell)} AS date,
+    coalesce(nullif(trim({own_period}), ''), {odd_default},
+      first_value(CASE WHEN trim({date_cell}) <> '' AND {date(date_cell)} IS NULL THEN trim({date_cell}) END IGNORE NULLS)
+        OVER {SO_FAR.replace("table_id", "f.table_id")}) AS period
+  FROM data_filled f {tables})"""
+
+
+BY_REPLY = ("JOIN chosen c ON c.t = f.t", "cells[c.date_column + 1]", "cells[c.period_column + 1]")
+FILLED = filled(*BY_REPLY)
 
 OBSERVATIONS = f"""
 obs AS (
@@ -262,27 +330,34 @@ obs AS (
     m.entity_type,
     CASE WHEN m.entity_type = 'district' THEN d.method ELSE 'groq_entity_type' END AS entity_resolution_method,
     m.domain,
-    CASE WHEN nullif({number('s.cells[2]')}, 0) IS NULL THEN 2025 ELSE TRY_CAST({number('s.cells[2]')} AS INTEGER) END AS year,
-    s.date, s.period,
-    CASE c.col_idx WHEN 3 THEN 'area' ELSE m.second_indicator END AS indicator,
+    CASE WHEN nullif({number('s.cells[m.year_column + 1]')}, 0) IS NULL THEN 2025
+         ELSE TRY_CAST({number('s.cells[m.year_column + 1]')} AS INTEGER) END AS year,
+    s.date, s.period, c.indicator,
     {number('s.cells[c.col_idx + 1]')} AS value,
-    CASE c.col_idx WHEN 3 THEN 'ha' ELSE m.second_unit END AS unit,
+    c.unit,
     m.source_document,
     'native-table-' || (m.t % 10) AS source_page,
     'native_docx_table' AS extraction_method,
     CASE WHEN m.entity_type = 'district' THEN least(m.entity_type_confidence, d.confidence)
          ELSE m.entity_type_confidence END AS confidence
-  FROM stuck s JOIN meta m ON m.t = s.t LEFT JOIN resolved d ON d.name = s.entity, (VALUES (3), (4)) AS c(col_idx)
-  WHERE m.has_columns AND {number('s.cells[c.col_idx + 1]')} IS NOT NULL)"""
+  FROM stuck s JOIN chosen m ON m.t = s.t JOIN columns_ c ON c.table_id = m.table_id AND c.field = 'value'
+    LEFT JOIN resolved d ON d.name = s.entity
+  WHERE {number('s.cells[c.col_idx + 1]')} IS NOT NULL)"""
 
 VALIDATED = """
 ruled AS (
   SELECT *, count(*) OVER (PARTITION BY table_id, entity_name, year, indicator) > 1 AS duplicate,
     concat_ws(';',
-      CASE WHEN entity_type = 'district' AND entity_name LIKE 'UNRESOLVED:%' THEN 'unresolved_entity' END,
-      CASE WHEN confidence < 0.35 AND entity_resolution_method IN ('unresolved', 'empty_input', 'unresolved_short_input')
+      CASE WHEN trim(entity_type) = '' THEN 'missing_entity_type' END,
+      CASE WHEN trim(domain) = '' THEN 'missing_domain' END,
+      CASE WHEN lower(trim(entity_type)) = 'district' AND entity_name LIKE 'UNRESOLVED:%' THEN 'unresolved_entity' END,
+      CASE WHEN confidence < 0.35
+             AND lower(entity_resolution_method) IN ('unresolved', 'empty_input', 'unresolved_short_input')
            THEN 'very_low_confidence' END,
-      CASE WHEN value < 0 OR value > (CASE WHEN indicator = 'pct_coverage' OR contains(unit, '%') THEN 300 ELSE 1000000 END)
+      CASE WHEN value IS NULL OR NOT isfinite(value) THEN 'invalid_numeric_value' END,
+      CASE WHEN isfinite(value) AND (value < 0 OR value > (
+             CASE WHEN lower(trim(indicator)) = 'pct_coverage' OR contains(unit, '%') OR contains(lower(unit), 'percent')
+               THEN 300 ELSE 1000000 END))
            THEN 'out_of_range(' || format('{:g}', value) || ')' END) AS reasons
   FROM obs),
 validated AS (
@@ -299,8 +374,12 @@ docs AS (
     list_filter(list_transform(string_split(text, chr(10)), lambda p: {strip('p')}), lambda p: p <> '') AS paragraphs
   FROM documents),
 domains AS (
-  SELECT 'doc-' || doc_id AS source_document, ['health', NULL, NULL, 'finance', NULL][doc_id % 5 + 1] AS domain
-  FROM documents),
+  SELECT source_document, {null_like("(j ->> '$.domain')")} AS domain FROM (
+    SELECT source_document, {json_object("reply")} AS j FROM (
+      SELECT 'doc-' || doc_id AS source_document, ['{{"domain": "Health"}}', '{{"domain": null}}', 'no idea',
+        '```json' || chr(10) || '{{"domain": " ' || upper(source) || ' "}}' || chr(10) || '```',
+        '{{"domain": "None"}}'][doc_id % 5 + 1] AS reply
+      FROM documents))),
 contexts AS (
   SELECT doc_id, source_document, left(array_to_string(paragraphs[1:5], ' '), 1500) AS context
   FROM docs WHERE len(paragraphs) > 0)"""
@@ -402,12 +481,15 @@ def _oracle():
         "detect_headers": query([RAW, KINDS, HEADERS], "SELECT table_id, data_start, CAST(col_idx AS INTEGER) AS col_idx, header FROM heads"),
         "table_samples": query([RAW, KINDS, HEADERS], "SELECT * FROM samples"),
         "forward_fill_entities": query(
-            [RAW, KINDS, FILLED], "SELECT table_id, r AS row_idx, entity FROM filled"
+            [RAW, KINDS, filled("", "cells[3]")], "SELECT table_id, r AS row_idx, entity FROM filled"
         ),
         "sticky_period": query(
-            [RAW, "starts AS (SELECT DISTINCT table_id, 4 AS data_start FROM raw)", FILLED],
+            [RAW, "starts AS (SELECT DISTINCT table_id, 4 AS data_start FROM raw)", filled("", "cells[3]")],
             "SELECT table_id, r AS row_idx, strftime(date, '%Y-%m-%d') AS date, period FROM stuck",
         ),
+        "csv_documents": f"""
+            SELECT {", ".join(f"CASE WHEN {c}::VARCHAR NOT IN {tuple(MISSING)} THEN {c}::VARCHAR END AS {c}" for c in
+                              ("doc_id", "source", "text", "lang", "n_chars"))}, 5 AS width FROM documents""",
         "compact_headers": query(
             [
                 """texts AS (
@@ -427,29 +509,20 @@ def _oracle():
         ),
         "map_columns": query(
             [META],
-            """SELECT table_id, 0 AS entity_column, 1 AS year_column, 2 AS date_column, -1 AS period_column,
-              '3:area:ha|4:' || second_indicator || ':' || second_unit AS value_columns
-            FROM meta WHERE has_columns""",
-        ),
-        "dedupe_indicators": query(
-            [META],
-            """SELECT table_id, col_idx, field,
-                 CASE col_idx WHEN 3 THEN 'area' WHEN 4 THEN second_indicator ELSE 'value_col_' || col_idx END AS indicator,
-                 CASE col_idx WHEN 3 THEN 'ha' WHEN 4 THEN second_unit ELSE '' END AS unit
-               FROM meta, (VALUES (0, 'entity_name'), (1, 'year'), (2, 'date'), (3, 'value'), (4, 'value')) AS v(col_idx, field)
-               WHERE has_columns
-               UNION ALL
-               SELECT table_id, 0, 'ignore', 'value_col_0', '' FROM meta WHERE NOT has_columns""",
+            """SELECT table_id, entity_column, coalesce(year_column, -1) AS year_column, coalesce(date_column, -1) AS date_column,
+              coalesce(period_column, -1) AS period_column, value_columns
+            FROM chosen""",
         ),
+        "dedupe_indicators": query([META], "SELECT table_id, col_idx, field, indicator, unit FROM columns_"),
         "mapping_requests": requests,
         "pending_requests": f"""SELECT r.* FROM ({requests}) r
             WHERE split_part(table_id, '#', 2)::INTEGER % 3 = 0 OR table_id LIKE '%#5'""",
         "mapping_rejects": query(
             [META],
-            """SELECT table_id, 'unreadable reply' AS reason FROM tables WHERE t % 13 = 12
+            """SELECT table_id, 'unreadable reply' AS reason FROM parsed WHERE j IS NULL
             UNION ALL
-            SELECT table_id, CASE WHEN stated_column < 0 THEN 'no entity column' ELSE 'no value column' END
-            FROM meta WHERE NOT has_columns""",
+            SELECT table_id, CASE WHEN entity_column IS NULL THEN 'no entity column' ELSE 'no value column' END
+            FROM meta WHERE entity_column IS NULL OR value_columns IS NULL""",
         ),
         "domain_requests": query(
             [PARAGRAPHS],
@@ -457,21 +530,21 @@ def _oracle():
             FROM contexts""",
         ),
         "gazetteer": query(
-            [ALIASES],
+            [ALIASES, NAMED],
             f"""SELECT a.alias_key, a.canonical, count(n.k) AS rows
-            FROM aliases a LEFT JOIN (
-              SELECT {key(cleaned('name'))} AS k FROM (SELECT {listed(SPELLINGS)}[o_orderkey % 12 + 1] AS name FROM orders)) n
+            FROM aliases a LEFT JOIN (SELECT {key(f"strip_accents({cleaned('name')})")} AS k FROM named) n
               ON n.k = a.alias_key GROUP BY ALL""",
         ),
-        "normalize_names": f"""
-            SELECT id, clean_name, name_key, length(regexp_replace(name_key, '[^a-z]', '', 'g'))::INTEGER AS letters
-            FROM (SELECT id, clean_name, {key('clean_name')} AS name_key
-                  FROM (SELECT o_orderkey AS id, {cleaned(f"{listed(SPELLINGS)}[o_orderkey % 12 + 1]")} AS clean_name
-                        FROM orders))""",
+        "normalize_names": query(
+            [NAMED],
+            f"""SELECT id, clean_name, name_key, length(regexp_replace(name_key, '[^a-z]', '', 'g'))::INTEGER AS letters
+            FROM (SELECT id, clean_name, {key('strip_accents(clean_name)')} AS name_key
+                  FROM (SELECT id, {cleaned('name')} AS clean_name FROM named))""",
+        ),
         "resolve_districts": query(
-            [ALIASES, RESOLVED],
-            f"""SELECT o_orderkey AS id, canonical, confidence AS resolution_confidence, method AS resolution_method
-            FROM orders JOIN resolved ON name = {listed(SPELLINGS)}[o_orderkey % 12 + 1]""",
+            [ALIASES, NAMED, resolved("SELECT DISTINCT name FROM named")],
+            """SELECT id, canonical, confidence AS resolution_confidence, method AS resolution_method
+            FROM named JOIN resolved USING (name)""",
         ),
         "fuzzy_resolve": query(
             [MISSPELT, ALIASES, resolved("SELECT DISTINCT name FROM misspelt")],
@@ -481,6 +554,29 @@ def _oracle():
         "normalize_observations": query(RULES, f"SELECT {OBS_COLUMNS} FROM obs"),
         "validate_observations": query(CHECKED, f"SELECT {OBS_COLUMNS} FROM validated"),
         "process_tables": query(CHECKED, f"SELECT {OBS_COLUMNS} FROM validated"),
+        "validate_outside": query(
+            [
+                """obs AS (
+              SELECT 'lines-' || (l_orderkey // 50) AS table_id, l_orderkey * 8 + l_linenumber AS row_idx, 0 AS col_idx,
+                CASE WHEN l_partkey % 5 = 0 THEN 'UNRESOLVED:' ELSE '' END || 'part ' || (l_partkey % 9) AS entity_name,
+                [' District', 'crop', '  ', 'district', ''][l_linenumber % 5 + 1] AS entity_type,
+                ['Unresolved', 'exact_alias', 'empty_input'][l_suppkey % 3 + 1] AS entity_resolution_method,
+                ['trade', '', NULL, ' '][l_orderkey % 4 + 1] AS domain, year(l_shipdate)::INTEGER AS year,
+                ['weight', ' PCT_coverage', 'price'][l_partkey % 3 + 1] AS indicator,
+                CASE l_partkey % 11 WHEN 0 THEN 'NaN'::DOUBLE WHEN 1 THEN 'Infinity'::DOUBLE WHEN 2 THEN NULL
+                  WHEN 3 THEN -l_quantity WHEN 4 THEN l_extendedprice * 1000 ELSE l_extendedprice / 100 END::DOUBLE AS value,
+                CASE WHEN l_suppkey % 4 = 0 THEN 'Percent of area' ELSE 'kg' END AS unit,
+                l_linenumber / 10 AS confidence
+              FROM lineitem)""",
+                VALIDATED,
+            ],
+            "SELECT * FROM validated",
+        ),
+        "default_dates": query(
+            [*RULES[:-2], filled(*BY_REPLY, "'FY 2020'"), OBSERVATIONS],
+            """SELECT table_id, row_idx, col_idx, strftime(coalesce(date, DATE '2020-03-01'), '%Y-%m-%d') AS date, period
+            FROM obs""",
+        ),
         "not_null_rejects": query(
             RULES, "SELECT table_id, row_idx, col_idx, 'missing year' AS reason FROM obs WHERE year IS NULL"
         ),

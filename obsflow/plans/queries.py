@@ -15,11 +15,12 @@ from ..operators import normalize as N
 from ..operators import query as Q
 from ..operators.validate import validate_observations
 from ..session import ensure_checkpoint_dir
-from ..sinks import store
+from ..sinks import batches, store
 from ..sources import pages as P
+from ..sources.csv_tables import read_csv_tables
 from . import derived as D
 from .batch import process_tables
-from .staging import stage
+from .staging import split_enough, stage
 
 DEFAULT_YEAR = 2025
 
@@ -100,6 +101,18 @@ def sticky_period(spark, sf_dir):
     return _iso(stuck.select("table_id", "row_idx", "date", F.col("sticky").alias("period")), "date")
 
 
+def csv_documents(spark, sf_dir):
+    """Documents, with the line breaks and commas of their texts, written as CSV files and read back: cells by column."""
+    folder = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    columns = ["doc_id", "source", "text", "lang", "n_chars"]
+    written = split_enough(D.table(spark, sf_dir, "documents").select(*columns))
+    quoting = {"header": "true", "quoteAll": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    written.write.options(**quoting).csv(folder)
+    tables, rows = read_csv_tables(spark, [folder])
+    data = rows.where("row_idx >= 0").join(tables.select("table_id"), "table_id", "left_semi")
+    return data.select(*[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(columns)], F.size("cells").alias("width"))
+
+
 # ---------------------------------------------------------------- mapping
 
 
@@ -222,6 +235,23 @@ def validate(spark, sf_dir):
     return _iso(validated(spark, sf_dir), "date")
 
 
+def validate_outside(spark, sf_dir):
+    """The row rules over observations that no mapping made: all of them occur."""
+    return validate_observations(D.outside_observations(spark, sf_dir))
+
+
+def default_dates(spark, sf_dir):
+    """Observations with a date and a period given by the caller, for tables that have none of their own."""
+    rows = D.raw_rows(spark, sf_dir)
+    meta, columns = M.read_replies(D.replies(spark, sf_dir))
+    tables = D.raw_tables(spark, sf_dir)
+    starts = stage(H.data_starts(rows))
+    done = N.normalize_tables(
+        rows, tables, meta, columns, DEFAULT_YEAR, starts=starts, default_date="1 March 2020", default_period="FY 2020"
+    )
+    return _iso(done.select("table_id", "row_idx", "col_idx", "date", "period"), "date")
+
+
 def processed_tables(spark, sf_dir):
     """Raw tables to validated observations in one call, replies at hand."""
     done = process_tables(
@@ -238,34 +268,64 @@ def processed_tables(spark, sf_dir):
 _stored = {}
 
 
-def _table_path(spark, sf_dir, name, write):
-    """Where a table made from sf_dir is stored: written by the first query of the session that reads it."""
+def _store_path(spark, sf_dir, name, fill):
+    """Where a store made from sf_dir lies: filled by the first query of the session that reads it."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
         path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        write(path)
+        fill(path)
         _stored[key] = path
     return _stored[key]
 
 
-def stored_observations(spark, sf_dir):
-    """The fact table as a batch leaves it: accepted rows, by domain, sorted; read back with its fixed schema."""
+def _observation_store(spark, sf_dir):
+    """The fact table as two runs leave it: accepted rows, by domain, sorted, with summaries."""
 
-    def write(path):
+    def fill(path):
         rows = validated(spark, sf_dir).withColumn("document_id", F.col("source_document"))
-        store.append_observations(rows, path)
+        accepted = store.accepted_and_rejected(rows)[0]
+        half = F.pmod(F.xxhash64("table_id"), F.lit(2))
+        for n in (0, 1):
+            batch = batches.open_batch(spark, path, f"half {n}")
+            part = accepted.where(half == n)
+            batch.write(part, "observations")
+            batches.write_summaries(batch, part)
+            batch.commit()
+
+    return _store_path(spark, sf_dir, "observations", fill)
 
-    path = _table_path(spark, sf_dir, "observations", write)
-    return store.read_observations(spark, path).drop("extracted_at", "document_id")
+
+def stored_observations(spark, sf_dir):
+    rows = batches.read_table(spark, _observation_store(spark, sf_dir), "observations")
+    return rows.drop("extracted_at", "document_id")
 
 
 def stored_chunks(spark, sf_dir):
-    path = _table_path(
+    path = _store_path(
         spark, sf_dir, "document_chunks", lambda path: store.append_chunks(chunk_documents(spark, sf_dir), path)
     )
     return store.read_chunks(spark, path).drop("document_id")
 
 
+def _text_store(spark, sf_dir):
+    """Documents as two runs leave them: the first reads every third document, and older forms of the others."""
+
+    def fill(path):
+        texts = D.documents(spark, sf_dir).select(
+            F.col("source_document").alias("document_id"), "source_document", C.texts_of("paragraphs").alias("texts")
+        )
+        once = F.pmod(F.xxhash64("document_id"), F.lit(3)) == 0
+        older = F.when(once, F.col("texts")).otherwise(F.transform(F.slice("texts", 1, 3), F.upper))
+        for run in (texts.withColumn("texts", older), texts.where(~once)):
+            batch = batches.open_batch(spark, path, "documents")
+            known = run.withColumn("version", F.lit(batch.version))
+            batch.write(known.select("*", F.posexplode("texts").alias("para_idx", "text")), "text")
+            batch.write(known, "documents")
+            batch.commit()
+
+    return _store_path(spark, sf_dir, "text", fill)
+
+
 def not_null_rejects(spark, sf_dir):
     """Observations that the store turns away for want of a required value."""
     rows = store.not_null_rejects(observations(spark, sf_dir))
@@ -273,7 +333,7 @@ def not_null_rejects(spark, sf_dir):
 
 
 def obs_datasets(spark, sf_dir):
-    return Q.list_datasets(stored_observations(spark, sf_dir))
+    return batches.list_datasets(spark, _observation_store(spark, sf_dir))
 
 
 def obs_entity(spark, sf_dir):
@@ -299,11 +359,11 @@ def obs_query_count(spark, sf_dir):
 
 
 def table_quality(spark, sf_dir):
-    return Q.table_quality(stored_observations(spark, sf_dir))
+    return batches.table_quality(spark, _observation_store(spark, sf_dir))
 
 
 def domain_consistency(spark, sf_dir):
-    return Q.domain_consistency(stored_observations(spark, sf_dir))
+    return batches.domain_consistency(spark, _observation_store(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- text
@@ -369,7 +429,8 @@ def document_counts(spark, sf_dir):
 
 
 def dump_text(spark, sf_dir):
-    return store.text_dump(D.documents(spark, sf_dir).withColumn("paragraphs", C.texts_of("paragraphs")))
+    texts = batches.document_texts(spark, _text_store(spark, sf_dir))
+    return texts.withColumnRenamed("document_id", "source_document")
 
 
 QUERIES = {
@@ -380,6 +441,7 @@ QUERIES = {
     "table_samples": table_samples,
     "forward_fill_entities": forward_fill_entities,
     "sticky_period": sticky_period,
+    "csv_documents": csv_documents,
     "compact_headers": compact_headers,
     "mapping_rejects": mapping_rejects,
     "mapping_metadata": mapping_metadata,
@@ -394,6 +456,8 @@ QUERIES = {
     "fuzzy_resolve": fuzzy_resolve,
     "normalize_observations": normalize_observations,
     "validate_observations": validate,
+    "validate_outside": validate_outside,
+    "default_dates": default_dates,
     "process_tables": processed_tables,
     "not_null_rejects": not_null_rejects,
     "obs_datasets": obs_datasets,

@@ -2,6 +2,8 @@
 
 import uuid
 
+from pyspark.errors import AnalysisException
+
 from ..session import ensure_checkpoint_dir
 
 
@@ -21,6 +23,35 @@ def stage(df, path=None):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def read_or_empty(spark, path, schema):
+    """The Parquet table at a path; without rows where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing.getCondition()):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _folder(spark, path):
+    """(file system, path) of a folder in whatever store it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def folders_in(spark, path):
+    """Names of the folders in a folder; none where it is missing."""
+    files, where = _folder(spark, path)
+    if not files.exists(where):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(where) if f.isDirectory())
+
+
+def remove(spark, path):
+    files, where = _folder(spark, path)
+    files.delete(where, True)
+
+
 def scratch_mark(spark):
     """How many scratch tables the session has; `release(spark, mark)` removes those made since."""
     return len(_scratch.get(spark.sparkContext.applicationId, []))
@@ -30,8 +61,7 @@ def release(spark, mark=0):
     """Remove the session's scratch tables from `mark` on. Results that read them must have been written by then."""
     made = _scratch.get(spark.sparkContext.applicationId, [])
     for path in made[mark:]:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        remove(spark, path)
     del made[mark:]
 
 

@@ -49,7 +49,18 @@ STORED_REPLIES = _struct(("table_id", S), ("prompt_hash", S), ("reply", S))
 # What was not loaded: a path or table, the step that turned it away, and why.
 REJECTS = _struct(("item", S), ("step", S), ("reason", S))
 
-DOCUMENTS = _struct(("document_id", S), ("source_document", S))
+DOCUMENTS = _struct(("document_id", S), ("source_document", S), ("version", I))
+
+# A document's paragraphs as a run read them; a later run's version replaces an earlier one's.
+TEXT = _struct(("document_id", S), ("source_document", S), ("version", I), ("para_idx", L), ("text", S))
+
+# Additive summaries of the observations of one batch.
+DATASET_COUNTS = _struct(("source_document", S), ("extraction_method", S), ("row_count", L))
+TABLE_COUNTS = _struct(("table_id", S), ("rows", L), ("flagged", L))
+INDICATOR_DOMAINS = _struct(("source_document", S), ("indicator", S), ("domain", S))
+
+# One row per run: begun ones, and those whose files count.
+RUNS = _struct(("batch", S), ("version", I), ("request", S), ("replaces", T.ArrayType(S)))
 
 OBSERVATIONS = _struct(
     ("entity_name", S),
@@ -73,6 +84,8 @@ OBSERVATIONS = _struct(
     ("document_id", S),
 )
 
+OBSERVATIONS_REJECTED = T.StructType([*OBSERVATIONS, T.StructField("reason", S)])
+
 OBSERVATIONS_NOT_NULL = ("entity_name", "entity_type", "year", "indicator")
 
 CHUNKS = _struct(("source_document", S), ("domain", S), ("chunk_text", S), ("chunk_index", L), ("document_id", S))

@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.staging import stage
 from ..schemas import CHUNKS, OBSERVATIONS, OBSERVATIONS_NOT_NULL
 
 SORT_KEYS = ("entity_name", "indicator", "year")
@@ -38,14 +39,19 @@ def not_null_rejects(df, required=OBSERVATIONS_NOT_NULL):
     return split_not_null(df, required)[1].withColumn("reason", F.concat(F.lit("missing "), missing))
 
 
+def accepted_and_rejected(df):
+    """(accepted, rejected with the reason): both in the fixed columns, the rows worked out once."""
+    rows = stage(conform(clean_doubles(df)))
+    return split_not_null(rows)[0], not_null_rejects(rows)
+
+
 def append_observations(df, path, rejected_path=None):
     """Append. Rows lacking a required value go to `rejected_path` with the reason, by default beside the table.
 
     A domain holding most rows is split over tasks.
     """
-    rows = conform(clean_doubles(df))
-    accepted, _ = split_not_null(rows)
-    not_null_rejects(rows).write.mode("append").parquet(rejected_path or f"{path.rstrip('/')}_rejected")
+    accepted, rejected = accepted_and_rejected(df)
+    rejected.write.mode("append").parquet(rejected_path or f"{path.rstrip('/')}_rejected")
     (
         accepted.hint("rebalance", "domain")
         .sortWithinPartitions("domain", *SORT_KEYS)
@@ -81,22 +87,6 @@ def merge_versions(old, new):
     return old.unionByName(new, allowMissingColumns=True)
 
 
-def write_text(paragraphs, path):
-    """Plain text, one paragraph after another: a folder per document, which a later load of the document replaces.
-
-    Files follow paragraph order; long documents span several.
-    """
-    (
-        paragraphs.select("source_document", "para_idx", "text")
-        .repartitionByRange("source_document", "para_idx")
-        .sortWithinPartitions("source_document", "para_idx")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source_document")
-        .parquet(path)
-    )
-
-
 def text_dump(documents, paragraphs="paragraphs"):
     """(source_document, text) of documents that carry their paragraphs as one array: joined by line breaks."""
     return documents.select("source_document", F.array_join(paragraphs, "\n").alias("text"))

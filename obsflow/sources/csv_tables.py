@@ -1,8 +1,24 @@
-"""CSV files to raw tables, any mix of widths, with stable row numbers."""
+"""CSV files to raw tables, any mix of widths, with stable row numbers.
+
+Files are read as lines, so a large file is split over many tasks, and a line may be part of a record: a quoted cell can
+hold line breaks, commas and doubled quotes. Whether a line begins inside quotes depends on all lines above it, but what
+a line does to that state does not: entered from outside and entered from inside, it leaves one or the other. These
+summaries compose, so each split is reduced to what it does from either state, the splits of a file give each other their
+entry states by a running composition over a few rows, and then all splits are cut into records at once. A record is
+split into an array of cells by one expression; no number of columns is needed beforehand, and commas inside quotes are
+characters like others.
+
+A quote opens a quoted cell only at the cell's beginning; elsewhere it is a character. What follows a closing quote up to
+the next comma belongs to the cell. Lines of nothing but spaces and tabs between records are skipped. Lines end with LF or
+CR LF. An unclosed quote makes the rest of its file one cell. Files without any record give no table, nor do files with a
+header only.
+"""
 
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+from ..plans.staging import stage
 from .files import any_case, decoded
 
 # Cell texts read as missing (fixed values).
@@ -29,73 +45,138 @@ MISSING = (
 )
 
 
-def _reader(spark, multiline):
-    return (
-        spark.read.option("header", "false")
-        .option("escape", '"')
-        .option("multiLine", str(multiline).lower())
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", any_case(".csv"))
+
+# Possessive throughout: no backtracking, and no recursion however many cells or quotes a line has.
+_QUOTED = '"[^"]*+(?:""[^"]*+)*+'
+_CELL = f'(?:{_QUOTED}"[^,]*+|(?!")[^,]*+)'
+_OPENS = rf"(?:{_CELL},)*+{_QUOTED}\z"
+_REST = r'[^"]*+(?:""[^"]*+)*+'
+
+# What a line does to the state: keeps it, leaves it outside, leaves it inside, or turns it over.
+KEEPS, OUTSIDE, INSIDE, TURNS = range(4)
+BLANK = r"\A[ \t\r]*\z"
+
+
+def line_effect(line):
+    """KEEPS, OUTSIDE, INSIDE or TURNS."""
+    from_outside = line.rlike(rf"\A{_OPENS}")
+    from_inside = line.rlike(rf"\A{_REST}\z") | line.rlike(rf'\A{_REST}"[^,]*+,{_OPENS}')
+    effect = (
+        F.when(from_outside & from_inside, INSIDE).when(from_outside, TURNS).when(from_inside, KEEPS).otherwise(OUTSIDE)
     )
+    return F.when(F.contains(line, F.lit('"')), effect).otherwise(KEEPS)
+
+
+def _leaves(effect, inside):
+    """State after something of this effect, entered in the given state."""
+    return F.when(effect == KEEPS, inside).when(effect == TURNS, ~inside).otherwise(effect == INSIDE)
 
 
-def widest_row(spark, paths, multiline):
-    """Upper bound on cells per row: commas in the longest record plus one. One scan, one number."""
-    records = (
-        _reader(spark, multiline)
-        .option("columnNameOfCorruptRecord", "record")
-        .schema("c0 string, record string")
-        .csv(paths)
+def _effect(from_outside, from_inside):
+    """The effect that leads from outside and from inside to these states."""
+    return (
+        F.when(from_outside & from_inside, INSIDE).when(from_outside, TURNS).when(from_inside, KEEPS).otherwise(OUTSIDE)
     )
-    commas = F.length("record") - F.length(F.replace("record", F.lit(","), F.lit("")))
-    widest = records.agg(F.max(commas).alias("commas"), F.count("c0")).first()
-    return (widest.commas or 0) + 1
-
-
-def read_csv_tables(spark, paths, multiline=True, max_columns=None):
-    """(raw_tables, raw_rows): one table per file; row -1 is the header row. source_document holds the full path.
-
-    With multiline=False files without line breaks inside quotes are split over many tasks. Rows are numbered from
-    positions inside each split plus the rows of the splits before it, so no file becomes a single task.
-    """
-    width = max_columns or widest_row(spark, paths, multiline)
-    names = [f"c{i}" for i in range(width)]
-    cells = F.array(*[F.when(~F.col(n).isin(*MISSING), F.col(n)) for n in names])
-    rows = (
-        _reader(spark, multiline)
-        .schema(", ".join(f"{n} string" for n in names))
-        .csv(paths)
+
+
+def _entered(df, keys, order, out):
+    """Adds the composition of all effects above a row within its keys, as an effect."""
+    window = W.partitionBy(*keys).orderBy(order)
+    upto = window.rowsBetween(W.unboundedPreceding, W.currentRow)
+    above = window.rowsBetween(W.unboundedPreceding, -1)
+    fixes = F.col("effect").isin(OUTSIDE, INSIDE)
+    turned = F.sum((F.col("effect") == TURNS).cast("long")).over(upto)
+    df = df.withColumn("_turned", turned)
+    df = df.withColumn("_fixed", F.when(fixes, F.struct((F.col("effect") == INSIDE).alias("inside"), "_turned")))
+    df = df.withColumn("_last", F.last("_fixed", ignorenulls=True).over(above))
+    df = df.withColumn("_before", F.coalesce(F.lag("_turned").over(window), F.lit(0)))
+    odd = (F.col("_before") - F.coalesce("_last._turned", F.lit(0))) % 2 == 1
+    fixed = F.when(F.col("_last.inside") != odd, INSIDE).otherwise(OUTSIDE)
+    return df.withColumn(
+        out, F.when(F.col("_last").isNotNull(), fixed).when(odd, TURNS).otherwise(KEEPS)
+    ).drop("_turned", "_fixed", "_last", "_before")
+
+
+def read_lines(spark, paths):
+    """(path, split, position, line, effect, blank): every line of every CSV file, staged. One scan of the text; a split
+    is read by one task in order, so positions within it ascend."""
+    lines = (
+        spark.read.option("lineSep", "\n")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", any_case(".csv"))
+        .text(paths)
         .select(
             decoded(F.col("_metadata.file_path")).alias("path"),
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("position"),
-            cells.alias("cells"),
+            F.col("value").alias("line"),
         )
     )
-    used = F.array_max(F.transform("cells", lambda c, i: F.when(c.isNotNull(), i + 1)))
-    # A split is read by one task in order, so its positions are consecutive.
-    splits = rows.groupBy("path", "split").agg(
-        F.min("position").alias("first"), F.count("*").alias("n"), F.coalesce(F.max(used), F.lit(0)).alias("used")
+    return stage(lines.withColumns({"effect": line_effect(F.col("line")), "blank": F.col("line").rlike(BLANK)}))
+
+
+def split_states(lines):
+    """(path, split, inside, record, n): of every split the state it is entered in, the number of records that begin
+    above it, and of those that begin in it. Only the lines' effects are read, not their text."""
+    inside = F.lit(True)
+    entered = _entered(lines.select("path", "split", "position", "effect", "blank"), ["path", "split"], "position", "entered")
+    last = lambda s: F.max_by(_leaves(F.col("effect"), _leaves(F.col("entered"), s)), "position")
+    count = lambda s: F.sum((~_leaves(F.col("entered"), s) & ~F.col("blank")).cast("long"))
+    splits = entered.groupBy("path", "split").agg(
+        _effect(last(~inside), last(inside)).alias("effect"), count(~inside).alias("outside_n"), count(inside).alias("inside_n")
+    )
+    stated = _entered(splits, ["path"], "split", "entered")
+    stated = stated.withColumn("inside", _leaves(F.col("entered"), ~inside))
+    stated = stated.withColumn("n", F.when(F.col("inside"), F.col("inside_n")).otherwise(F.col("outside_n")))
+    above = W.partitionBy("path").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    return stated.select("path", "split", "inside", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("record"), "n")
+
+
+def records(lines, splits):
+    """(path, record, text): records of every file, numbered from 0. Lines of one record meet; other lines do not move
+    again once they are in the order of their split."""
+    within = W.partitionBy("path", "split").orderBy("position")
+    known = _entered(lines, ["path", "split"], "position", "entered").join(
+        splits.select("path", "split", "record", F.col("inside").alias("split_inside")), ["path", "split"]
     )
-    whole = W.partitionBy("path")
-    before = whole.orderBy("split").rowsBetween(W.unboundedPreceding, -1)
-    offsets = splits.select(
-        "path",
-        "split",
-        "first",
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"),
-        F.max("used").over(whole).alias("width"),
+    known = known.withColumn("inside", _leaves(F.col("entered"), F.col("split_inside")))
+    known = known.withColumn("stays", _leaves(F.col("effect"), F.col("inside")))
+    begins = ~F.col("inside") & ~F.col("blank")
+    known = known.where(F.col("inside") | begins)
+    number = F.col("record") + F.sum(begins.cast("long")).over(within.rowsBetween(W.unboundedPreceding, W.currentRow)) - 1
+    known = known.select("path", "split", "position", number.alias("record"), "line", "inside", "stays")
+    alone = known.where(~F.col("inside") & ~F.col("stays")).select("path", "record", F.col("line").alias("text"))
+    parts = F.array_sort(F.collect_list(F.struct("split", "position", "line")))
+    joined = (
+        known.where("inside or stays")
+        .groupBy("path", "record")
+        .agg(F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("text"))
     )
+    return alone.unionByName(joined)
+
+
+def cells_of(record):
+    """The cells of a record, null where the text counts as missing."""
+    line = F.regexp_replace(record, r"\r\z", "")
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(f',({_QUOTED}"?+[^,]*+|[^,]*+)'), F.lit(1))
+    body = lambda c: F.regexp_extract(c, r'\A"([^"]*+(?:""[^"]*+)*+)', 1)
+    tail = lambda c: F.regexp_extract(c, rf'\A{_QUOTED}"?+([\s\S]*+)\z', 1)
+    plain = lambda c: F.concat(F.replace(body(c), F.lit('""'), F.lit('"')), tail(c))
+    cell = lambda c: F.when(c.startswith('"'), plain(c)).otherwise(c)
+    return F.transform(raw, lambda c: let(cell(c), lambda x: F.when(~x.isin(*MISSING), x)))
+
+
+def read_csv_tables(spark, paths):
+    """(raw_tables, raw_rows): one table per file; row -1 is the header row. source_document holds the full path. Rows are
+    as wide as their record."""
+    lines = read_lines(spark, paths)
+    splits = stage(split_states(lines))
     table_id = F.concat("path", F.lit("#0")).alias("table_id")
-    row_idx = F.col("position") - F.col("first") + F.col("offset") - 1
-    # The reader gives rows as wide as the widest file; each is cut to the columns its own file uses.
-    numbered = rows.join(offsets, ["path", "split"]).select(
-        table_id, row_idx.alias("row_idx"), F.slice("cells", 1, F.col("width")).alias("cells")
-    )
+    rows = records(lines, splits).select(table_id, (F.col("record") - 1).alias("row_idx"), cells_of(F.col("text")).alias("cells"))
     tables = (
         splits.groupBy("path")
         .agg(F.sum("n").alias("n"))
-        .where("n > 1")  # a header without rows is no table
+        .where("n > 1")
         .select(
             table_id,
             F.col("path").alias("source_document"),
@@ -103,4 +184,4 @@ def read_csv_tables(spark, paths, multiline=True, max_columns=None):
             F.lit("csv").alias("extraction_method"),
         )
     )
-    return tables, numbered
+    return tables, rows

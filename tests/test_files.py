@@ -10,7 +10,7 @@ from obsflow.operators.headers import known_headers
 from obsflow.operators.query import get_chunks, query_observations
 from obsflow.plans.batch import run_batch
 from obsflow.plans.staging import scratch_mark
-from obsflow.sinks import store
+from obsflow.sinks import batches, store
 from obsflow.sources import files as S
 from obsflow.sources import ooxml
 from obsflow.sources.csv_tables import read_csv_tables
@@ -125,19 +125,6 @@ def test_csv(spark, folder):
     assert headers["a b+c.csv#0"] == ["District", "Beds", "Unnamed: 2", "Beds.1"]
 
 
-def test_split_csv_keeps_row_order(spark, tmp_path):
-    (tmp_path / "big.csv").write_text("n,text\n" + "".join(f"{i},{'x' * (i % 50)}\n" for i in range(20000)))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64KB")
-    try:
-        _, rows = read_csv_tables(spark, [str(tmp_path)], multiline=False, max_columns=2)
-        assert rows.rdd.getNumPartitions() > 1
-        data = rows.where("row_idx >= 0")
-        assert data.where(F.get("cells", F.lit(0)).cast("long") != F.col("row_idx")).count() == 0
-        assert data.count() == 20000
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
 def answering():
     def provider(prompt):
         if "Rain" in prompt:
@@ -165,7 +152,7 @@ def test_batch(spark, folder, tmp_path):
     assert rain.date.isoformat() == "2025-07-25" and rain.source_page == "sheet-S1" and rain.extraction_method == "xlsx"
     read = get_chunks(chunks, "Kharif 26.docx", "agriculture").collect()
     assert [(r.chunk_index, r.chunk_text) for r in read] == [(0, "Kharif report a b c d e f"), (1, "tail")]
-    text = spark.read.parquet(f"{out}/text").orderBy("source_document", "para_idx").collect()
+    text = batches.read_table(spark, out, "text").orderBy("source_document", "para_idx").collect()
     assert [r.text for r in text] == ["Kharif report", "a b c d e f", "tail"]
     assert spark.read.parquet(f"{out}/staging/media").count() == 1
     assert scratch_mark(spark) == before
@@ -190,7 +177,8 @@ def test_docx_runs_only():
 
 
 def rejected(spark, out):
-    return {(r.item.split("/")[-1], r.step, r.reason) for r in spark.read.parquet(f"{out}/rejects").collect()}
+    rows = batches.read_table(spark, out, "rejects").collect()
+    return {(r.item.split("/")[-1], r.step, r.reason) for r in rows}
 
 
 def test_nothing_is_lost(spark, tmp_path):
@@ -219,7 +207,7 @@ def test_nothing_is_lost(spark, tmp_path):
     assert any(item == "broken.docx" and reason.startswith("unreadable file") for item, _, reason in found)
     assert ("odd.csv#0", "mapping", "unreadable reply") in found
     assert ("fails.csv#0", "mapping", "provider failed: quota") in found and len(found) == 4
-    lost = spark.read.parquet(f"{out}/observations_rejected").collect()
+    lost = batches.read_table(spark, out, "observations_rejected").collect()
     assert [(r.value, r.reason) for r in lost] == [(1.0, "missing year")]
     assert sorted((r.value, r.year) for r in obs.collect()) == [(2.0, 2024), (3.0, 2025)]
 
@@ -245,7 +233,7 @@ def test_second_run_asks_nothing(spark, folder, tmp_path):
     assert asked == 4
     again, _ = run_batch(spark, [folder], out, 2025, provider, lambda p: "{}")
     assert len(list(calls.iterdir())) == asked and again.count() == 2 * n
-    assert spark.read.parquet(f"{out}/text").count() == 3  # replaced, not doubled
+    assert batches.newest_text(spark, out).count() == 3  # replaced, not doubled
     skipped, _ = run_batch(spark, [folder], out, 2025, provider, lambda p: "{}", skip_loaded=True)
     assert skipped.count() == 2 * n and len(list(calls.iterdir())) == asked
 
@@ -259,7 +247,7 @@ def test_equal_names_stay_apart(spark, tmp_path):
     read = get_chunks(chunks, "report.docx").collect()
     assert [(r.document_id.split("/")[-2], r.chunk_index) for r in read] == [("x", 0), ("x", 1), ("y", 0), ("y", 1)]
     assert obs.select("document_id").distinct().count() == obs.select("table_id").distinct().count() == 2
-    assert spark.read.parquet(f"{out}/documents").count() == 2
+    assert batches.read_table(spark, out, "documents").count() == 2
 
 
 def test_store(spark, tmp_path):

@@ -1,6 +1,8 @@
 """Headers, mapping, filling, normalisation and validation on hand-made tables."""
 
 import datetime
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,6 +92,57 @@ def test_compact_headers(spark, headers, want):
     assert M.compact_headers(df).first().headers == want
 
 
+def plain_compact(headers):
+    texts = [h or "" for h in headers]
+    if len(headers) < 3:
+        return headers
+    for at in (-1, 0):
+        parts = [t.split(" - ") for t in texts]
+        ends = [p[at].strip() for p in parts if len(p) > 1]
+        best = min(((-ends.count(e), e) for e in set(ends)), default=(0, ""))
+        if -best[0] >= max(2, len(headers) // 2):
+            cut = lambda p: " - ".join(p[:-1] if at else p[1:]).strip()  # noqa: E731, B023
+            return [cut(p) if len(p) > 1 and p[at].strip() == best[1] else t for t, p in zip(texts, parts)]
+    return texts
+
+
+def test_compact_random_headers(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):
+        n = rng.randrange(3, 12)
+        rows.append((str(i), [" - ".join(rng.choices("ab ", k=rng.randrange(1, 4))) if rng.random() < 0.9 else None for _ in range(n)]))
+    df = spark.createDataFrame(rows, "table_id string, headers array<string>")
+    got = {r.table_id: r.headers for r in M.compact_headers(df).collect()}
+    assert got == {i: plain_compact(h) for i, h in rows}
+
+
+def test_compact_wide_table(spark):
+    """20,000 columns, all different but for the last part of most: time in proportion to the columns."""
+    headers = [f"c{i} - {'share' if i % 3 else i}" for i in range(20_000)]
+    df = spark.createDataFrame([("a", headers)], "table_id string, headers array<string>")
+    began = time.time()
+    assert M.compact_headers(df).first().headers == plain_compact(headers)
+    assert time.time() - began < 20
+
+
+def test_a_deep_header_moves_only_its_own_rows(spark):
+    """One table with a long header: what is read of the others does not grow, and every table keeps its headers."""
+    deep = [("deep", i, ["name" if i < 500 else "x", f"part {i}" if i < 500 else "1"]) for i in range(600)]
+    rest = [(f"t{n}", i, ["Name" if not i else "x", "Value" if not i else "5"]) for n in range(20) for i in range(300)]
+    rows = spark.createDataFrame(deep + rest, "table_id string, row_idx long, cells array<string>")
+    starts = stage(H.data_starts(rows))
+    top = H._top_rows(rows, starts, -1)
+    assert top.where("table_id = 'deep'").count() == 500 and top.where("table_id <> 'deep'").count() == 20
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "(row_idx" in plan and " > 64" in plan and "BroadcastHashJoin" in plan
+    assert sorted(map(tuple, top.select("table_id", "row_idx").collect())) == sorted(
+        map(tuple, H._top_rows(rows, starts, -1, shallow=10_000).select("table_id", "row_idx").collect())
+    )
+    headers = {r.table_id: r.headers for r in H.detect_headers(rows).collect()}
+    assert headers["t3"] == ["Name", "Value"] and headers["deep"][0] == "name" and headers["deep"][1].count(" - ") == 499
+
+
 def test_replies(spark):
     spec = '"0": {"field": "entity_name"}, "1": {"field": "value", "indicator": "a"}'
     more = '"2": {"field": "value", "indicator": "b"}, "3": {"field": "value", "indicator": "a", "unit": null}'
@@ -324,18 +377,32 @@ def test_ambiguous_domain_is_null(spark):
     ]
 
 
-def test_retries(spark):
-    tried = []
+def test_retry_rounds(spark, tmp_path, monkeypatch):
+    """A provider that turns two calls in three away: nobody sleeps but the job, between rounds."""
+    pauses = []
+    monkeypatch.setattr(M.time, "sleep", pauses.append)
 
-    def flaky(prompt):
-        tried.append(prompt)
-        if len(tried) < 6:
-            raise M.RateLimited
-        return "ok"
-
-    assert M._ask(flaky, "p", 0) == "ok" and len(tried) == 6
-    with pytest.raises(M.RateLimited):
-        M._ask(lambda p: (_ for _ in ()).throw(M.RateLimited()), "p", 0)
+    def provider(prompt):
+        tried = len(list(tmp_path.glob(f"{prompt}-*")))
+        (tmp_path / f"{prompt}-{tried}").write_text("")
+        if prompt == "fails":
+            raise ValueError("no")
+        if prompt == "never" or tried < 2:
+            raise M.RateLimited("later")
+        return f"reply to {prompt}"
+
+    rows = [(f"t{i}", f"p{i}") for i in range(20)] + [("f", "fails"), ("n", "never")]
+    requests = spark.createDataFrame(rows, "table_id string, prompt string")
+    kept = []
+    replies = M.map_tables(requests, provider, wait=7, tries=4, calls=3, keep=lambda df: kept.append(df.count()))
+    got = {r.table_id: (r.reply, r.error) for r in replies.collect()}
+    assert got == {
+        **{f"t{i}": (f"reply to p{i}", None) for i in range(20)},
+        "f": (None, "provider failed: no"),
+        "n": (None, "provider failed: later"),
+    }
+    assert pauses == [7, 14, 21] and kept == [1, 0, 20, 1]
+    assert len(list(tmp_path.glob("p3-*"))) == 3 and len(list(tmp_path.glob("fails-*"))) == 1
 
 
 def test_document_domains(spark):
