@@ -184,6 +184,10 @@ TRIES = 6
 WAIT_SECONDS = 5
 
 
+def _pause(seconds):
+    time.sleep(seconds)
+
+
 def _ask_once(requests, key, provider, calls):
     """(key, prompt, reply, error, limited): one call for each request; `limited` ones were asked to come later."""
 
@@ -223,7 +227,7 @@ def ask(requests, key, provider, wait, tries, calls, keep=lambda answers: None):
         pending = asked.where("limited")
         if attempt == tries or pending.isEmpty():
             break
-        time.sleep(wait * attempt)
+        _pause(wait * attempt)
     return reduce(lambda a, b: a.unionByName(b), rounds)
 
 

@@ -380,7 +380,7 @@ def test_ambiguous_domain_is_null(spark):
 def test_retry_rounds(spark, tmp_path, monkeypatch):
     """A provider that turns two calls in three away: nobody sleeps but the job, between rounds."""
     pauses = []
-    monkeypatch.setattr(M.time, "sleep", pauses.append)
+    monkeypatch.setattr(M, "_pause", pauses.append)
 
     def provider(prompt):
         tried = len(list(tmp_path.glob(f"{prompt}-*")))
