@@ -2,12 +2,15 @@
 
 A text's words stream through the automaton, which gives at each word the longest run of words ending there that stands
 in any template (matching statistics). Runs that cannot grow further and have `MIN_WORDS` words or more are chained per
-template, in order in both text and template, into spans; a span that covers `MIN_COVER` of its template's words adds
+template, in order in both text and template. A run that a template has at several places may stand for any of them: of
+all chains of (run, place) the one that covers most words of the template is a span, then the best of what lies before
+and after it, so that spans of one template do not overlap. A span that covers `MIN_COVER` of its template's words adds
 the template's label. Phrases are templates too: a phrase ends at a word when its state lies on the suffix path.
 
 Words are maximal runs of 0-9, a-z after lower-casing A-Z, and anything beyond ASCII. Null and empty texts have no words
-and no labels; repeated rows are scanned each. Work per text is linear in its words and in its matches: per template
-only the open chain is held.
+and no labels; repeated rows are scanned each; an empty table gives no rows; other columns are not read, whatever their
+names. Of chains that cover as much, the shorter span counts, then the later one. A run looks back over `MAX_GAP` words
+for those it can follow, and a text's runs of `MIN_WORDS` words are all that is held beside its words.
 """
 
 from .texts import map_texts
@@ -107,6 +110,56 @@ class SuffixAutomaton:
         return new
 
 
+def _lengthen(chains, run, max_gap):
+    """Add a run (start, end, place it ends at) with the best chain that ends with it.
+
+    Rows of `chains`: start, end, place, covered, start of the chain, and which row so far has the best chain.
+    """
+    start, end, to = run
+    covered, first = end - start, start
+    for _, before_end, before_to, before, before_first, _ in reversed(chains):
+        if start - before_end > max_gap:
+            break
+        if before_end < end and before_to < to:
+            both = before + min(end - start, end - before_end, to - before_to)
+            if (both, before_first) > (covered, first):
+                covered, first = both, before_first
+    best = len(chains)
+    if chains:
+        other = chains[chains[-1][5]]
+        if (other[3], other[4] - other[1]) > (covered, first - end):
+            best = chains[-1][5]
+    chains.append((start, end, to, covered, first, best))
+
+
+def chain_spans(runs, min_words, max_gap):
+    """Spans (start, end, covered words) of one template, by start. runs: (start, end, place), in order of end.
+
+    The best chain of all is taken first; runs after it, cut where they overlap it, are chained anew, and those before
+    it keep their chains.
+    """
+    spans, todo = [], [runs]
+    while todo:
+        chains = []
+        for run in todo.pop():
+            _lengthen(chains, run, max_gap)
+        while chains:
+            best = chains[-1][5]
+            _, end, _, covered, first, _ = chains[best]
+            spans.append((first, end, covered))
+            after = [(max(s, end), e, to) for s, e, to, *_ in chains[best + 1 :] if e - max(s, end) >= min_words]
+            if after:
+                todo.append(after)
+            before = []
+            while chains and chains[-1][1] > first:
+                s, e, to, *_ = chains.pop()
+                if first - s >= min_words:
+                    before.append((s, first, to - (e - first)))
+            for run in reversed(before):
+                _lengthen(chains, run, max_gap)
+    return sorted(spans)
+
+
 class LicenseScanner:
     def __init__(self, phrases=PHRASES, templates=TEMPLATES, min_words=MIN_WORDS, min_cover=MIN_COVER, max_gap=MAX_GAP):
         texts = [*phrases, *templates]
@@ -161,39 +214,31 @@ class LicenseScanner:
     def scan(self, text):
         """(number of words, places of phrases [(start, phrase)], spans [(start, end, template, covered words)])."""
         words = words_of(text)
-        places, spans, chains = [], [], {}
+        places, runs = [], {}
         previous = None
         for end, length, state in self.matches(words):
             for number in self.phrases_at.get(state, ()):
                 if self.sizes[number] <= length:
                     places.append((end - self.sizes[number], number))
             if previous and (end != previous[0] + 1 or length != previous[1] + 1):
-                self._chain(chains, spans, *previous)
+                self._place(runs, *previous)
             previous = (end, length, state)
         if previous:
-            self._chain(chains, spans, *previous)
-        for number, (start, end, _, covered) in chains.items():
-            spans.append((start, end, number, covered))
-        spans.sort()
-        return len(words), places, spans
-
-    def _chain(self, chains, spans, end, length, state):
-        """Add a run that cannot grow to the chain of each template it stands in; a chain it does not fit is closed."""
+            self._place(runs, *previous)
+        spans = [
+            (start, end, number, covered)
+            for number, found in runs.items()
+            for start, end, covered in chain_spans(found, self.min_words, self.max_gap)
+        ]
+        return len(words), places, sorted(spans)
+
+    def _place(self, runs, end, length, state):
+        """Note a run that cannot grow at every place of the templates it stands in."""
         if length < self.min_words:
             return
-        for number, to in self.automaton.places[state]:
-            if number < self.n_phrases:
-                continue
-            start, chain = end - length, chains.get(number)
-            if chain and end == chain[1]:
-                continue  # the same run at another place of the template
-            if chain and start - chain[1] <= self.max_gap and to > chain[2]:
-                new = min(length, to - chain[2], end - chain[1])
-                chains[number] = (chain[0], end, to, chain[3] + new)
-                continue
-            if chain:
-                spans.append((chain[0], chain[1], number, chain[3]))
-            chains[number] = (start, end, to, length)
+        for number, to in sorted(self.automaton.places[state]):
+            if number >= self.n_phrases:
+                runs.setdefault(number, []).append((end - length, end, to))
 
     def summary(self, text):
         n_words, places, spans = self.scan(text)

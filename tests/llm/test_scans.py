@@ -76,6 +76,65 @@ def test_license_spans():
     assert scanner.summary(f"{mit} . {mit}")[7][1][0] == len(mit.split())
 
 
+def test_run_that_a_template_has_twice():
+    template = "a b c d one two three four five a b c d six seven eight nine"
+    scanner = license_scan.LicenseScanner(templates=((template, "x"),))
+    found = scanner.summary("one two three four zz a b c d ZZ six seven eight nine")
+    assert found[5] == "x" and found[7] == [(0, 14, "x", 12 / 17)]
+    half = "one two three four five a b c d six"
+    spans = scanner.summary(f"{template} {template} . {half} {template}")[7]
+    assert spans == [(0, 17, "x", 1.0), (17, 34, "x", 1.0), (34, 44, "x", 10 / 17), (44, 61, "x", 1.0)]
+
+
+def all_chains(runs, max_gap):
+    """(covered, start, end) of every chain of runs, by trying each run after each."""
+    grown = [((r,), r[1] - r[0]) for r in runs]
+    out = []
+    while grown:
+        chain, covered = grown.pop()
+        out.append((covered, chain[0][0], chain[-1][1]))
+        _, end, to = chain[-1]
+        for run in runs:
+            if run[1] > end and run[2] > to and run[0] - end <= max_gap:
+                grown.append(((*chain, run), covered + min(run[1] - run[0], run[1] - end, run[2] - to)))
+    return out
+
+
+def test_spans_are_best_chains():
+    rng, several = random.Random(8), 0
+    for _ in range(1500):
+        template = [rng.choice("abcde") for _ in range(rng.randint(4, 14))]
+        text = []
+        for _ in range(rng.randint(1, 4)):
+            at = rng.randrange(len(template))
+            text += template[at : at + rng.randint(1, 9)] + ["z"] * rng.choice((0, 0, 1, 5))
+        size, gap = rng.randint(2, 3), rng.randint(1, 4)
+        scanner = license_scan.LicenseScanner((), ((" ".join(template), "x"),), size, 0.6, gap)
+        places, ends = lambda run: [i + len(run) for i in range(len(template)) if template[i : i + len(run)] == run], {}
+        for end in range(1, len(text) + 1):  # the longest run of the template that ends at each word
+            ends[end] = max((n for n in range(end + 1) if places(text[end - n : end])), default=0)
+        full = [(e - n, e) for e, n in ends.items() if n >= size and ends.get(e + 1, 0) != n + 1]
+        runs = [(s, e, to) for s, e in full for to in places(text[s:e])]
+        spans = scanner.scan(" ".join(text))[2]
+        chains = all_chains(runs, gap)
+        assert max((c for *_, c in spans), default=0) == max((c for c, _, _ in chains), default=0)
+        if chains:
+            most = max((c, s - e) for c, s, e in chains)
+            assert most in [(c, s - e) for s, e, _, c in spans]
+        assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+        free = [r for r in full if all(max(r[0], s) >= min(r[1], e) for s, e, *_ in spans)]
+        assert not free  # no run lies outside all spans
+        several += len(spans) > 1
+    assert several > 100
+
+
+def test_many_copies_of_a_notice():
+    scanner = license_scan.LicenseScanner()
+    notice = license_scan.TEMPLATES[6][0]
+    spans = [s for s in scanner.summary(f"{notice} " * 3000)[7] if s[2] == "apache"]
+    assert len(spans) == 3000 and {s[3] for s in spans} == {1.0}
+
+
 def test_licenses_edges(odd, none):
     rows = {r.doc_id: r for r in license_scan.scan_licenses(odd).collect()}
     assert license_scan.scan_licenses(odd).count() == 8 and license_scan.scan_licenses(none).count() == 0
