@@ -17,12 +17,18 @@ def stage(df, path=None):
     Without a path the table is scratch: it belongs to the session and goes when `release` is called."""
     spark = df.sparkSession
     if path is None:
-        path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
-        _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+        path = scratch_path(spark)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_path(spark, kind="stage"):
+    """A new folder in shared storage that goes when `release` is called."""
+    path = f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def read_or_empty(spark, path, schema):
     """The Parquet table at a path; without rows where nothing has been written yet."""
     try:
