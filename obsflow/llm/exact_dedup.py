@@ -13,25 +13,42 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..plans.skew import attach
-from ..plans.staging import stage
-from ..session import ensure_checkpoint_dir
-from .texts import lower_ascii, sha256_hex, whole
+from ..plans.staging import read_or_empty, scratch_path, stage
+from .texts import lower_ascii, numbered_copies, sha256_hex, whole
 
 HOT_ROWS = 1_000
+BUCKET_ROWS = 2_000_000  # digests a bucket is meant to hold, some 100 MB
+LEAST_BUCKETS = 32
+SHAPE = "buckets int, id_type string"
 
 
 class DigestIndex:
-    """digest -> keep_id at `path`, in `buckets` buckets. The files are the index; any session can open them again with
-    the same number of buckets. An append that is run again after a failure finds its digests there and adds none."""
+    """digest -> keep_id in buckets, in the folder `path`: the sorted files, and beside them the number of buckets.
 
-    def __init__(self, spark, path, id_type="bigint", buckets=32):
-        self.spark = spark
+    A new index gets the buckets that `rows` digests need (or `buckets`); whoever opens it again gets the number it was
+    made with, and asking for another number or id type is an error, as digests would be looked for in wrong buckets. An
+    append that is run again after a failure finds its digests there and adds none.
+    """
+
+    def __init__(self, spark, path, id_type=None, buckets=None, rows=0):
+        self.spark, self.path = spark, path
+        made = read_or_empty(spark, f"{path}/shape", SHAPE).head()
+        if made is None:
+            most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+            made_for = buckets or min(most, max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS)))
+            made = (made_for, id_type or "bigint")
+            spark.createDataFrame([made], SHAPE).coalesce(1).write.mode("overwrite").parquet(f"{path}/shape")
+        self.buckets, self.id_type = made
+        if buckets not in (None, self.buckets) or id_type not in (None, self.id_type):
+            raise ValueError(
+                f"{path} has {self.buckets} buckets and ids of type {self.id_type}, not {buckets} and {id_type}; "
+                "`copy_to` makes an index of another shape"
+            )
         self.name = "digest_index_" + uuid.uuid5(uuid.NAMESPACE_URL, path).hex
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id {id_type}) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
+            f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id {self.id_type}) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}/digests'"
         )
-        self.buckets = buckets
 
     def read(self):
         return self.spark.table(self.name)
@@ -39,9 +56,19 @@ class DigestIndex:
     def append(self, groups):
         """Add the digests of `groups` (digest, keep_id) that the index does not have."""
         fresh = groups.select("digest", "keep_id").join(self.read().hint("merge"), "digest", "left_anti")
-        stage(fresh).repartition(self.buckets, "digest").write.insertInto(self.name)
+        self._insert(stage(fresh))
+
+    def _insert(self, rows):
+        rows.repartition(self.buckets, "digest").write.insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)
 
+    def copy_to(self, path, buckets=None):
+        """A new index with the same digests, one file a bucket: for one that many appends have cut into small files, or
+        that has outgrown its buckets. The old one stays as it is."""
+        new = DigestIndex(self.spark, path, self.id_type, buckets, self.read().count())
+        new.append(self.read())
+        return new
+
 
 def digest_rows(docs, id_col="doc_id", text_col="text"):
     """One row per (digest, doc_id), with the number of rows that share both."""
@@ -53,25 +80,24 @@ def digest_rows(docs, id_col="doc_id", text_col="text"):
 def deduplicate(docs, index=None, id_col="doc_id", text_col="text"):
     """One row per document: doc_id, keep_id, group_size (rows of this batch with the text), kept, text_sha256.
 
-    Without an index, a new one is made in the shared folder. A text that the index already has keeps the id it was
+    Without an index, a new one is made in the shared folder, which goes with the session's scratch tables. A text that the index already has keeps the id it was
     first stored with; within a batch the largest id stays. A digest that holds many rows is joined by broadcast of at
     most 10,000 such digests (`attach`), so no task gets all its rows.
     """
     spark = docs.sparkSession
     rows = stage(digest_rows(docs, id_col, text_col))
-    if index is None:
-        path = f"{ensure_checkpoint_dir(spark)}/digests-{uuid.uuid4().hex}"
-        index = DigestIndex(spark, path, rows.schema["doc_id"].dataType.simpleString())
     groups = stage(
         rows.groupBy("digest").agg(
             F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"), F.count("*").alias("n_rows")
         )
     )
+    if index is None:
+        id_type = rows.schema["doc_id"].dataType.simpleString()
+        index = DigestIndex(spark, scratch_path(spark, "digests"), id_type, rows=groups.count())
     index.append(groups)
     known = groups.drop("keep_id").join(index.read().hint("merge"), "digest")
     found = attach(rows, stage(known), ["digest"], ["doc_id"], hot_rows=HOT_ROWS)
-    each = found.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
-    return each.select(
+    return numbered_copies(found, "copies", "nth").select(
         "doc_id",
         "keep_id",
         "group_size",

@@ -8,6 +8,7 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 ROWS = 256
+COPIES = 10_000
 
 
 def whole(text):
@@ -29,6 +30,13 @@ def pairs(docs, id_col, text_col):
     return docs.select(F.col(id_col).alias("doc_id"), whole(F.col(text_col)).alias("text"))
 
 
+def numbered_copies(df, copies, out):
+    """Every row as often as `copies` says, numbered from 1; however many, only short arrays are held."""
+    last = F.least(F.col(copies), F.col("_from") + (COPIES - 1))
+    runs = df.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("bigint"), copies, F.lit(COPIES).cast("bigint"))))
+    return runs.withColumn(out, F.explode(F.sequence("_from", last))).drop("_from")
+
+
 def in_slices(batches, rows=ROWS):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
