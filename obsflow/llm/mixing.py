@@ -6,11 +6,13 @@ by weight until none is above. With sources in order of cap per weight the clamp
 follows from running sums over sources, without iterating.
 
 A document is repeated floor(target / source_size) times. The fraction left is taken from documents in the order of a
-seeded hash until it is used up: whole documents, and of the last one the part that is still missing. Running sums per
-source are taken over hash buckets first and within one bucket then, so no task gets all rows of a source.
+seeded hash of id and text until it is used up: whole documents, and of the last one the part that is still missing.
+Running sums per source are taken over hash buckets first and within one bucket then, and repeated rows are one row with
+a count until the end, so no task gets all rows of a source, of an id or of no id.
 
 Null or empty texts have size 0 and nothing is taken of them; a source of size 0 has target 0. Repeated rows are
-separate documents. An empty table gives no rows. Only DataFrame functions are used.
+separate documents, in any order among themselves. Null ids are ordered by their texts. An empty table gives no rows.
+Other columns are not read, whatever their names. Only DataFrame functions are used.
 """
 
 from pyspark.sql import Window as W
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..plans.skew import attach
 from ..plans.staging import stage
-from .texts import WORD, whole
+from .texts import WORD, numbered_copies, whole
 
 MAX_EPOCHS = 3
 SEED = 17
@@ -58,17 +60,22 @@ def turn_weights(sources):
 
 def mix(docs, id_col="doc_id", text_col="text", source_col="source", weigh=turn_weights, max_epochs=MAX_EPOCHS, seed=SEED):
     """One row per document: doc_id, size, source_size, target (of its source), taken (words, repeats counted)."""
+    text = whole(F.col(text_col))
+    id_text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     rows = stage(
         docs.select(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).cast("string").alias("source"),
-            F.regexp_count(whole(F.col(text_col)), F.lit(WORD)).cast("bigint").alias("size"),
-            F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f"#{seed}"))).alias("key"),
+            F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("size"),
+            F.md5(F.concat(id_text, F.lit(f"#{seed}#"), F.md5(text.cast("binary")))).alias("key"),
         )
+        .groupBy("doc_id", "source", "size", "key")
+        .agg(F.count("*").alias("copies"))
     )
     bucket = F.substring("key", 1, HEX_DIGITS)
+    words = F.col("size") * F.col("copies")
     buckets = stage(
-        rows.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
+        rows.groupBy("source", bucket.alias("bucket")).agg(F.sum(words).alias("size"), F.count("*").alias("rows"))
     )
     sizes = buckets.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum("rows").alias("n_rows"))
     levels = water_level(weigh(sizes.drop("n_rows")), max_epochs)
@@ -86,19 +93,19 @@ def mix(docs, id_col="doc_id", text_col="text", source_col="source", weigh=turn_
     )
     within = W.partitionBy("_source", "_bucket").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
     whole_times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    return (
+    known = (
         placed.withColumn("times", whole_times)
         .withColumn("part", F.floor("target") - F.col("times") * F.col("source_size"))
-        .withColumn("used", F.col("start") + F.coalesce(F.sum("size").over(within), F.lit(0)))
-        .select(
-            "doc_id",
-            "size",
-            "source_size",
-            "target",
-            (F.col("times") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), F.col("part") - F.col("used"))))
-            .cast("bigint")
-            .alias("taken"),
-        )
+        .withColumn("before", F.col("start") + F.coalesce(F.sum(words).over(within), F.lit(0)))
+    )
+    used = F.col("before") + (F.col("nth") - 1) * F.col("size")
+    more = F.greatest(F.lit(0), F.least(F.col("size"), F.col("part") - used))
+    return numbered_copies(known, "copies", "nth").select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("times") * F.col("size") + more).cast("bigint").alias("taken"),
     )
 
 
@@ -106,7 +113,7 @@ ORACLE = r"""
 WITH d AS (
   SELECT doc_id, source,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    md5(coalesce(doc_id::VARCHAR, '') || '#17') AS key
+    md5(coalesce(doc_id::VARCHAR, '') || '#17#' || md5(coalesce(text, ''))) AS key
   FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS cap,

@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from check import _rows  # noqa: E402
 
-from obsflow.llm import exact_dedup, mixing  # noqa: E402
+from obsflow.llm import exact_dedup, mixing, texts  # noqa: E402
 
 
 def against_sql(df, docs, sql):
@@ -46,7 +46,11 @@ def test_index_outlives_a_batch(spark, tmp_path):
     first = {r.doc_id: r for r in exact_dedup.deduplicate(batch((1, "a"), (2, "A"), (3, "b")), index).collect()}
     assert [first[i].kept for i in (1, 2, 3)] == [False, True, True]
     spark.sql(f"DROP TABLE {index.name}")  # the files stay
-    index = exact_dedup.DigestIndex(spark, path, buckets=4)
+    index = exact_dedup.DigestIndex(spark, path)
+    assert index.buckets == 4
+    for other in ({"buckets": 8}, {"id_type": "string"}):
+        with pytest.raises(ValueError, match="4 buckets"):
+            exact_dedup.DigestIndex(spark, path, **other)
     later = batch((9, "a"), (8, "c"), (2, "a"))
     for _ in range(2):  # the same batch again changes nothing
         second = {r.doc_id: r for r in exact_dedup.deduplicate(later, index).collect()}
@@ -57,6 +61,40 @@ def test_index_outlives_a_batch(spark, tmp_path):
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan
 
 
+def test_index_follows_its_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BUCKET_ROWS", 5)
+    monkeypatch.setattr(exact_dedup, "LEAST_BUCKETS", 2)
+    path = f"file://{tmp_path}/index"
+    index = exact_dedup.DigestIndex(spark, path, rows=12)
+    assert index.buckets == 3
+    batches = [spark.createDataFrame([(i, f"text {i % 40}") for i in range(n, n + 30)], "doc_id long, text string") for n in (0, 20, 40)]
+    for docs in batches:
+        exact_dedup.deduplicate(docs, index).count()
+    new = index.copy_to(f"file://{tmp_path}/larger")
+    assert new.buckets == 8 and index.read().count() == 40
+    assert sorted(map(tuple, new.read().collect())) == sorted(map(tuple, index.read().collect()))
+    again = [sorted(map(tuple, exact_dedup.deduplicate(batches[1], x).collect())) for x in (index, new)]
+    assert again[0] == again[1] and new.read().count() == 40
+
+
+def test_mixing_rows_alike(spark):
+    """Many rows without an id, with one id, and repeated rows: by SQL, and no task gets a third of all."""
+    rows = [(None, f"null id {'w ' * (i % 9)} {i}", "a") for i in range(600)]
+    rows += [(7, f"one id {'w ' * (i % 5)} {i}", "a") for i in range(400)]
+    rows += [(8, "the same row again", "b")] * 500 + [(None, None, None)] * 30 + [(i, f"other {i}", "c") for i in range(9, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    against_sql(mixing.mix(docs), docs, mixing.ORACLE)
+    again = mixing.mix(docs.repartition(7)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, mixing.mix(docs).collect()))
+
+
+def test_numbered_copies(spark, monkeypatch):
+    monkeypatch.setattr(texts, "COPIES", 4)
+    rows = spark.createDataFrame([("a", 1), ("b", 4), ("c", 9)], "x string, n long")
+    found = texts.numbered_copies(rows, "n", "nth").select("x", "nth").collect()
+    assert sorted(map(tuple, found)) == [(x, i + 1) for x, n in (("a", 1), ("b", 4), ("c", 9)) for i in range(n)]
+
+
 def plain_levels(sizes, weights, cap=3):
     """Share by weight, clamp, share the excess again, until nothing is above."""
     total, fixed = sum(sizes.values()), {}
