@@ -140,15 +140,17 @@ def map_blocks(docs, id_type, work, fields):
 
 
 def filter_blocks(docs, text_col, keep):
-    """The rows of `docs`, all columns as they are, for which `keep(Block)` has true."""
+    """The rows of `docs`, all columns as they are and whatever their names, for which `keep(Block)` has true."""
+    at = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
-            for a, part in _cuts(batch.column(batch.schema.get_field_index(text_col))):
+            for a, part in _cuts(batch.column(at)):
                 wanted = keep(Block([t or b"" for t in part.to_pylist()]))
                 yield batch.slice(a, len(part)).filter(pa.array(wanted))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = docs.toDF(*[f"c{n}" for n in range(len(docs.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def blocks(batches):

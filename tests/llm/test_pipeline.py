@@ -91,6 +91,28 @@ def test_tokens(spark, sf_dir, stages):
     assert Counter(r.decoded_sha256 for r in made.collect()) == digests
 
 
+def test_any_column_names(spark, sf_dir):
+    """Columns named like those the stages work with come through every stage with their values."""
+    names = ["_digest", "_id", "_no_id", "_key", "_times", "_nth", "_from", "row", "digest", "id", "no_id", "key", "times",
+             "nth", "kept", "a.b"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    plain = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for _, step in pipeline.STAGES[:-1]:
+        made = step(spark, plain, sf_dir)
+        assert made.columns == plain.columns
+        other = step(spark, docs, sf_dir)
+        assert Counter(r.doc_id for r in made.collect()) == Counter(r.doc_id for r in other.collect())
+        assert all(r[n] == f"{n}{r.doc_id}" for r in made.collect() for n in names)
+
+
+def test_one_row_of_an_id_used_twice(spark, sf_dir):
+    """Rows of one id whose texts differ in capitals, and rows whose other columns differ: the same one in each run."""
+    rows = [(1, "A text", "en", "a", n) for n in range(5)] + [(1, "a text", None, "b", 1), (0, "a TEXT", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = [pipeline.one_of_copies(spark, docs.repartition(n), sf_dir).collect() for n in (1, 4)]
+    assert found[0] == found[1] and len(found[0]) == 1 and found[0][0].doc_id == 1
+
+
 def test_run(spark, sf_dir):
     assert pipeline.run(spark, sf_dir).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
