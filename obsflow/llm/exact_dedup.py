@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..plans.skew import attach
-from ..plans.staging import read_or_empty, scratch_path, stage
+from ..plans.staging import folders_in, scratch_path, stage
 from .texts import lower_ascii, numbered_copies, sha256_hex, whole
 
 HOT_ROWS = 1_000
@@ -32,12 +32,14 @@ class DigestIndex:
 
     def __init__(self, spark, path, id_type=None, buckets=None, rows=0):
         self.spark, self.path = spark, path
-        made = read_or_empty(spark, f"{path}/shape", SHAPE).head()
+        known = "shape" in folders_in(spark, path)
+        made = spark.read.schema(SHAPE).parquet(f"{path}/shape").head() if known else None
         if made is None:
             most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
             made_for = buckets or min(most, max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS)))
             made = (made_for, id_type or "bigint")
-            spark.createDataFrame([made], SHAPE).coalesce(1).write.mode("overwrite").parquet(f"{path}/shape")
+            shape = spark.range(1).select(F.lit(made[0]).alias("buckets"), F.lit(made[1]).alias("id_type"))
+            shape.write.mode("overwrite").parquet(f"{path}/shape")
         self.buckets, self.id_type = made
         if buckets not in (None, self.buckets) or id_type not in (None, self.id_type):
             raise ValueError(
