@@ -437,3 +437,15 @@ def test_query_filters(spark):
     assert count(date="2024-05-01", period="K", indicator="x", entity_type="district", domain="health") == 1
     assert Q.get_entity(df, "A").count() == 1 and Q.get_entity(df, "A", 2025, True).count() == 1
     assert Q.get_entity(df, "nobody").count() == 0
+
+
+def test_ranges_do_not_move_observations(spark, capsys):
+    """There are a handful of indicators: observations shuffled by them to meet their ranges would be a task each."""
+    obs = spark.range(1000).selectExpr("concat('indicator ', id % 2) AS indicator", "'%' AS unit")
+    brought = stage(spark.createDataFrame([("indicator 1", 5.0, 6.0)], "range_indicator string, lo double, hi double"))
+    for ranges in (V.range_table(spark), brought):
+        V._with_ranges(obs, ranges).explain()
+        plan = capsys.readouterr().out
+        assert "Broadcast" in plan and "hashpartitioning" not in plan
+    got = {r.range_indicator: (r.lo, r.hi) for r in V.range_table(spark).collect()}
+    assert got == V.KNOWN_RANGES
