@@ -10,6 +10,7 @@ from obsflow.functions import fuzzy
 from obsflow.functions.alias_index import AliasIndex
 from obsflow.functions.names import fold_accents
 from obsflow.operators import gazetteer as G
+from obsflow.plans.staging import spread_out
 
 
 def misspelt(rng, key):
@@ -78,3 +79,21 @@ def test_fold_accents(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     for row in df.select("t", fold_accents(F.col("t")).alias("f")).collect():
         assert row.f == unicodedata.normalize("NFKD", row.t).encode("ascii", "ignore").decode()
+
+
+@pytest.mark.parametrize("candidates", [1, 2, 5])
+def test_bounds_leave_the_best_as_they_are(spark, candidates):
+    """Aliases left out by their bound are none of the best."""
+    rng = random.Random(11)
+    aliases = list(dict.fromkeys([key for _, key, _ in G.alias_rows(spark)] + ["k", "north north", "dk"]))
+    names = {misspelt(rng, rng.choice(aliases)) for _ in range(60)} | {f"mysuru {i}" for i in range(20)}
+    for name in names | {"x  y", " ", "", "zzzz", "north  dk north"}:
+        every = sorted((-fuzzy.weighted_ratio(name, a), i) for i, a in enumerate(aliases))[:candidates]
+        assert fuzzy._best_weighted(name, aliases, range(len(aliases)), candidates, {}) == every, name
+
+
+def test_few_names_are_spread_over_tasks(spark):
+    """Also where they are partitioned by the name already, as names that were counted are."""
+    names = spark.range(1000).selectExpr("concat('n', id) AS name").groupBy("name").count()
+    tasks = spread_out(names, "name").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
