@@ -64,9 +64,10 @@ def process_tables(
     whose reply is missing, unreadable or names no entity or value column are given to `reject` (item, step, reason).
     """
     starts, headers = table_layout(raw_rows)
-    replies = provider
     if callable(provider):
         replies = table_replies(raw_rows, raw_tables, contexts, provider, starts, headers, replies_path)
+    else:
+        replies = stage(provider)  # parsing is not pushed down into what makes them, where rows may be many more
     if reject:
         reject(mapping_rejects(replies).select(F.col("table_id").alias("item"), F.lit("mapping").alias("step"), "reason"))
     table_meta, column_map = read_replies(replies)

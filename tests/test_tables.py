@@ -13,6 +13,7 @@ from obsflow.operators import mapping as M
 from obsflow.operators import normalize as N
 from obsflow.operators import query as Q
 from obsflow.operators import validate as V
+from obsflow.plans import batch
 from obsflow.plans.batch import process_tables
 from obsflow.plans.skew import attach, dense_index
 from obsflow.plans.staging import stage
@@ -449,3 +450,21 @@ def test_ranges_do_not_move_observations(spark, capsys):
         assert "Broadcast" in plan and "hashpartitioning" not in plan
     got = {r.range_indicator: (r.lo, r.hi) for r in V.range_table(spark).collect()}
     assert got == V.KNOWN_RANGES
+
+
+def test_replies_at_hand_are_written_before_they_are_parsed(spark, monkeypatch):
+    """Else Spark parses each reply again for every row of what the replies are made from."""
+    rows = spark.createDataFrame(
+        [("a", 0, ["x", "1"], False), ("a", 1, ["y", "2"], False)],
+        "table_id string, row_idx long, cells array<string>, header_known boolean",
+    )
+    tables = spark.createDataFrame(
+        [("a", "d", "p", "m")], "table_id string, source_document string, source_page string, extraction_method string"
+    )
+    reply = '{"_entity_type": "crop", "0": {"field": "entity_name"}, "1": {"field": "value", "indicator": "n"}}'
+    replies = spark.range(100).select(F.lit("a").alias("table_id"), F.lit(reply).alias("reply")).distinct()
+    parsed, read = [], batch.read_replies
+    monkeypatch.setattr(batch, "read_replies", lambda given: parsed.append(given) or read(given))
+    done = batch.process_tables(rows, tables, None, replies, 2025)
+    assert sorted((r.entity_name, r.value) for r in done.collect()) == [("x", 1.0), ("y", 2.0)]
+    assert parsed[0].inputFiles()
