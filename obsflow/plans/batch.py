@@ -26,7 +26,7 @@ from ..sources.csv_tables import read_csv_tables
 from ..sources.files import base_name, binary_files, list_files, rejects
 from ..sources.ooxml import broken_files, docx_media, docx_paragraphs, docx_tables, parse_docx, parse_xlsx, xlsx_tables
 from ..sources.pages import page_paragraphs, page_tables
-from .staging import release, scratch_mark, stage
+from .staging import release, scratch_mark, spread_out, stage
 
 
 def table_layout(raw_rows):
@@ -67,7 +67,8 @@ def process_tables(
     if callable(provider):
         replies = table_replies(raw_rows, raw_tables, contexts, provider, starts, headers, replies_path)
     else:
-        replies = stage(provider)  # parsing is not pushed down into what makes them, where rows may be many more
+        # Parsing is not pushed down into what makes them, where rows may be many more, nor left to one task.
+        replies = stage(spread_out(provider, "table_id"))
     if reject:
         reject(mapping_rejects(replies).select(F.col("table_id").alias("item"), F.lit("mapping").alias("step"), "reason"))
     table_meta, column_map = read_replies(replies)

@@ -468,3 +468,13 @@ def test_replies_at_hand_are_written_before_they_are_parsed(spark, monkeypatch):
     done = batch.process_tables(rows, tables, None, replies, 2025)
     assert sorted((r.entity_name, r.value) for r in done.collect()) == [("x", 1.0), ("y", 2.0)]
     assert parsed[0].inputFiles()
+
+
+def test_replies_at_hand_are_parsed_by_all_tasks(spark, monkeypatch):
+    """Small size alone would leave them to one task."""
+    replies = spark.range(500).selectExpr("concat('t', id) AS table_id", "'{}' AS reply").distinct()
+    parsed, read = [], batch.read_replies
+    monkeypatch.setattr(batch, "read_replies", lambda given: parsed.append(given) or read(given))
+    rows, tables = raw(spark, {"t1": [["x", "1"]]})
+    assert batch.process_tables(rows, tables, None, replies, 2025).count() == 0
+    assert len(parsed[0].inputFiles()) == int(spark.conf.get("spark.sql.shuffle.partitions"))
